@@ -1,0 +1,18 @@
+"""Joins with a side whose size is known or measured."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SMALL_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """Mark a side for broadcast when its counted rows stay within ``max_rows``.
+
+    A larger side is returned as it is, and Spark joins it by shuffle. Use it for
+    narrow sides that come out of an aggregation, which Spark's size estimate
+    takes for as large as the table they were made of.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
