@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import dashboard_day, whole_part
 from tidemark.operators.weather import actual_over_forecast, temperature_triggers
+from tidemark.session import cut_lineage
 
 BLOCK_DAYS = 365
 YEAR_DAYS = 365.25
@@ -156,18 +157,25 @@ def design_row(spec: ModelSpec) -> Column:
     return F.array(*terms)
 
 
-def _block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
-    x = np.array(pdf["x"].tolist())
-    y = pdf["y"].to_numpy()
-    return pd.DataFrame(
-        {
-            "series_id": [pdf["series_id"].iloc[0]],
-            "gram": [(x.T @ x).ravel()],
-            "moment": [x.T @ y],
-            "yy": [float(y @ y)],
-            "n": [len(y)],
-        }
-    )
+# The two functions below run in Python workers. They are made inside functions,
+# so they travel by value and workers need not have this package installed.
+
+
+def _block_summer():
+    def block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.array(pdf["x"].tolist())
+        y = pdf["y"].to_numpy()
+        return pd.DataFrame(
+            {
+                "series_id": [pdf["series_id"].iloc[0]],
+                "gram": [(x.T @ x).ravel()],
+                "moment": [x.T @ y],
+                "yy": [float(y @ y)],
+                "n": [len(y)],
+            }
+        )
+
+    return block_sums
 
 
 def _solver(penalties: list[float]):
@@ -203,7 +211,7 @@ def fit_series(series: DataFrame, spec: ModelSpec) -> DataFrame:
         (F.col("y").cast("double") / F.col("y_scale")).alias("y"),
     )
     partial = rows.groupBy("series_id", "block").applyInPandas(
-        _block_sums, f"series_id {kind}, gram array<double>, moment array<double>, yy double, n bigint"
+        _block_summer(), f"series_id {kind}, gram array<double>, moment array<double>, yy double, n bigint"
     )
     solved = partial.groupBy("series_id").applyInPandas(
         _solver(spec.penalties()), f"series_id {kind}, beta array<double>, sigma double, n bigint"
@@ -250,8 +258,15 @@ def train_and_forecast(
 def forecast_volume(
     series: DataFrame, weather: DataFrame, holidays: DataFrame, days: int = PREDICT_DAYS
 ) -> DataFrame:
-    """Weather model, triggers, then the volume model, for all series in one plan."""
-    triggers = temperature_triggers(forecast_temperature(weather, days))
+    """Weather model, triggers, then the volume model, for all series at once.
+
+    Both daily inputs are read several times, and so are the triggers. They are
+    small next to the raw data behind them, so each is checkpointed once instead of
+    being derived again for every use.
+    """
+    weather, series = cut_lineage(weather), cut_lineage(clean_series(series))
+    temps = cut_lineage(forecast_temperature(weather, days))
+    triggers = cut_lineage(temperature_triggers(temps))
     return train_and_forecast(series, triggers, holidays, days)
 
 
