@@ -50,9 +50,8 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     ``path`` holds ``station_id=<id>/`` folders; all years and stations are one read.
     """
     return (
-        spark.read.option("wholetext", True)
-        .option("basePath", path)
-        .text(path)
+        spark.read.option("basePath", path)
+        .text(path, wholetext=True)
         .select(F.col("station_id").cast("string").alias("station_id"), F.col("value").alias("raw"))
     )
 
