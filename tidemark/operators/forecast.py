@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import dashboard_day, whole_part
 from tidemark.operators.weather import actual_over_forecast, temperature_triggers
-from tidemark.session import cut_lineage
+from tidemark.session import materialize
 
 BLOCK_DAYS = 365
 YEAR_DAYS = 365.25
@@ -143,18 +143,20 @@ def design_row(spec: ModelSpec) -> Column:
     """The design vector of a row that carries ``ds, t0, span`` and the extra columns."""
     day = _day_number().cast("double")
     t = (day - F.col("t0")) / F.col("span")
-    knots = [spec.changepoint_range * (i + 1) / spec.changepoints for i in range(spec.changepoints)]
-    terms: list[Column] = [F.lit(1.0), t]
-    terms += [F.greatest(t - F.lit(k), F.lit(0.0)) for k in knots]
-    for period, order in spec.seasons:
-        for n in range(1, order + 1):
-            angle = day * F.lit(2.0 * math.pi * n / period)
-            terms += [F.sin(angle), F.cos(angle)]
+    knots = np.array([spec.changepoint_range * (i + 1) / spec.changepoints for i in range(spec.changepoints)])
+    speeds = np.array([2.0 * math.pi * n / period for period, order in spec.seasons for n in range(1, order + 1)])
     extra = list(spec.regressors)
     if spec.holidays:
         extra += [f"holiday_{i}" for i in range(HOLIDAY_WINDOW[1] - HOLIDAY_WINDOW[0] + 1)]
-    terms += [F.col(name).cast("double") for name in extra]
-    return F.array(*terms)
+    # Array functions keep the plan short; one column per term would outgrow codegen.
+    parts = [
+        F.array(F.lit(1.0), t),
+        F.transform(F.lit(knots), lambda k: F.greatest(t - k, F.lit(0.0))),
+        F.flatten(F.transform(F.lit(speeds), lambda w: F.array(F.sin(day * w), F.cos(day * w)))),
+    ]
+    if extra:
+        parts.append(F.array(*[F.col(name).cast("double") for name in extra]))
+    return F.concat(*parts)
 
 
 # The two functions below run in Python workers. They are made inside functions,
@@ -261,12 +263,12 @@ def forecast_volume(
     """Weather model, triggers, then the volume model, for all series at once.
 
     Both daily inputs are read several times, and so are the triggers. They are
-    small next to the raw data behind them, so each is checkpointed once instead of
-    being derived again for every use.
+    small next to the raw data behind them, so each is written once instead of being
+    derived again for every use.
     """
-    weather, series = cut_lineage(weather), cut_lineage(clean_series(series))
-    temps = cut_lineage(forecast_temperature(weather, days))
-    triggers = cut_lineage(temperature_triggers(temps))
+    weather, series = materialize(weather), materialize(clean_series(series))
+    temps = materialize(forecast_temperature(weather, days))
+    triggers = materialize(temperature_triggers(temps))
     return train_and_forecast(series, triggers, holidays, days)
 
 

@@ -13,12 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import log1p_or_zero
-from tidemark.session import cut_lineage
+from tidemark.session import cut_lineage, materialize
 
 # Search range and seed.
 MIN_K, MAX_K, SEED = 10, 25, 42
 MAX_ITERATIONS, TOLERANCE = 100, 1e-3
 
+ROWS_PER_PARTITION = 50_000
 QUARTILES = (0.25, 0.5, 0.75)
 # A bracket is 50 times the sketch's rank error on either side of its rank.
 SKETCH_ACCURACY, BRACKET = 10_000, 0.005
@@ -107,15 +108,15 @@ def robust_scaled(features: DataFrame, key: str = "user_id") -> DataFrame:
 def scaled_vectors(features: DataFrame, key: str = "user_id", partitions: int | None = None) -> DataFrame:
     """``key, scaled``: the scaled features as one vector per user.
 
-    The rows are hashed by user and sorted inside the partitions. The mixture
-    model's random start depends on row order, so this makes a fit repeatable for
-    one partition count. The frame is checkpointed: every iteration of every fit
+    The rows are hashed by user and sorted inside the partitions, whose number follows
+    from the row count. The mixture model's random start depends on row order, so
+    this makes a fit repeatable on any cluster. The frame is checkpointed: every fit
     reads it again.
     """
     names = feature_columns(features, key)
     assembler = VectorAssembler(inputCols=names, outputCol="scaled")
     vectors = assembler.transform(robust_scaled(features, key)).select(key, "scaled")
-    n = partitions or features.sparkSession.sparkContext.defaultParallelism
+    n = partitions or max(1, math.ceil(features.count() / ROWS_PER_PARTITION))
     return cut_lineage(vectors.repartition(n, key).sortWithinPartitions(key))
 
 
@@ -137,7 +138,7 @@ def aic(log_likelihood: float, k: int, dims: int) -> float:
     return 2.0 * free - 2.0 * log_likelihood
 
 
-def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 4) -> DataFrame:
+def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8) -> DataFrame:
     """``k, aic`` for every k of the range. Fits run side by side, as in a grid search."""
     rows = vectors.count()
     dims = vectors.select(F.size(vector_to_array("scaled")).alias("d")).first()["d"]
@@ -224,13 +225,13 @@ def segment_users(
     min_k: int = MIN_K,
     max_k: int = MAX_K,
     key: str = "user_id",
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """Scale, choose k unless given, fit, summarize, name, and join the names back.
 
-    The features are read by several passes, so their own lineage is cut first.
+    The features are read by several passes, so they are written first.
     """
-    features = cut_lineage(features)
+    features = materialize(features, "features")
     if features.isEmpty():
         raise ValueError("no feature rows for this date")
     vectors = scaled_vectors(features, key)

@@ -30,16 +30,15 @@ DEFAULT_HOURS, MAX_HOURS = 24, 72
 def slots_wide(rows: DataFrame, categories: tuple[str, ...] = FORECAST_CATEGORIES) -> DataFrame:
     """One row per region and slot, one text column per category, last value wins.
 
-    The pivot values are given, so Spark needs no extra job to find them.
+    The pivot values are given, so Spark needs no extra job to find them. Slot texts
+    are parsed after the grouping, once per slot instead of once per row.
     """
-    return (
-        rows.select(
-            "region", compact_slot("fcst_date", "fcst_time").alias("slot"), "category", "fcst_value", "seq"
-        )
-        .groupBy("region", "slot")
+    wide = (
+        rows.groupBy("region", "fcst_date", "fcst_time")
         .pivot("category", list(categories))
         .agg(F.max_by("fcst_value", "seq"))
     )
+    return wide.select("region", compact_slot("fcst_date", "fcst_time").alias("slot"), *categories)
 
 
 def clamp_hours(hours: int | None) -> int:
@@ -93,7 +92,7 @@ def daily_forecast(rows: DataFrame) -> DataFrame:
         mine = F.col("category") == category
         return F.max_by(F.struct(number.alias("v")), F.when(mine, F.col("seq")))["v"]
 
-    days = rows.groupBy("region", compact_day("fcst_date").alias("date")).agg(
+    days = rows.groupBy("region", "fcst_date").agg(
         last("TMN").alias("low"),
         last("TMX").alias("high"),
         F.min(of("TMP")).alias("tmp_min"),
@@ -103,7 +102,7 @@ def daily_forecast(rows: DataFrame) -> DataFrame:
     )
     return days.select(
         "region",
-        "date",
+        compact_day("fcst_date").alias("date"),
         F.coalesce("low", "tmp_min").alias("temp_min_c"),
         F.coalesce("high", "tmp_max").alias("temp_max_c"),
         (F.col("low").isNull() | F.col("high").isNull()).alias("temp_from_hourly"),

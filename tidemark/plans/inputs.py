@@ -246,12 +246,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a derived input as a lazy DataFrame."""
+def load(spark: SparkSession, sf_dir: str, name: str, **ready: DataFrame) -> DataFrame:
+    """A given table or a derived input as a lazy DataFrame.
+
+    ``ready`` holds inputs that are already there and need not be derived again.
+    """
+    if name in ready:
+        return ready[name]
     if name in TABLES:
         return table(spark, sf_dir, name)
     text = INPUTS[name]
-    return spark.sql(text, **{n: load(spark, sf_dir, n) for n in names_in(text)})
+    return spark.sql(text, **{n: load(spark, sf_dir, n, **ready) for n in names_in(text)})
 
 
 def with_inputs(body: str) -> str:

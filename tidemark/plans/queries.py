@@ -24,7 +24,7 @@ from tidemark.operators import (
     weather,
 )
 from tidemark.plans.inputs import HOLIDAYS, load
-from tidemark.session import cut_lineage, scratch_path
+from tidemark.session import materialize, scratch_path
 from tidemark.sources import sinks, weather_feed
 from tidemark.streaming import incremental
 
@@ -186,7 +186,8 @@ def rfm_features(spark, sf_dir):
 
 @query
 def dq_generic(spark, sf_dir):
-    staged = payments.stage_payments(load(spark, sf_dir, "payments"))
+    """The staged model is built once, then tested, as checks run after models."""
+    staged = materialize(payments.stage_payments(load(spark, sf_dir, "payments")), "stg_payment")
     name = "stg_payment"
     return quality.union_all(
         [
@@ -511,13 +512,18 @@ def issue_times(spark, sf_dir):
 # Demand forecast
 
 
+def _daily(spark, sf_dir):
+    """The daily volume, written once: the stand-in predictions are made of it too."""
+    return materialize(load(spark, sf_dir, "volume"), "volume")
+
+
 def _holidays(spark):
     return forecast.holiday_frame(spark, HOLIDAYS)
 
 
 @query
 def temp_triggers(spark, sf_dir):
-    return weather.temperature_triggers(load(spark, sf_dir, "weather"))
+    return weather.temperature_triggers(materialize(load(spark, sf_dir, "weather"), "weather"))
 
 
 @query
@@ -527,14 +533,15 @@ def holiday_window(spark, sf_dir):
 
 @query
 def actual_over_forecast(spark, sf_dir):
-    actual = load(spark, sf_dir, "volume").select(F.col("series_id").alias("region"), "ds", F.col("y").alias("temp"))
-    predicted = load(spark, sf_dir, "week_ago").withColumnRenamed("series_id", "region")
+    daily = _daily(spark, sf_dir)
+    actual = daily.select(F.col("series_id").alias("region"), "ds", F.col("y").alias("temp"))
+    predicted = load(spark, sf_dir, "week_ago", volume=daily).withColumnRenamed("series_id", "region")
     return weather.actual_over_forecast(actual, predicted)
 
 
 @query
 def horizon_days(spark, sf_dir):
-    return forecast.history_and_future(load(spark, sf_dir, "volume"), 60)
+    return forecast.history_and_future(_daily(spark, sf_dir), 60)
 
 
 @query
@@ -549,21 +556,22 @@ def plan_series(spark, sf_dir):
 
 @query
 def forecast_error(spark, sf_dir):
-    return rounded(
-        forecast.mean_absolute_error(load(spark, sf_dir, "volume"), load(spark, sf_dir, "week_ago")), "mae"
-    )
+    daily = _daily(spark, sf_dir)
+    return rounded(forecast.mean_absolute_error(daily, load(spark, sf_dir, "week_ago", volume=daily)), "mae")
 
 
 @query
 def frozen_forecast(spark, sf_dir):
-    return forecast.frozen_pick(load(spark, sf_dir, "dated_predictions"), "2001-06-30")
+    made = load(spark, sf_dir, "dated_predictions", volume=_daily(spark, sf_dir))
+    return forecast.frozen_pick(made, "2001-06-30")
 
 
 @query
 def forecast_checks(spark, sf_dir):
     seen = load(spark, sf_dir, "weather").where(F.col("region") != "ASIA")
     expected = load(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
-    return monitoring.forecast_checks(load(spark, sf_dir, "week_ago"), seen, expected, 14, 2.0)
+    predicted = load(spark, sf_dir, "week_ago", volume=_daily(spark, sf_dir))
+    return monitoring.forecast_checks(predicted, seen, expected, 14, 2.0)
 
 
 @query
@@ -579,7 +587,8 @@ def volume_forecast(spark, sf_dir):
 
 @query
 def robust_scaled(spark, sf_dir):
-    features = cut_lineage(audience.rfm_features(load(spark, sf_dir, "activity"), "2001-12-31").drop("base_date"))
+    made = audience.rfm_features(load(spark, sf_dir, "activity"), "2001-12-31")
+    features = materialize(made.drop("base_date"), "features")
     out = segments.robust_scaled(features)
     return rounded(out, *segments.feature_columns(out))
 
@@ -592,7 +601,7 @@ def aic_elbow(spark, sf_dir):
 @query
 def user_segments(spark, sf_dir):
     made = audience.rfm_features(load(spark, sf_dir, "activity"), "2001-12-31")
-    return edge(segments.segment_users(audience.features_on(made, "2001-12-31"), min_k=3, max_k=8))
+    return edge(segments.segment_users(audience.features_on(made, "2001-12-31")))
 
 
 @query

@@ -18,6 +18,7 @@ SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 _local_dirs: dict[str, str] = {}
@@ -58,8 +59,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), "tidemark", f"{label}-{uuid.uuid4().hex}")
 
 
+def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Write a frame as parquet in the shared folder and read it from there.
+
+    For frames that several later steps read: they are derived once, each reader
+    takes only its columns, and a lost executor costs no recomputation.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later passes read files and survive lost executors."""
+    """Reliable checkpoint that keeps partitions and row order, unlike ``materialize``."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(shared_dir(df.sparkSession))

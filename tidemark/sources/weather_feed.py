@@ -8,6 +8,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tidemark.functions.scalars import blank_as, to_day, to_number
 
+# The feed's result code and station ids.
 GOOD_RESULT = "00"
 STATIONS = {"108": "Region_A", "112": "Region_B", "119": "Region_C", "98": "Region_D"}
 
