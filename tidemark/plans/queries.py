@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -323,7 +324,8 @@ REVENUE = metrics.Product("item_revenue", "item_subtract_count", "unit_price")
 
 
 def _item_frames(spark, sf_dir):
-    items = metrics.categorize_items(load(spark, sf_dir, "wash_items"), load(spark, sf_dir, "item_seed"))
+    seed = materialize(load(spark, sf_dir, "item_seed"), "seed")
+    items = metrics.categorize_items(load(spark, sf_dir, "wash_items"), seed)
     return {"wash_item": items, "plan_item": load(spark, sf_dir, "plan_items")}
 
 
@@ -641,11 +643,11 @@ def incremental_events(spark, sf_dir):
 
 @query
 def stream_events(spark, sf_dir):
-    """The events file as a stream, run twice; the second run finds nothing new."""
-    schema = load(spark, sf_dir, "events").schema
+    """The events table as a stream, run twice; the second run finds nothing new."""
+    source, schema = os.path.join(sf_dir, "events.parquet"), load(spark, sf_dir, "events").schema
     path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     for _ in range(2):
-        stream = incremental.read_files_stream(spark, sf_dir, schema, glob="events*")
+        stream = incremental.read_files_stream(spark, source, schema)
         incremental.stream_append(stream, path, checkpoint).awaitTermination()
     return spark.read.schema(schema).parquet(path)
 

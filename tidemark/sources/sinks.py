@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.session import materialize
+
 TARGET_SCHEMAS = {"dev": "dev_sandbox", "prod": "analytics_mart"}
 PAYLOAD_ROW_LIMIT = 10_000
 
@@ -64,11 +66,12 @@ def write_json_records(df: DataFrame, path: str) -> None:
 def json_payload(df: DataFrame, target: str, order_by: Sequence[str], row_limit: int = PAYLOAD_ROW_LIMIT) -> DataFrame:
     """One row ``(target, row_count, payload)`` for a report-sized frame.
 
-    The text is one value, so the frame must be small: its count is checked
-    first, and a larger frame is refused in favour of ``write_json_records``.
+    The text is one value, so the frame must be small: its count is checked first,
+    and a larger frame is refused in favour of ``write_json_records``. The rows are
+    written once, so that the report is not computed for the check and again after it.
     """
-    found = df.limit(row_limit + 1).count()
-    if found > row_limit:
+    df = materialize(df.limit(row_limit + 1), "payload")
+    if df.count() > row_limit:
         raise ValueError(f"{target}: more than {row_limit} rows; use write_json_records")
     records = F.sort_array(F.collect_list(F.struct(F.struct(*order_by).alias("k"), F.struct(*df.columns).alias("r"))))
     data = F.transform(records, lambda x: x["r"])
