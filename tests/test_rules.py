@@ -138,6 +138,21 @@ def test_issue_times_against_the_rule(spark):
     assert many(df, S.observation_issue("now"))[0] == dt.datetime(2024, 2, 28, 21)
 
 
+def test_wall_times_ignore_the_session_zone(spark):
+    """02:30 of 10 March 2024 does not exist in New York, and is an ordinary time here."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:50:00' as t, '20240310' as d, '0230' as h")
+        assert one(df, S.observation_issue("t").cast("string")) == "2024-03-10 02:00:00"
+        assert one(df, S.forecast_issue("t").cast("string")) == "2024-03-10 02:00:00"
+        assert one(df, S.compact_slot("d", "h").cast("string")) == "2024-03-10 02:30:00"
+        assert one(df, P.from_current_hour("t", "2024-03-10 02:59:00")) is True
+        assert one(df, P.from_current_hour("t", "2024-03-10 03:00:00")) is False
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_service_clock_rolls_the_day(spark):
     df = spark.sql("select timestamp_ntz'2024-01-01 20:00:00' as t")
     assert one(df, S.service_clock("t")) == dt.datetime(2024, 1, 2, 5)

@@ -12,6 +12,8 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import hour_floor
+
 # Fixed values of the service's records.
 CANCELLED_PICKUP_STATUSES = (4, 17)
 COMPLETED = "COMPLETED"
@@ -117,7 +119,7 @@ def is_expired(name: str | Column, base_time: str | datetime, years: int = RETEN
 
 
 def from_current_hour(slot: str | Column, now: str | datetime) -> Column:
-    return _col(slot) >= F.date_trunc("hour", wall_time(now)).cast("timestamp_ntz")
+    return _col(slot) >= hour_floor(wall_time(now))
 
 
 def known_values(name: str | Column, wanted: Sequence[str], known: Sequence[str]) -> Column:

@@ -93,11 +93,13 @@ def blank_as(name: str | Column, default: str) -> Column:
 def one_zone(text: str | Column, pattern: str = "yyyy-MM-dd HH:mm:ss Z", zone: str = CLOCK_ZONE) -> Column:
     """Texts with mixed offsets to one wall clock, so month borders agree.
 
-    The instant is read with its own offset and shown in ``zone``. The steps hold
-    for every session time zone.
+    The instant is read with its own offset and counted from 1970, so the session's
+    time zone and its clock changes have no part in the result.
     """
     instant = F.try_to_timestamp(_col(text), F.lit(pattern))
-    return F.convert_timezone(F.current_timezone(), F.lit(zone), instant.cast("timestamp_ntz"))
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000)).cast("decimal(18,6)")
+    utc = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
 
 
 def whole_part(name: str | Column, kind: str = "int") -> Column:
@@ -122,13 +124,20 @@ def compact_day(text: str | Column) -> Column:
 
 def compact_slot(day_text: str | Column, time_text: str | Column) -> Column:
     """``yyyyMMdd`` + ``HHmm`` to a zone-free timestamp; bad text gives NULL."""
-    joined = F.concat(_col(day_text), _col(time_text))
-    return F.try_to_timestamp(joined, F.lit("yyyyMMddHHmm")).cast("timestamp_ntz")
+    joined, digits = F.concat(_col(day_text), _col(time_text)), r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})$"
+    iso = F.regexp_replace(joined, digits, "$1-$2-$3 $4:$5:00")
+    return F.when(joined.rlike(digits), iso.try_cast("timestamp_ntz"))
+
+
+def hour_floor(name: str | Column) -> Column:
+    """The full hour of a wall time. ``date_trunc`` would pass through the session's zone."""
+    t = _col(name)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
 
 
 def observation_issue(now: str | Column) -> Column:
     """Hourly observations are served 45 minutes after the hour."""
-    return F.date_trunc("hour", _col(now) - F.expr("INTERVAL 45 MINUTES")).cast("timestamp_ntz")
+    return hour_floor(_col(now) - F.expr("INTERVAL 45 MINUTES"))
 
 
 def forecast_issue(now: str | Column) -> Column:
@@ -138,7 +147,7 @@ def forecast_issue(now: str | Column) -> Column:
     midnight, and a time before 02:15 falls on the previous day's last one.
     """
     shifted = (_col(now) - F.expr("INTERVAL 135 MINUTES")).cast("timestamp_ntz")
-    midnight = F.date_trunc("day", shifted).cast("timestamp_ntz")
+    midnight = shifted.cast("date").cast("timestamp_ntz")
     hours = (F.floor(F.hour(shifted) / 3) * 3 + 2).cast("int")
     return midnight + F.make_dt_interval(F.lit(0), hours)
 

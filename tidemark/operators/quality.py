@@ -107,13 +107,11 @@ def freshness_check(
 ) -> DataFrame:
     """Age of the newest row; an empty table is an error."""
     newest = df.agg(F.max(loaded_at).alias("newest"))
-    seconds = F.unix_seconds(wall_time(as_of).cast("timestamp")) - F.unix_seconds(
-        F.col("newest").cast("timestamp")
-    )
-    aged = newest.withColumn("hours", F.floor(seconds / 3600))
+    age = wall_time(as_of) - F.col("newest").cast("timestamp_ntz")
+    aged = newest.withColumn("hours", F.date_part(F.lit("DAY"), age) * 24 + F.date_part(F.lit("HOUR"), age))
     status = (
-        F.when(F.col("newest").isNull() | (seconds > error_hours * 3600), "error")
-        .when(seconds > warn_hours * 3600, "warn")
+        F.when(F.col("newest").isNull() | (age > F.make_dt_interval(hours=F.lit(error_hours))), "error")
+        .when(age > F.make_dt_interval(hours=F.lit(warn_hours)), "warn")
         .otherwise("pass")
     )
     return aged.select(

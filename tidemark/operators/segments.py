@@ -139,7 +139,11 @@ def aic(log_likelihood: float, k: int, dims: int) -> float:
 
 
 def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8) -> DataFrame:
-    """``k, aic`` for every k of the range. Fits run side by side, as in a grid search."""
+    """``k, aic`` for every k of the range. Fits run side by side, as in a grid search.
+
+    The vectors are cached once for all fits; without that every fit keeps a copy.
+    """
+    vectors = vectors.persist()
     rows = vectors.count()
     dims = vectors.select(F.size(vector_to_array("scaled")).alias("d")).first()["d"]
 
@@ -147,8 +151,11 @@ def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, paral
         model = _mixture(k, rows).fit(vectors)
         return k, aic(model.summary.logLikelihood, k, dims)
 
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        scores = list(pool.map(score, range(min_k, max_k + 1)))
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            scores = list(pool.map(score, range(min_k, max_k + 1)))
+    finally:
+        vectors.unpersist()
     return vectors.sparkSession.createDataFrame(scores, "k int, aic double")
 
 

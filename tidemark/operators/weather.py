@@ -64,7 +64,7 @@ def hourly_forecast(rows: DataFrame, now: str | datetime, hours: int | None = No
     slots = upcoming_slots(slots_wide(rows), now, hours)
     return slots.select(
         "region",
-        F.date_format("slot", "MM-dd HH:mm").alias("time"),
+        F.substring(F.col("slot").cast("string"), 6, 11).alias("time"),
         to_number("TMP").alias("temperature_c"),
         to_number("POP").alias("precip_prob_pct"),
         decode("PTY", PRECIPITATION_CODES).alias("precip_type"),
@@ -120,7 +120,7 @@ def current_weather(rows: DataFrame) -> DataFrame:
     )
     return wide.select(
         "region",
-        F.date_format("observed_at", "yyyy-MM-dd HH:mm").alias("observed_at"),
+        F.substring(F.col("observed_at").cast("string"), 1, 16).alias("observed_at"),
         to_number("T1H").alias("temperature_c"),
         to_number("RN1").alias("precip_1h_mm"),
         decode("PTY", PRECIPITATION_CODES).alias("precip_type"),

@@ -84,6 +84,9 @@ from (select '{check}' as check_name, '{target}' as target, '{severity}' as seve
              cast(({failures}) as bigint) as failures) q"""
 
 
+SQL["net_payment_check"] = _verdicts(
+    "net_payment_not_negative", "net_payment", "error", f"select count(*) from ({SQL['net_payment_violations']}) v"
+)
 SQL["parity_status"] = _verdicts(
     "parity", "net_payment", "error", f"select count(*) from ({_PARITY}) p where not within_tolerance"
 )

@@ -644,7 +644,7 @@ def incremental_events(spark, sf_dir):
 @query
 def stream_events(spark, sf_dir):
     """The events table as a stream, run twice; the second run finds nothing new."""
-    source, schema = os.path.join(sf_dir, "events.parquet"), load(spark, sf_dir, "events").schema
+    source, schema = os.path.join(sf_dir, "events.parquet*"), load(spark, sf_dir, "events").schema
     path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     for _ in range(2):
         stream = incremental.read_files_stream(spark, source, schema)
@@ -661,3 +661,9 @@ def json_payload(spark, sf_dir):
 @query
 def redacted_text(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", S.redact("text", SECRETS).alias("text"))
+
+
+@query
+def net_payment_check(spark, sf_dir):
+    bad = payments.negative_net_payments(_net(spark, sf_dir), -2000, exempt_years=(1997,))
+    return quality.rows_check(bad, "net_payment_not_negative", "net_payment")

@@ -41,6 +41,7 @@ def load_increment(source: DataFrame, path: str, ts: str, key: str) -> int:
 def read_files_stream(
     spark: SparkSession, path: str, schema: StructType, glob: str | None = None, files_per_trigger: int = 1000
 ) -> DataFrame:
+    """New files below ``path``. A pattern also takes a table that is one single file."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
