@@ -153,7 +153,8 @@ def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, paral
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            scores = list(pool.map(score, range(min_k, max_k + 1)))
+            # The largest k takes longest, so it starts first.
+            scores = list(pool.map(score, range(max_k, min_k - 1, -1)))
     finally:
         vectors.unpersist()
     return vectors.sparkSession.createDataFrame(scores, "k int, aic double")
