@@ -187,8 +187,9 @@ def rfm_features(spark, sf_dir):
 
 @query
 def dq_generic(spark, sf_dir):
-    """The staged model is built once, then tested, as checks run after models."""
-    staged = materialize(payments.stage_payments(load(spark, sf_dir, "payments")), "stg_payment")
+    """The staged model's tested columns are written once, as checks run after models."""
+    tested = ["payment_id", "payment_type", "payment_reason_type", "user_id", "wash_id"]
+    staged = materialize(payments.stage_payments(load(spark, sf_dir, "payments"), tested), "stg_payment")
     name = "stg_payment"
     return quality.union_all(
         [
