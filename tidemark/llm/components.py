@@ -20,16 +20,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     links = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     links = materialize(links, "links")
     while True:
-        both = links.union(links.select(F.col("hi"), F.col("lo"))).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).where("lo < hi")
-        low = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        joined = large.join(low, "hi")
-        small = joined.select("m", "lo").where("m < lo").toDF("lo", "hi").union(joined.select(F.col("m"), F.col("hi")))
+        both = links.toDF("u", "v").union(links.select("hi", "lo").toDF("u", "v"))
+        least = both.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("w"), F.least("u", "v").alias("m"))
+        large = both.where("v > u").join(least, F.col("u") == F.col("w")).select("m", "v").where("m < v").toDF("lo", "hi")
+        low = large.groupBy("hi").agg(F.min("lo").alias("m")).toDF("top", "m")
+        joined = large.join(low, F.col("hi") == F.col("top")).select("m", "lo", "hi")
+        small = joined.where("m < lo").select("m", "lo").toDF("lo", "hi").union(joined.select("m", "hi").toDF("lo", "hi"))
         links = materialize(small.distinct(), "links")
         # A root is no node's larger end, and each node has one edge: then the edges are stars.
-        tails = links.groupBy("hi").agg(F.count("*").alias("n"))
-        if tails.where("n > 1").isEmpty() and links.join(tails, links["lo"] == tails["hi"], "left_semi").isEmpty():
+        tails = links.groupBy("hi").agg(F.count("*").alias("n")).toDF("tail", "n")
+        if tails.where("n > 1").isEmpty() and links.join(tails, F.col("lo") == F.col("tail"), "left_semi").isEmpty():
             break
-    roots = links.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()
+    roots = links.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("component"))
     return roots.union(links.select("hi", "lo"))

@@ -96,7 +96,7 @@ def _train(positive: np.ndarray, unlabelled: np.ndarray, prior: float, epochs: i
     w = [rng.normal(0, d**-0.5, (d, hidden)), np.zeros(hidden), rng.normal(0, hidden**-0.5, hidden), np.array(0.0)]
     m, v, step = [np.zeros_like(a) for a in w], [np.zeros_like(a) for a in w], 0
     batches = max(1, (len(positive) + len(unlabelled)) // 1024)
-    for _ in range(epochs):
+    for _ in range(max(epochs, 600 // batches)):  # a small sample needs its steps, too
         ps = np.array_split(rng.permutation(len(positive)), batches)
         us = np.array_split(rng.permutation(len(unlabelled)), batches)
         for p_rows, u_rows in zip(ps, us, strict=True):

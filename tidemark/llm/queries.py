@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, line_frequency, packing, quality, sentence_spans, warc
+from tidemark.llm import bpe, line_frequency, packing, parity_join, quality, sentence_spans, top_products, warc
 from tidemark.llm.common import table
 
 
@@ -21,10 +21,18 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_products.top_products(table(spark, sf_dir, "embeddings"))
+
+
 def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.link_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return sentence_spans.drop_repeated_spans(docs)
@@ -42,7 +50,9 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_top_products": op3_top_products,
     "op5_warc_index": op5_warc_index,
+    "op6_parity_join": op6_parity_join,
     "op7_sentence_spans": op7_sentence_spans,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_site_lines": op10_site_lines,
