@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, line_frequency, packing, parity_join, quality, sentence_spans, top_products, warc
+from tidemark.llm import bpe, line_frequency, packing, parity_join, quality, sentence_spans, small_world, top_products, warc
 from tidemark.llm.common import table
 
 
@@ -38,6 +38,10 @@ def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_spans.drop_repeated_spans(docs)
 
 
+def op8_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return small_world.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc_index": op5_warc_index,
     "op6_parity_join": op6_parity_join,
     "op7_sentence_spans": op7_sentence_spans,
+    "op8_small_world": op8_small_world,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_site_lines": op10_site_lines,
 }
