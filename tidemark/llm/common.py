@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,6 +20,15 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished steps.
+
+    It does so for plans that the driver no longer refers to, once that is noticed by a garbage collection.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Memory(dict):
     """Results of a function for its latest arguments, in two generations of ``size`` entries.
 

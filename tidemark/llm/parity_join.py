@@ -24,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidemark.llm.common import bound_batches, map_arrow
 from tidemark.llm.components import components
+from tidemark.llm.hashing import BASE, LETTERS, mix, span_hashes
 from tidemark.session import materialize
 
 #: Rounds that verify a bucket against one member before the rest is verified in pairs.
@@ -38,32 +38,10 @@ STAR_ROUNDS = 3
 PAIRS_TOGETHER = 200
 
 _U = np.uint64
-_BASE = 0xD1342543DE82EF97  # 3 modulo 4, so that neighbouring powers differ in nearly all bits
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit (the finaliser of splitmix64)."""
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
-
-
-_LETTER = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
-_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B]
-_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = 1 << n.bit_length()
-        for i, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, _U)
-            steps[0] = 1
-            _powers[i] = np.cumprod(steps, dtype=_U)
-    return _powers[0][:n], _powers[1][:n]
+_LOWER = LETTERS.copy()
+_LOWER[0x41:0x5B] = LETTERS[0x61:0x7B]
 
 
 def shingles(text: str | None, width: int) -> np.ndarray:
@@ -81,15 +59,12 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     if not len(starts):
         return np.zeros(0, _U)
-    up, down = _power_tables(len(data))
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum(_LETTER[data] * up, dtype=_U, out=sums[1:])
-    words = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    words = mix(span_hashes(_LOWER[data], starts, ends) + (ends - starts).astype(_U))
     width = min(width, len(words))
     n = len(words) - width + 1
     out = words[:n] + _U(width)
     for i in range(1, width):
-        out = mix(out * _U(_BASE) + words[i : n + i])
+        out = mix(out * BASE + words[i : n + i])
     return np.unique(out)
 
 

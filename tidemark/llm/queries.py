@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, line_frequency, packing, parity_join, quality, sentence_spans, small_world, top_products, warc
+from tidemark.llm import bpe, line_frequency, packing, parity_join, quality, sentence_spans, small_world, suffixes, top_products, warc
 from tidemark.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op3_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products.top_products(table(spark, sf_dir, "embeddings"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.removed_bytes(table(spark, sf_dir, "documents"))
+
+
 def op5_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_top_products": op3_top_products,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_warc_index": op5_warc_index,
     "op6_parity_join": op6_parity_join,
     "op7_sentence_spans": op7_sentence_spans,
