@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -25,8 +26,10 @@ def release(spark: SparkSession) -> None:
 
     It does so for plans that the driver no longer refers to, once that is noticed by a garbage collection.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first round frees what Python held in the driver's JVM
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 class Memory(dict):

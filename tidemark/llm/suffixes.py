@@ -28,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ from tidemark.session import materialize
 #: Bytes of a repeated string, and of the gram that anchors it.
 LENGTH, GRAM = 100, 32
 #: Suffixes of a run at most, and of a range of the merge, about.
-RUN, RANGE = 60_000, 60_000
+RUN, RANGE = 100_000, 60_000
 #: Documents, and anchors of each, that the ranges' limits are taken from.
 SAMPLED, SAMPLED_EACH = 1_000, 40
 #: Bytes of a text whose anchors are found at once.
@@ -237,9 +239,13 @@ class _Run:
         prefixes = common_prefixes(rows)
         heads = np.maximum.accumulate(np.where(prefixes < _WIDTH, np.arange(len(rows)), 0))
         again = (ids[doc] != ids[doc[heads]]) | (place != place[heads])
-        for i in np.flatnonzero(again).tolist():
-            start, stop = int(place[i] - most[i]), int(place[i] - least[i]) + LENGTH
-            yield 0, None, *self.docs[doc[i]], start, stop
+        by = np.flatnonzero(again)
+        by = by[np.argsort(doc[by], kind="stable")]
+        for part in np.split(by, np.flatnonzero(np.diff(doc[by])) + 1):
+            if len(part):
+                starts, stops = joined_spans(place[part] - most[part], place[part] - least[part] + LENGTH)
+                for start, stop in zip(starts.tolist(), stops.tolist(), strict=True):
+                    yield 0, None, *self.docs[doc[part[0]]], start, stop
         keep = ~again
         rows, doc, place, least, most = rows[keep], doc[keep], place[keep], least[keep], most[keep]
         first8 = np.ascontiguousarray(rows[:, :8]).view(">u8").ravel()
@@ -252,11 +258,13 @@ class _Run:
             names = ids[used].astype("<i8").tobytes() + b"".join(self.docs[d][1] for d in used.tolist())
             columns = [number.astype("<i4"), place[a:b].astype("<i8"), least[a:b].astype(np.uint8), most[a:b].astype(np.uint8)]
             body = b"".join(c.tobytes() for c in [*columns, prefixes.astype(np.uint8)])
-            yield r, head + names + body + front_coded(rows[a:b], prefixes), None, None, None, None
+            blob = head + names + body + front_coded(rows[a:b], prefixes)
+            yield r, zstandard.compress(blob, 1), None, None, None, None
 
 
 def _opened(blob: bytes) -> tuple[np.ndarray, ...]:
     """(rows, prefixes, ids, pages, places, least, most) of a run."""
+    blob = zstandard.decompress(blob)
     n, docs = np.frombuffer(blob, "<i8", 2)
     at = 16
     parts = []
@@ -412,7 +420,10 @@ def removed_bytes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     release(spark)
     total = held.agg(F.sum(F.size("keys").cast("long"))).first()[0] or 0
     limits = _limits(held, max(1, -(-total // RANGE)))
-    spans = repeated_spans(held.repartition(max(1, -(-total // RUN)), "page"), limits)
+    # Documents with the same least gram are often near copies: side by side, more of their suffixes are equal
+    # within a run. A range splits those that very many share.
+    dealt = held.withColumn("least", F.array_min("keys")).repartitionByRange(max(1, -(-total // RUN)), "least", "id")
+    spans = repeated_spans(dealt.drop("least"), limits)
     per_doc = materialize(
         spans.groupBy("id", "page").agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops")), "cuts"
     )
