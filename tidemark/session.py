@@ -70,6 +70,17 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of frames that ``materialize`` wrote and nothing reads any more."""
+    for df in frames:
+        sc = df.sparkSession.sparkContext
+        own = os.path.join(shared_dir(df.sparkSession), "tidemark")
+        path = sc._jvm.org.apache.hadoop.fs.Path
+        for folder in {os.path.dirname(f) for f in df.inputFiles()}:
+            if path(folder).getParent().toUri().getPath() == path(own).toUri().getPath():
+                path(folder).getFileSystem(sc._jsc.hadoopConfiguration()).delete(path(folder), True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint that keeps partitions and row order, unlike ``materialize``."""
     sc = df.sparkSession.sparkContext
