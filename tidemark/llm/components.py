@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -26,7 +26,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = large.groupBy("hi").agg(F.min("lo").alias("m")).toDF("top", "m")
         joined = large.join(low, F.col("hi") == F.col("top")).select("m", "lo", "hi")
         small = joined.where("m < lo").select("m", "lo").toDF("lo", "hi").union(joined.select("m", "hi").toDF("lo", "hi"))
-        links = materialize(small.distinct(), "links")
+        before, links = links, materialize(small.distinct(), "links")
+        discard(before)
         # A root is no node's larger end, and each node has one edge: then the edges are stars.
         tails = links.groupBy("hi").agg(F.count("*").alias("n")).toDF("tail", "n")
         if tails.where("n > 1").isEmpty() and links.join(tails, F.col("lo") == F.col("tail"), "left_semi").isEmpty():

@@ -27,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bound_batches, map_arrow
+from tidemark.llm.common import bound_batches, map_arrow, release
 from tidemark.llm.components import components
 from tidemark.llm.hashing import BASE, LETTERS, mix, span_hashes
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 #: Rounds that verify a bucket against one member before the rest is verified in pairs.
 STAR_ROUNDS = 3
@@ -95,7 +95,7 @@ class Bands:
                 break
             most = largest * (self.den - self.num) // self.num
             if most:
-                out.append((band, most, -(-most // 4)))
+                out.append((band, most, -(-most // 8)))
         return out
 
 
@@ -111,7 +111,8 @@ def sketch(hashes: np.ndarray, band: int, most: int, spare: int) -> tuple[int, n
     if empty > spare:  # empty blocks could be all that agree: they are keys, too
         rest = np.setdiff1d(np.arange(n_blocks, dtype=_U), block, assume_unique=True)
         values, block = np.r_[values, np.zeros(len(rest), _U)], np.r_[block, rest]
-    keys = mix(values ^ mix(_U(band << 32) + block))
+    # The last two bits tell the bands of one document apart, which are neighbours.
+    keys = mix(values ^ mix(_U(band << 32) + block)) & ~_U(3) | _U(band & 3)
     return max(0, spare - empty), keys.view(np.int64)
 
 
@@ -156,21 +157,23 @@ def _shared_blocks(first: DataFrame) -> DataFrame:
 
     A shuffle of 32-bit keys alone finds which occur twice; only those are shuffled with their documents.
     """
-    each = first.select("id", "n", F.explode("sketches").alias("s")).select(
-        "id", "n", F.col("s.band").alias("band"), F.col("s.spare").alias("spare"), F.explode("s.keys").alias("key")
-    )
-    short = each.select(F.shiftright("key", 32).cast("int").alias("short"))
-    twice = short.groupBy("short").agg(F.count("*").alias("c")).where("c > 1").select("short")
-    maybe = materialize(
-        each.withColumn("short", F.shiftright("key", 32).cast("int")).join(twice.hint("shuffle_hash"), "short").drop("short"), "blocks"
-    )
+    each = first.select("id", F.explode(F.flatten(F.transform("sketches", lambda s: s["keys"]))).alias("key"))
+    short = F.shiftright("key", 32).cast("int").alias("short")
+    twice = each.select(short).groupBy("short").agg(F.count("*").alias("c")).where("c > 1").select("short")
+    maybe = materialize(each.select("id", "key", short).join(twice.hint("shuffle_hash"), "short").drop("short"), "blocks")
+    release(first.sparkSession)
     counts = maybe.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
-    shared = maybe.join(counts, "key")
+    about = first.select("id", "n", F.explode("sketches").alias("s")).select(
+        F.col("id").alias("about"), "n", F.expr("s.band & 3").alias("band"), F.col("s.spare").alias("spare")
+    )
+    shared = maybe.join(counts, "key").join(about, F.expr("id = about and key & 3 = band"))
     mine = Window.partitionBy("id", "n", "band")
     ranked = shared.withColumns(
         {"held": F.count("*").over(mine), "nth": F.row_number().over(mine.orderBy(F.desc("c"), "key"))}
     )
-    return materialize(ranked.where("held > spare and nth > spare").select("key", "id", "n").distinct(), "shared")
+    out = materialize(ranked.where("held > spare and nth > spare").select("key", "id", "n").distinct(), "shared")
+    discard(maybe)
+    return out
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -215,6 +218,10 @@ def link_components(
     alike = sketched.where("id is not null and n > 0").groupBy("digest").agg(F.min("id").alias("head"))
     first = sketched.join(alike.select("digest", F.col("head").alias("id")), ["digest", "id"], "left_semi")
     shared = _shared_blocks(first)
+    members = materialize(sketched.select("id", "n", "digest"), "members")
+    alike = materialize(alike, "classes")
+    discard(sketched)
+    release(docs.sparkSession)
     involved = shared.select("id").distinct()
 
     def set_rows(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -260,7 +267,7 @@ def link_components(
     heads = alike.join(found, F.col("head") == F.col("node"), "left").select(
         F.col("digest").alias("d"), F.coalesce("component", "head").alias("component_id")
     )
-    named = sketched.select("id", "n", "digest").join(heads, F.col("digest") == F.col("d"), "left")
+    named = members.join(heads, F.col("digest") == F.col("d"), "left")
     same = F.when(F.col("id").isNull(), None).when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
     return named.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), same.alias("component_id"))
 

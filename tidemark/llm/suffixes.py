@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import bound_batches, digest16, map_arrow, release
 from tidemark.llm.hashing import LETTERS, mix, span_hashes
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 #: Bytes of a repeated string, and of the gram that anchors it.
 LENGTH, GRAM = 100, 32
@@ -326,7 +326,9 @@ def _repeated_grams(docs: DataFrame, heads: DataFrame) -> DataFrame:
     maybe = materialize(each.join(twice.hint("shuffle_hash"), "short").drop("short"), "grams")
     exact = maybe.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     marks = maybe.join(exact, "key").groupBy("id", "page").agg(F.collect_set("key").alias("keys"))
-    return materialize(marks, "marks")
+    marks = materialize(marks, "marks")
+    discard(first, maybe)
+    return marks
 
 
 def _limits(held: DataFrame, ranges: int) -> np.ndarray:
