@@ -95,7 +95,7 @@ class Bands:
                 break
             most = largest * (self.den - self.num) // self.num
             if most:
-                out.append((band, most, -(-most // 8)))
+                out.append((band, most, -(-most // 6)))
         return out
 
 
@@ -171,8 +171,12 @@ def _shared_blocks(first: DataFrame) -> DataFrame:
     ranked = shared.withColumns(
         {"held": F.count("*").over(mine), "nth": F.row_number().over(mine.orderBy(F.desc("c"), "key"))}
     )
-    out = materialize(ranked.where("held > spare and nth > spare").select("key", "id", "n").distinct(), "shared")
-    discard(maybe)
+    kept = materialize(ranked.where("held > spare and nth > spare").select("key", "id", "n").distinct(), "kept")
+    # What the only other document left out is shared no more.
+    both = kept.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+    out = materialize(kept.join(both, "key"), "shared")
+    discard(maybe, kept)
+    release(first.sparkSession)
     return out
 
 
@@ -182,9 +186,10 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     load = pairs.groupBy(F.col("a").alias("la")).agg(F.ceil(F.count("*") / PAIRS_TOGETHER).cast("int").alias("parts"))
     dealt = pairs.join(load, F.col("a") == F.col("la")).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
     heads = load.select(F.col("la").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    heads = heads.join(sets, F.col("a") == F.col("id")).select("a", "part", F.lit(None).cast("long").alias("b"), "hashes")
-    tails = dealt.join(sets, F.col("b") == F.col("id")).select("a", "part", "b", "hashes")
-    streams = heads.union(tails).repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    heads = heads.select("a", "part", F.lit(None).cast("long").alias("b"), F.col("a").alias("of"))
+    needed = heads.union(dealt.select("a", "part", "b", F.col("b").alias("of")))
+    streams = needed.join(sets, F.col("of") == F.col("id")).select("a", "part", "b", "hashes")
+    streams = streams.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, held = None, []
@@ -263,6 +268,7 @@ def link_components(
         checked = pairs if checked is None else checked.union(pairs)
         if not new.isEmpty():
             found = materialize(components(edges), "components")
+        release(docs.sparkSession)
     # By class: its head's component; the component's name is its smallest id.
     heads = alike.join(found, F.col("head") == F.col("node"), "left").select(
         F.col("digest").alias("d"), F.coalesce("component", "head").alias("component_id")
