@@ -109,8 +109,9 @@ def test_payload(rows):
     row = sinks.json_payload(df, "t", ["m"]).first()
     assert row["row_count"] == 2
     assert json.loads(row["payload"]) == {"target": "t", "data": [{"m": "a", "n": None}, {"m": "b", "n": 2}]}
-    with pytest.raises(ValueError, match="write_json_records"):
-        sinks.json_payload(df, "t", ["m"], row_limit=1)
+    parts = sorted(sinks.json_payload(df, "t", ["m"], rows=1).collect())
+    assert [(r["part"], json.loads(r["payload"])["data"][0]["m"]) for r in parts] == [(1, "a"), (2, "b")]
+    assert sinks.json_payload(df.limit(0), "t", ["m"]).first()["row_count"] == 0
 
 
 def test_json_records(spark, rows, tmp_path):
@@ -149,10 +150,11 @@ def test_increment_reruns_and_ties(spark, rows, tmp_path):
     path = str(tmp_path / "inc")
     day = dt.date(2024, 1, 1)
     first = rows("k int, d date", (1, day), (2, day))
-    assert incremental.load_increment(first, path, "d", "k") == 2
-    assert incremental.load_increment(first, path, "d", "k") == 0
+    assert incremental.load_increment(first, path, "d", "k").loaded == 2
+    assert incremental.load_increment(first, path, "d", "k").loaded == 0
     late = rows("k int, d date", (1, day), (2, day), (3, day), (4, dt.date(2024, 1, 2)), (0, dt.date(2023, 1, 1)))
-    assert incremental.load_increment(late, path, "d", "k") == 2
+    load = incremental.load_increment(late, path, "d", "k")
+    assert load.loaded == 2 and [r["k"] for r in load.missed.collect()] == [0]
     assert sorted(r["k"] for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
 
 

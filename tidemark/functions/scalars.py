@@ -72,7 +72,7 @@ def random_token() -> Column:
 
 def log1p_or_zero(name: str | Column) -> Column:
     """ln(1+x) with missing values and values at or below -1 read as 0."""
-    value = F.coalesce(_col(name).cast("double"), F.lit(0.0))
+    value = F.nanvl(F.coalesce(_col(name).cast("double"), F.lit(0.0)), F.lit(0.0))
     return F.when(value > -1.0, F.log1p(value)).otherwise(F.lit(0.0))
 
 

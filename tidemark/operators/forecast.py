@@ -294,7 +294,7 @@ def forecast_totals(forecast: DataFrame, plans: Sequence[str] | None = None, n:
         needed = F.lit(len(plans))
         sums = recent.groupBy("ds")
     else:
-        needed, sums = F.lit(1), recent.groupBy("ds")
+        needed, sums = F.lit(recent.select("series_id").distinct().count()), recent.groupBy("ds")
     totals = sums.agg(
         F.count(F.lit(1)).alias("_plans"),
         *[whole_part(F.sum(c), "int").alias(f"total_{c.replace('yhat_', '')}") for c in ("yhat", "yhat_lower", "yhat_upper")],

@@ -9,11 +9,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import DEFAULT_ITEM_CATEGORY
-from tidemark.operators.joins import broadcast_if_small
 from tidemark.operators.quality import unique_check
 
 GRAINS = ("day", "week", "month", "quarter", "year")
@@ -111,6 +110,22 @@ def check_relationship(model: SemanticModel, name: str, frames: Mapping[str, Dat
     return unique_check(frames[link.right_table], [r for _, r in link.columns], link.right_table)
 
 
+def _at_grain(column: Column, grain: str) -> Column:
+    if not grain:
+        return column
+    return column.cast("date") if grain == "day" else F.trunc(column, grain)
+
+
+def _one_per_key(related: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
+    """The right side of a many-to-one join; a key that occurs twice fails the query that reads it."""
+    values = [c for c in related.columns if c not in keys]
+    once = related.na.drop(subset=list(keys)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in values]
+    )
+    twice = F.raise_error(F.lit(f"{name}: a key of the many-to-one relationship occurs more than once"))
+    return once.where(F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(F.lit(True))).drop("_n")
+
+
 def metric_query(
     model: SemanticModel,
     frames: Mapping[str, DataFrame],
@@ -144,7 +159,7 @@ def metric_query(
             raise ValueError(f"model {model.name}: unknown dimension {name!r} from {base}")
         column = F.expr(found.expr)
         out = f"{name}_{grain}" if grain else name
-        owner[out] = F.trunc(column, grain) if grain else column
+        owner[out] = _at_grain(column, grain)
         out_names.append(out)
 
     products = [m for m in measures if isinstance(m, Product)]
@@ -176,7 +191,7 @@ def metric_query(
             *[c.alias(n) for n, c in right_dims.items()],
             *[F.expr(right.measure(p.factor).expr).alias(f"_f_{p.name}") for p in products],
         )
-        grouped = grouped.join(related, list(keys), "left")
+        grouped = grouped.join(_one_per_key(related, list(keys), link.name), list(keys), "left")
 
     return grouped.groupBy(*out_names).agg(
         *[F.sum(f"_m_{n}").alias(n) for n in plain],
@@ -187,10 +202,10 @@ def metric_query(
 def categorize_items(items: DataFrame, seed: DataFrame, default: str = DEFAULT_ITEM_CATEGORY) -> DataFrame:
     """Item names to their category through the seed; unlisted names get the default.
 
-    The seed is unique by ``item_name``. A few names cover all items, so a shuffle by
-    name would be skewed: the seed is broadcast when its counted size allows it.
+    The seed is unique by ``item_name``. A few names cover all items: adaptive execution
+    broadcasts a seed it measures as small and splits the hot names of a larger one.
     """
-    named = broadcast_if_small(seed.select("item_name", F.col("category").alias("_category")))
+    named = seed.select("item_name", F.col("category").alias("_category"))
     return items.join(named, "item_name", "left").select(
         *items.columns, F.coalesce("_category", F.lit(default)).alias("subtract_category")
     )

@@ -59,8 +59,9 @@ def against_recent_mean(series: DataFrame, n: int, value: str = "y", key: str =
 
 
 def spikes(series: DataFrame, n: int, factor: float, value: str = "y", key: str = "series_id") -> DataFrame:
-    """Rows at least ``factor`` times the recent mean."""
-    return against_recent_mean(series, n, value, key).where(F.col("ratio") >= F.lit(float(factor)))
+    """Rows at least ``factor`` times the recent mean; any rise from a mean of 0 is one, without a ratio."""
+    rise = (F.col("recent_mean") == 0) & (F.col(value) > 0)
+    return against_recent_mean(series, n, value, key).where((F.col("ratio") >= F.lit(float(factor))) | rise)
 
 
 def count_drops(runs: DataFrame, share: float) -> DataFrame:

@@ -126,10 +126,11 @@ def monthly_amount(rows: DataFrame, when: str, amount: str, name: str) -> DataFr
 def reconcile(model: DataFrame, reference: DataFrame, tolerance: float) -> DataFrame:
     """Month by month: model value against operating value, relative error, verdict.
 
-    A month that only one side has is out of tolerance.
+    A month that only one side has is out of tolerance, and so is a value against 0; 0 against 0 is none.
     """
     joined = model.join(reference, "month", "full_outer")
-    error = F.abs(F.col("model_value") - F.col("reference_value")) / F.abs(F.col("reference_value"))
+    gap = F.abs(F.col("model_value") - F.col("reference_value"))
+    error = F.when(gap == 0, F.lit(0.0)).otherwise(F.try_divide(gap, F.abs(F.col("reference_value"))))
     return joined.withColumn("relative_error", error).withColumn(
         "within_tolerance", F.coalesce(F.col("relative_error") <= F.lit(tolerance), F.lit(False))
     )

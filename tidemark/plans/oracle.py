@@ -91,39 +91,41 @@ SQL["parity_status"] = _verdicts(
     "parity", "net_payment", "error", f"select count(*) from ({_PARITY}) p where not within_tolerance"
 )
 _COHORTS = """
-select strftime(f, '%Y-%m') as cohort_month, count(distinct user_id) as user_count,
-       count(distinct case when seq = 0 then user_id end) as ret_0,
-       count(distinct case when seq = 1 then user_id end) as ret_1
-from (select p.user_id, f, floor(date_diff('day', f, wash_date) / 30.5) as seq
-      from {pickups} p join (select user_id, min(wash_date) as f from {pickups} group by 1) x
-        on p.user_id = x.user_id) s group by 1
+with days as (select user_id, list(distinct wash_date) as washed, min(wash_date) as began from {pickups} group by user_id),
+periods as (select strftime(began, '%Y-%m') as cohort_month,
+                   list_transform(washed, lambda d: floor((d - began) / 30.5)) as numbers from days)
+select cohort_month, count(*) as user_count, count(*) filter (where list_contains(numbers, 0)) as ret_0,
+       count(*) filter (where list_contains(numbers, 1)) as ret_1
+from periods group by cohort_month
 """
 SQL["cohort_retention"] = _COHORTS
 SQL["first_pickups"] = "select user_id, min(wash_date) as first_wash_date from {pickups} group by 1"
 
 
 def _report(end_condition: str, names: tuple[str, ...]) -> str:
-    a, b, c, d, e, f = names
+    day, order, user, member, store, first = names
+    bought = """(select sum(pay_amount) - sum(cancel_amount) from {store_orders} x
+       where x.order_id = main.order_id and x.user_id is not null and x.order_status = 'COMPLETED'
+         and date_trunc('day', x.created_at) >= date '1997-03-01' and date_trunc('day', x.created_at) <= date '1997-08-31')"""
     return f"""
-select cast(o.created_at as date) as "{a}", o.order_id as "{b}", o.user_id as "{c}",
-       coalesce(cast(m.membership_price as varchar), '정기결제 차감') as "{d}",
-       cast(coalesce(s.net, 0) as double) as "{e}",
-       case when o.is_first_order then '첫이용' else '기존이용' end as "{f}"
-from {{main_orders}} o
-left join (select user_id, order_id, sum(pay_amount - cancel_amount) as net from {{store_orders}}
-           where order_status = 'COMPLETED' and cast(created_at as date) between date '1997-03-01' and date '1997-08-31'
-           group by 1, 2 having sum(pay_amount - cancel_amount) > 0) s on o.order_id = s.order_id
-left join {{memberships}} m on o.order_id = m.order_id
-where o.status not in ('CANCELLED', 'REFUNDED') and o.external_channel_pgi is null and {end_condition}
+select day as "{day}", order_id as "{order}", user_id as "{user}", coalesce(price, '정기결제 차감') as "{member}",
+       case when spent > 0 then spent::double else 0.0 end as "{store}",
+       ['기존이용', '첫이용'][1 + coalesce(is_first_order, false)::int] as "{first}"
+from (
+  select created_at::date as day, order_id, user_id, is_first_order, {bought} as spent,
+         (select membership_price::varchar from {{memberships}} y where y.order_id = main.order_id) as price
+  from {{main_orders}} main
+  where external_channel_pgi is null and status <> 'CANCELLED' and status <> 'REFUNDED' and {end_condition}
+) picked
 """
 
 
 SQL["order_report"] = _report(
-    "cast(o.created_at as date) between date '1997-03-01' and date '1997-08-31'",
+    "cast(main.created_at as date) between date '1997-03-01' and date '1997-08-31'",
     ("order_date", "order_id", "user_id", "membership_amount", "store_amount", "first_use"),
 )
 SQL["order_report_instants"] = _report(
-    "o.created_at between timestamp '1997-03-01 00:00:00' and timestamp '1997-08-31 00:00:00'",
+    "main.created_at between timestamp '1997-03-01 00:00:00' and timestamp '1997-08-31 00:00:00'",
     ("주문 일자", "주문 번호", "고객 번호", "멤버십 이용 금액", "스토어 결제 금액", "첫 이용 여부"),
 )
 
@@ -265,16 +267,25 @@ from ({_ITEMS}) i left join {{plan_items}} p
 where {_VALID}
 """
 SQL["item_revenue"] = f"""
-select subtract_category, cast(date_trunc('month', created_date) as date) as created_date_month,
-       cast(sum(qty) as bigint) as item_quantity, cast(sum(cnt) as bigint) as item_subtract_count,
-       cast(sum(cnt * unit_price) as double) as item_revenue
+select subtract_category as category, cast(date_trunc('month', created_date) as date) as washed_on_month,
+       cast(sum(qty) as bigint) as pieces, cast(sum(cnt) as bigint) as counted_pieces,
+       cast(sum(cnt * unit_price) as double) as washed_value
 from ({_PRICED}) x where created_date >= date '1996-01-01' group by 1, 2
 """
 SQL["item_revenue_by_delivery"] = f"""
-select delivery_times, cast(sum(cnt) as bigint) as item_subtract_count,
-       cast(sum(cnt * unit_price) as double) as item_revenue from ({_PRICED}) x group by 1
+select delivery_times as trips, cast(sum(cnt) as bigint) as counted_pieces,
+       cast(sum(cnt * unit_price) as double) as washed_value from ({_PRICED}) x group by 1
+"""
+SQL["item_revenue_by_day"] = f"""
+select cast(created_date as date) as washed_on_day, cast(sum(qty) as bigint) as pieces,
+       cast(sum(cnt * unit_price) as double) as washed_value from ({_PRICED}) x group by 1
 """
-SQL["item_quantity_total"] = f"select cast(sum(qty) as bigint) as item_quantity from ({_ITEMS}) i where {_VALID}"
+SQL["item_revenue_by_grain"] = " union all ".join(
+    f"select '{g}' as grain, cast(date_trunc('{g}', created_date) as date) as starts, cast(sum(qty) as bigint) as pieces"
+    f" from ({_ITEMS}) i where {_VALID} group by 1, 2"
+    for g in ("day", "week", "month", "quarter", "year")
+)
+SQL["item_quantity_total"] = f"select cast(sum(qty) as bigint) as pieces from ({_ITEMS}) i where {_VALID}"
 SQL["plan_key_check"] = _verdicts(
     "unique(plan_id,subtract_category)",
     "plan_item",
@@ -336,7 +347,9 @@ select case region when 'AFRICA' then '108' when 'AMERICA' then '112' when 'ASIA
                    else '159' end as station_id,
        month, case when month like '%-11' then 'not_json' else 'error_code' end as status,
        case when month like '%-11' then concat('<error><month>', month, '</month></error>') else '99: LIMIT' end
-         as detail
+         as detail,
+       case when month like '%-11' then concat('<error><month>', month, '</month></error>')
+            else '{"response":{"header":{"resultCode":"99","resultMsg":"LIMIT"}}}' end as raw
 from (select distinct region, strftime(ds, '%Y-%m') as month from {weather}
       where extract(month from ds) in (7, 11)) m
 """
@@ -533,9 +546,14 @@ SQL["segment_checks"] = "\nunion all\n".join(
 )
 
 SQL["incremental_events"] = "select * from {events}"
+SQL["incremental_late"] = """
+select event_id, ts, not coalesce(event_id % 7 = 0 and ts < (
+  select max(ts) from {events} where ts < timestamp '2024-01-15' and event_id % 7 <> 0) - interval 3 day, false) as loaded
+from {events}
+"""
 SQL["stream_events"] = "select * from {events}"
 SQL["json_payload"] = f"""
-select 'cohort_retention' as target, count(*) as row_count,
+select 'cohort_retention' as target, cast(1 as int) as part, count(*) as row_count,
        concat('{{"target":"cohort_retention","data":[',
               string_agg(concat('{{"cohort_month":"', cohort_month, '","user_count":', cast(user_count as varchar),
                                 ',"ret_0":', cast(ret_0 as varchar), ',"ret_1":', cast(ret_1 as varchar), '}}'), ','

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import os
 from collections.abc import Callable
 
@@ -272,56 +273,21 @@ def row_count_drops(spark, sf_dir):
 
 # Metric layer
 
-ITEM_MODEL = metrics.model_from_spec(
-    {
-        "name": "item_revenue",
-        "tables": [
-            {
-                "name": "plan_item",
-                "dimensions": [
-                    {"name": "plan_id", "expr": "plan_id"},
-                    {"name": "delivery_times", "expr": "delivery_times"},
-                ],
-                "measures": [{"name": "unit_price", "expr": "unit_price"}],
-            },
-            {
-                "name": "wash_item",
-                "dimensions": [
-                    {"name": "item_plan_id", "expr": "plan_id"},
-                    {"name": "subtract_category", "expr": "subtract_category"},
-                ],
-                "measures": [
-                    {"name": "item_quantity", "expr": "qty"},
-                    {
-                        "name": "item_subtract_count",
-                        "expr": "case when subtract_type = 'SUBTRACT' then qty else 0 end",
-                    },
-                ],
-                "time_dimensions": [{"name": "created_date", "expr": "created_date"}],
-                "facts": [
-                    {
-                        "name": "valid_wash_filter",
-                        "expr": "status not in (4, 17) and channel_pgi is null "
-                        f"and item_name != '{P.NOT_WASHABLE_ITEM}'",
-                        "labels": ["filter"],
-                    }
-                ],
-            },
-        ],
-        "relationships": [
-            {
-                "name": "wash_item_to_plan",
-                "left_table": "wash_item",
-                "right_table": "plan_item",
-                "relationship_columns": [
-                    {"left_column": "plan_id", "right_column": "plan_id"},
-                    {"left_column": "subtract_category", "right_column": "subtract_category"},
-                ],
-            }
-        ],
-    }
+OFFERS = metrics.LogicalTable(
+    "plan_item",
+    dimensions=(metrics.Field("trips", "delivery_times"),),
+    measures=(metrics.Field("price", "unit_price"),),
+)
+WASHED = metrics.LogicalTable(
+    "wash_item",
+    dimensions=(metrics.Field("category", "subtract_category"), metrics.Field("washer", "user_id")),
+    measures=(metrics.Field("pieces", "qty"), metrics.Field("counted_pieces", "if(subtract_type = 'SUBTRACT', qty, 0)")),
+    time_dimensions=(metrics.Field("washed_on", "created_date"),),
+    filters=(metrics.Field("counts", f"not (status in (4, 17)) and channel_pgi is null and item_name <> '{P.NOT_WASHABLE_ITEM}'"),),
 )
-REVENUE = metrics.Product("item_revenue", "item_subtract_count", "unit_price")
+PRICED = metrics.Relationship("priced_by_plan", "wash_item", "plan_item", (("plan_id", "plan_id"), ("subtract_category", "subtract_category")))
+ITEM_MODEL = metrics.SemanticModel("laundry", (OFFERS, WASHED), (PRICED,))
+VALUE = metrics.Product("washed_value", "counted_pieces", "price")
 
 
 def _item_frames(spark, sf_dir):
@@ -354,8 +320,8 @@ def item_revenue(spark, sf_dir):
         ITEM_MODEL,
         _item_frames(spark, sf_dir),
         "wash_item",
-        ["item_quantity", "item_subtract_count", REVENUE],
-        ["subtract_category", "created_date:month"],
+        ["pieces", "counted_pieces", VALUE],
+        ["category", "washed_on:month"],
         where=["created_date >= date '1996-01-01'"],
     )
     return edge(out)
@@ -364,19 +330,33 @@ def item_revenue(spark, sf_dir):
 @query
 def item_revenue_by_delivery(spark, sf_dir):
     out = metrics.metric_query(
-        ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["item_subtract_count", REVENUE], ["delivery_times"]
+        ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["counted_pieces", VALUE], ["trips"]
     )
     return edge(out)
 
 
+@query
+def item_revenue_by_day(spark, sf_dir):
+    out = metrics.metric_query(ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["pieces", VALUE], ["washed_on:day"])
+    return edge(out)
+
+
+@query
+def item_revenue_by_grain(spark, sf_dir):
+    frames = _item_frames(spark, sf_dir)
+    one = lambda g: metrics.metric_query(ITEM_MODEL, frames, "wash_item", ["pieces"], [f"washed_on:{g}"])
+    named = [one(g).select(F.lit(g).alias("grain"), F.col(f"washed_on_{g}").alias("starts"), "pieces") for g in metrics.GRAINS]
+    return functools.reduce(DataFrame.unionByName, named)
+
+
 @query
 def item_quantity_total(spark, sf_dir):
-    return metrics.metric_query(ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["item_quantity"])
+    return metrics.metric_query(ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["pieces"])
 
 
 @query
 def plan_key_check(spark, sf_dir):
-    return metrics.check_relationship(ITEM_MODEL, "wash_item_to_plan", _item_frames(spark, sf_dir))
+    return metrics.check_relationship(ITEM_MODEL, "priced_by_plan", _item_frames(spark, sf_dir))
 
 
 @query
@@ -642,6 +622,18 @@ def incremental_events(spark, sf_dir):
     return spark.read.schema(events.schema).parquet(path)
 
 
+@query
+def incremental_late(spark, sf_dir):
+    """Every seventh event comes late: loaded within the lookback, reported as missed beyond it."""
+    events = load(spark, sf_dir, "events").select("event_id", "ts")
+    path = scratch_path(spark, "incremental-late")
+    on_time = (F.col("ts") < P.wall_time("2024-01-15 00:00:00")) & (F.col("event_id") % 7 != 0)
+    incremental.load_increment(events.where(on_time), path, "ts", "event_id")
+    missed = incremental.load_increment(events, path, "ts", "event_id").missed
+    loaded = spark.read.schema(events.schema).parquet(path).withColumn("loaded", F.lit(True))
+    return loaded.unionByName(materialize(missed.withColumn("loaded", F.lit(False)), "missed"))
+
+
 @query
 def stream_events(spark, sf_dir):
     """The events table as a stream, run twice; the second run finds nothing new."""

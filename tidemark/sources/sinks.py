@@ -5,14 +5,15 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.session import materialize
 
 TARGET_SCHEMAS = {"dev": "dev_sandbox", "prod": "analytics_mart"}
-PAYLOAD_ROW_LIMIT = 10_000
+#: Records of one payload.
+PAYLOAD_ROWS = 10_000
 
 
 def qualified_name(model: str, target: str = "dev", schemas: dict[str, str] | None = None) -> str:
@@ -63,24 +64,33 @@ def write_json_records(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def json_payload(df: DataFrame, target: str, order_by: Sequence[str], row_limit: int = PAYLOAD_ROW_LIMIT) -> DataFrame:
-    """One row ``(target, row_count, payload)`` for a report-sized frame.
+def json_payload(df: DataFrame, target: str, order_by: Sequence[str], rows: int = PAYLOAD_ROWS) -> DataFrame:
+    """Numbered payloads ``(target, part, row_count, payload)`` of ``rows`` records each, in order.
 
-    The text is one value, so the frame must be small: its count is checked first,
-    and a larger frame is refused in favour of ``write_json_records``. The rows are
-    written once, so that the report is not computed for the check and again after it.
+    Tasks sort ranges of the rows; the counts of the ranges give each row its place, so no task holds more
+    than a range, and a payload never more than ``rows`` records. An empty frame gives one empty payload.
     """
-    df = materialize(df.limit(row_limit + 1), "payload")
-    if df.count() > row_limit:
-        raise ValueError(f"{target}: more than {row_limit} rows; use write_json_records")
-    records = F.sort_array(F.collect_list(F.struct(F.struct(*order_by).alias("k"), F.struct(*df.columns).alias("r"))))
-    data = F.transform(records, lambda x: x["r"])
-    return df.agg(data.alias("data")).select(
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order_by).withColumn("_range", F.spark_partition_id())
+    held = materialize(ranged, "payload")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    heads = held.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_head")
+    )
+    within = Window.partitionBy("_range").orderBy(*order_by)
+    numbered = held.withColumn("_nth", F.row_number().over(within) - 1).join(heads, "_range")
+    place = F.col("_head") + F.col("_nth")
+    record = F.struct(place.alias("k"), F.struct(*df.columns).alias("r"))
+    parts = numbered.groupBy((F.floor(place / rows) + 1).cast("int").alias("part")).agg(F.sort_array(F.collect_list(record)).alias("s"))
+    if held.isEmpty():
+        kind = f"part int, s {parts.schema['s'].dataType.simpleString()}"
+        parts = spark.createDataFrame([(1, [])], kind)
+    data = parts.select("part", F.transform("s", lambda x: x["r"]).alias("data"))
+    return data.select(
         F.lit(target).alias("target"),
+        "part",
         F.size("data").cast("bigint").alias("row_count"),
-        F.to_json(F.struct(F.lit(target).alias("target"), F.col("data")), {"ignoreNullFields": "false"}).alias(
-            "payload"
-        ),
+        F.to_json(F.struct(F.lit(target).alias("target"), F.col("data")), {"ignoreNullFields": "false"}).alias("payload"),
     )
 
 
@@ -124,10 +134,10 @@ def new_rows(batch: DataFrame, target: DataFrame, key: str, order_by: Sequence[s
 def append_new(batch: DataFrame, path: str, key: str, order_by: Sequence[str] | None = None) -> int:
     """Append unseen rows to the table at ``path``; a second run appends none."""
     spark = batch.sparkSession
-    target = read_or_empty(spark, path, batch.schema)
-    before = target.count()
-    new_rows(batch, target, key, order_by).select(*batch.columns).write.mode("append").parquet(path)
-    return spark.read.schema(batch.schema).parquet(path).count() - before
+    target, seen = read_or_empty(spark, path, batch.schema), Observation()
+    new = new_rows(batch, target, key, order_by).select(*batch.columns)
+    new.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return seen.get["rows"]
 
 
 def freeze_forecast(forecast: DataFrame, path: str, as_of_date: str) -> None:

@@ -72,12 +72,12 @@ def parse_responses(raw: DataFrame) -> DataFrame:
 
 
 def quarantined(responses: DataFrame) -> DataFrame:
-    """Unusable responses with a short reason for the run report."""
+    """Unusable responses whole, with a short reason for the run report."""
     code = F.col("parsed.response.header.resultCode")
     detail = F.when(F.col("status") == "not_json", F.substring("raw", 1, 200)).otherwise(
         F.concat_ws(": ", code, F.col("parsed.response.header.resultMsg"))
     )
-    keep = [c for c in responses.columns if c not in ("raw", "parsed", "status")]
+    keep = [c for c in responses.columns if c not in ("parsed", "status")]
     return responses.where(F.col("status") != "ok").select(*keep, "status", detail.alias("detail"))
 
 

@@ -3,39 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 from tidemark.sources.sinks import append_new, read_or_empty
 
 REFRESH_INTERVAL = "15 minutes"
+#: How far before the newest loaded row a later load still looks for unseen ones.
+LOOKBACK = "3 days"
 
 
-def rows_after(source: DataFrame, target: DataFrame, ts: str, key: str) -> DataFrame:
-    """Source rows newer than the target's newest, plus unseen rows of that same instant.
+class Load(NamedTuple):
+    """Rows appended, and unseen rows that were too late for it (lazy)."""
 
-    The high-water mark is one value and becomes a literal, so the filter is pushed
-    into the scan. Rows that share the mark's instant are compared by key; only those
-    rows of the target are read for it.
+    loaded: int
+    missed: DataFrame
+
+
+def _edge(target: DataFrame, ts: str, lookback: str) -> Column | None:
+    """The target's newest time less the lookback, as a literal of the column's type; None without rows.
+
+    A zoned time travels as microseconds, so no session or system zone takes part.
     """
-    mark = target.agg(F.max(ts).alias("m")).first()["m"]
+    kind = target.schema[ts].dataType
+    newest = F.max(ts)
+    mark = target.agg((F.unix_micros(newest) if isinstance(kind, TimestampType) else newest.cast("string")).alias("m")).first()["m"]
     if mark is None:
-        return source
-    edge = F.lit(str(mark)).cast(target.schema[ts].dataType)
-    seen = target.where(F.col(ts) == edge).select(key)
-    return source.where(F.col(ts) >= edge).join(seen, key, "left_anti").select(*source.columns)
+        return None
+    edge = F.timestamp_micros(F.lit(mark)) if isinstance(kind, TimestampType) else F.lit(mark).cast(kind)
+    return (edge - F.expr(f"interval {lookback}")).cast(kind) if isinstance(kind, (TimestampType, TimestampNTZType, DateType)) else edge
+
+
+def rows_after(source: DataFrame, target: DataFrame, ts: str, key: str, lookback: str = LOOKBACK) -> tuple[DataFrame, DataFrame]:
+    """(source rows to load, unseen rows that are too old for it).
+
+    Rows from ``lookback`` before the target's newest on are compared by key, and so are rows without a
+    time. Both ranges are filters on literals that reach the scans.
+    """
+    edge = _edge(target, ts, lookback)
+    if edge is None:
+        seen = target.select(key)
+        return source.join(seen, key, "left_anti").select(*source.columns), source.limit(0)
+    fresh = (F.col(ts) >= edge) | F.col(ts).isNull()
+    new = source.where(fresh).join(target.where(fresh).select(key), key, "left_anti").select(*source.columns)
+    old = F.col(ts) < edge
+    return new, source.where(old).join(target.where(old).select(key), key, "left_anti").select(*source.columns)
 
 
-def load_increment(source: DataFrame, path: str, ts: str, key: str) -> int:
+def load_increment(source: DataFrame, path: str, ts: str, key: str, lookback: str = LOOKBACK) -> Load:
     """Append new rows to the table at ``path``. The first run loads all, a rerun 0."""
     spark = source.sparkSession
-    target = read_or_empty(spark, path, source.schema)
-    before = target.count()
-    rows_after(source, target, ts, key).write.mode("append").parquet(path)
-    return spark.read.schema(source.schema).parquet(path).count() - before
+    new, missed = rows_after(source, read_or_empty(spark, path, source.schema), ts, key, lookback)
+    seen = Observation()
+    new.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return Load(seen.get["rows"], missed)
 
 
 def read_files_stream(
