@@ -310,6 +310,24 @@ def test_chains_of_near_copies_without_a_common_center(spark):
     assert got == brute_components(rows, 3, 85, 100)[1]
 
 
+@pytest.mark.parametrize("stars", [0, 2])
+def test_links_between_copies_that_are_far_from_their_original(spark, monkeypatch, stars):
+    monkeypatch.setattr(parity_join, "STAR_ROUNDS", stars)
+    rng = random.Random(11)
+    words, rows = [f"v{rng.randrange(9000)}" for _ in range(160)], []
+    for i in range(70):  # further from the original than the limit, some close to each other, some only shorter
+        own = list(words)
+        for place in rng.sample(range(160), rng.randrange(3, 9)):
+            own[place] = f"z{i}" if i % 3 else ""
+        rows.append((i, " ".join(own)))
+        if i % 4 == 0:
+            own[rng.randrange(160)] = "last"
+            rows.append((1000 - i, " ".join(own)))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["component_id"] for r in parity_join.link_components(frame, 3, 90, 100).collect()}
+    assert got == brute_components(rows, 3, 90, 100)[1]
+
+
 def test_sketches_differ_in_at_most_the_symmetric_difference():
     rng = np.random.default_rng(1)
     a = hashing.mix(rng.integers(0, 1 << 62, 500).astype(np.uint64))

@@ -8,9 +8,10 @@ document can only be linked through its blocks that another one shares, needs 1
 out the e most frequent (every document leaves out by the same order, so one block in common remains).
 
 Equal sets are one class from the start. In each bucket of equal blocks the members are verified against
-one of them; members that this joins need no further check. After some rounds of that, all pairs of a
-bucket that are still in different components are verified. So every link between components is found, but
-a group of near copies costs about one check per member and not one per pair.
+one of them; members that this joins need no further check. After some rounds of that, what is still in different
+components is compared with one center per bucket, and members meet again only if the parities that they
+flip against it share enough (``prefixes``); those pairs are verified. So every link between components is
+found, but a group of near copies costs about one check per member and not one per pair.
 
 Defined results: null and empty texts and texts of white space have no shingles and no links. Shingles are
 64-bit hashes. Rows that share an id are one document to the join: what one links to, all do. Rows with a
@@ -32,8 +33,10 @@ from tidemark.llm.components import components
 from tidemark.llm.hashing import BASE, LETTERS, mix, span_hashes
 from tidemark.session import discard, materialize
 
-#: Rounds that verify a bucket against one member before the rest is verified in pairs.
-STAR_ROUNDS = 3
+#: Rounds that verify a bucket against one member before the rest is split by differences.
+STAR_ROUNDS = 2
+#: Members of a bucket whose pairs are taken as they are.
+FEW = 8
 #: Pairs that are verified against one copy of a set, about.
 PAIRS_TOGETHER = 200
 
@@ -180,8 +183,8 @@ def _shared_blocks(first: DataFrame) -> DataFrame:
     return out
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b) that link. Each b meets a copy of a's set, shared by a bounded number."""
+def _met(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``a, part, b, hashes``: a copy of a's set (null b) before the sets of some b of its ``pairs`` (a, b)."""
     bound_batches(pairs.sparkSession)
     load = pairs.groupBy(F.col("a").alias("la")).agg(F.ceil(F.count("*") / PAIRS_TOGETHER).cast("int").alias("parts"))
     dealt = pairs.join(load, F.col("a") == F.col("la")).withColumn("part", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int"))
@@ -189,19 +192,32 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     heads = heads.select("a", "part", F.lit(None).cast("long").alias("b"), F.col("a").alias("of"))
     needed = heads.union(dealt.select("a", "part", "b", F.col("b").alias("of")))
     streams = needed.join(sets, F.col("of") == F.col("id")).select("a", "part", "b", "hashes")
-    streams = streams.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+    return streams.repartition("a", "part").sortWithinPartitions("a", "part", F.col("b").asc_nulls_first())
+
+
+def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int, np.ndarray, list[np.ndarray]]]]:
+    """Per batch of ``_met``: (a, b, b's set, the sets of a)."""
+    place, held = None, []
+    for batch in batches:
+        out = []
+        for a, part, b, raw in zip(*[batch[n].to_pylist() for n in ("a", "part", "b", "hashes")], strict=True):
+            hashes = np.frombuffer(raw, _U)
+            if (a, part) != place:
+                place, held = (a, part), []
+            if b is None:
+                held.append(hashes)
+            else:
+                out.append((a, b, hashes, held))
+        yield out
+
+
+def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``pairs`` (a, b) that link. Each b meets a copy of a's set, shared by a bounded number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, held = None, []
-        for batch in batches:
+        for met in _beside(batches):
             linked = []
-            for a, part, b, raw in zip(*[batch[n].to_pylist() for n in ("a", "part", "b", "hashes")], strict=True):
-                hashes = np.frombuffer(raw, _U)
-                if (a, part) != place:
-                    place, held = (a, part), []
-                if b is None:
-                    held.append(hashes)
-                    continue
+            for a, b, hashes, held in met:
                 for other in held:
                     both = len(np.intersect1d(hashes, other, assume_unique=True))
                     if den * both >= num * (len(hashes) + len(other) - both):
@@ -211,7 +227,75 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 [pa.array([x[i] for x in linked], pa.int64()) for i in (0, 1)], names=["a", "b"]
             )
 
-    return streams.mapInArrow(run, "a long, b long").distinct()
+    return _met(pairs, sets).mapInArrow(run, "a long, b long").distinct()
+
+
+def prefixes(center: np.ndarray, hashes: np.ndarray, num: int, den: int) -> tuple[bool, int, np.ndarray, int, int]:
+    """(near, size of the difference, it in order, its prefix for far partners, for near ones).
+
+    Near sets link with the center, far ones do not. Let d be the sizes of two sets' differences from the center
+    and r = (den - num) / (den + num). A link bounds the sets' own difference by r times the sum of their sizes,
+    so their differences from the center share (d1 + d2 - r (n1 + n2)) / 2 or more, and two sets that share s
+    have one in common in their first d - s + 1 of any order. Against a far set s is above (d + r (nc - n)) / 2;
+    a far set shares at least (d - r (n + nc)) / 2, which is above 0, with any. New shingles come before lost ones,
+    as all copies lose from the same center. Two near sets are in one component by the center.
+    """
+    new, lost = np.setdiff1d(hashes, center, assume_unique=True), np.setdiff1d(center, hashes, assume_unique=True)
+    apart, p, q = len(new) + len(lost), den - num, den + num
+    near = q * apart <= p * (len(hashes) + len(center))
+    for_far = apart - (q * apart + p * (len(center) - len(hashes))) // (2 * q)
+    for_near = 0 if near else apart + 1 + (p * (len(hashes) + len(center)) - q * apart) // (2 * q)
+    return near, apart, np.r_[new, lost], for_far, for_near
+
+
+def _apart_pairs(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b``: pairs of ids that can link, of ``buckets`` (key, members, id, c) with members in several components c.
+
+    All pairs of a bucket of few ``members``; those of a larger one are compared with one of them, the center, and
+    meet again only by what they differ in.
+    The member of the most buckets is the center, so that few centers do.
+    """
+    few, many = (buckets.where(rule).select("key", "id") for rule in (f"members <= {FEW}", f"members > {FEW}"))
+    plain = few.join(few.toDF("key2", "id2"), F.expr("key = key2 and id < id2")).select("id", "id2")
+    held = many.groupBy("id").agg(F.count("*").alias("held")).withColumnRenamed("id", "of")
+    center = F.max_by("id", F.struct("held", F.xxhash64("id"))).alias("a")
+    centers = many.join(held, F.col("id") == F.col("of")).groupBy("key").agg(center)
+    spokes = many.join(centers, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    kind = "array<struct<key: bigint, nth: int>>"
+    schema = f"center long, id long, n long, apart long, seeks {kind}, found {kind}"
+    rows = pa.list_(pa.struct([("key", pa.int64()), ("nth", pa.int32())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met in _beside(batches):
+            out = []
+            for a, b, hashes, others in met:
+                for other in others:
+                    near, apart, tokens, for_far, for_near = prefixes(other, hashes, num, den)
+                    # Far sets meet far ones under one key, near ones under another; an id may stand for several sets.
+                    about = mix(np.bitwise_xor.reduce(mix(other), keepdims=True) + _U(a & (2**64 - 1)))
+                    ends = (0, for_far) if near else (for_far, for_near)
+                    keys = [mix(tokens[:n] ^ mix(about + _U(i))).view(np.int64).tolist() for i, n in enumerate(ends)]
+                    parts = [[{"key": k, "nth": i} for i, k in enumerate(x)] for x in keys]
+                    out.append((a, b, len(hashes), apart, parts[1] if near else parts[0], [] if near else parts[0] + parts[1]))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), rows, rows]
+            names = ["center", "id", "n", "apart", "seeks", "found"]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=names)
+
+    differ = materialize(_met(spokes, sets).mapInArrow(run, schema), "differ")
+    left = differ.select("id", "n", "apart", F.explode("seeks").alias("t")).select("id", "n", "apart", "t.key", "t.nth")
+    right = differ.select("id", "n", "apart", F.explode("found").alias("t")).select(
+        F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("apart").alias("apart2"), F.col("t.key").alias("key2"), F.col("t.nth").alias("nth2")
+    )
+    # What two sets share is at most what follows their first common place.
+    least = F.col("apart") + F.col("apart2") - F.lit(den - num) / F.lit(den + num) * (F.col("n") + F.col("n2"))
+    most = F.least(F.col("apart") - F.col("nth"), F.col("apart2") - F.col("nth2"))
+    sized = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
+    met = left.join(right, (F.col("key") == F.col("key2")) & (F.col("id") != F.col("id2")) & sized & (2 * most >= least - 1e-6))
+    sides = met.select(F.col("id").alias("x"), F.col("id2").alias("y")).union(spokes).union(plain)
+    sides = sides.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    own = buckets.select("id", "c").distinct()
+    sides = sides.join(own.toDF("oa", "ca"), F.col("a") == F.col("oa")).join(own.toDF("ob", "cb"), F.col("b") == F.col("ob"))
+    return sides.where("ca <> cb").select("a", "b")
 
 
 def link_components(
@@ -244,20 +328,21 @@ def link_components(
         )
         order = F.col("c") if turn == 0 else F.xxhash64("c", F.lit(turn))
         mixed = buckets.groupBy("key").agg(
-            F.min(F.struct(order.alias("o"), "id", "n", "c")).alias("center"), F.min("c").alias("lo"), F.max("c").alias("hi")
+            F.min(F.struct(order.alias("o"), "id", "n", "c")).alias("center"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+            F.count("*").alias("members"),
         )
         mixed = mixed.where("lo < hi")
         if turn < STAR_ROUNDS:
             pairs = buckets.join(mixed, "key").where("c <> center.c").select("center.id", "center.n", "id", "n")
+            pairs = pairs.toDF("x", "nx", "y", "ny").where(
+                (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num) & (F.col("x") != F.col("y"))
+            )
+            # The smaller id is the one that is copied to its pairs: originals come before their copies.
+            pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         else:
-            left = buckets.join(mixed.select("key"), "key", "left_semi")
-            right = left.select("key", F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-            pairs = left.join(right, "key").where("c < c2").select("id", "n", "id2", "n2")
-        pairs = pairs.toDF("x", "nx", "y", "ny").where(
-            (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num) & (F.col("x") != F.col("y"))
-        )
-        # The smaller id is the one that is copied to its pairs: originals come before their copies.
-        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            left = materialize(buckets.join(mixed.select("key", "members"), "key"), "mixed")
+            pairs = _apart_pairs(left, sets, num, den)
+        pairs = pairs.distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
