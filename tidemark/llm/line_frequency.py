@@ -58,7 +58,7 @@ def drop_site_lines(
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, plus ``n_lines`` and ``n_dropped``.
 
-    The lines to drop are gathered per distinct page of a site, bounded by the page itself, and joined
+    The digests of the lines to drop are gathered per distinct page of a site, bounded by the page itself, and joined
     back on that page, so no column of ``docs`` serves as a key.
     """
     flagged = boilerplate_lines(docs, text, host, ratio, min_pages).select(
@@ -69,16 +69,16 @@ def drop_site_lines(
     )
     held = pages.select(
         "_host", "_page", F.explode(F.array_distinct(F.transform("_all", F.trim))).alias("_line")
-    ).select("_host", "_page", digest16(F.col("_line")).alias("_key"), "_line")
+    ).select("_host", "_page", digest16(F.col("_line")).alias("_key"))
     hit = held.join(flagged, F.col("_host").eqNullSafe(F.col("_f_host")) & (F.col("_key") == F.col("_f_key")))
-    bad = hit.groupBy("_host", "_page").agg(F.collect_set("_line").alias("_bad"))
+    bad = hit.groupBy("_host", "_page").agg(F.collect_set("_key").alias("_bad"))
     keyed = docs.select(
         whole_row(docs).alias("row"), F.col(host).alias("host"), F.col(text).alias("text"), digest16(F.col(text)).alias("page")
     )
     joined = keyed.join(
         bad, keyed["host"].eqNullSafe(bad["_host"]) & (keyed["page"] == bad["_page"]), "left"
     ).select("row", "text", "_bad", _lines(F.col("text")).alias("lines"))
-    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("_bad"), F.trim(x)))
+    kept = F.filter("lines", lambda x: ~F.array_contains(F.col("_bad"), digest16(F.trim(x))))
     marked = joined.select("row", "text", "lines", F.when(F.col("_bad").isNotNull(), kept).alias("kept"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size("lines")).cast("long")
     n_dropped = F.when(F.col("kept").isNull(), 0).otherwise(F.size("lines") - F.size("kept")).cast("long")
