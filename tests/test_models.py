@@ -52,6 +52,31 @@ def test_forecast_recovers_a_known_series(spark, synthetic):
     assert 0.72 < inside < 0.88
 
 
+def test_interval_widens_with_the_horizon(spark, synthetic):
+    series, _, _ = synthetic
+    fitted = forecast.fit_series(series, forecast.TEMPERATURE_MODEL)
+    out = forecast.predict_series(forecast.history_and_future(series, 60), fitted, forecast.TEMPERATURE_MODEL)
+    rows = out.where("series_id = 'a'").orderBy("ds").collect()
+    widths = [r["yhat_upper"] - r["yhat_lower"] for r in rows]
+    assert max(widths[:1100]) - min(widths[:1100]) < 1e-6
+    assert all(a < b for a, b in zip(widths[1100:], widths[1101:], strict=False)) and widths[1100] > widths[1099]
+
+
+def test_holidays_follow_the_data(spark):
+    days = spark.sql("select date '2023-12-31' as ds union all select date '2024-11-30'")
+    got = [str(r["ds"]) for r in forecast.yearly_holidays(days, ("01-01", "12-25"), 60).orderBy("ds").collect()]
+    assert got == ["2023-01-01", "2023-12-25", "2024-01-01", "2024-12-25", "2025-01-01", "2025-12-25"]
+    assert forecast.yearly_holidays(days.where("false"), ("01-01",), 60).isEmpty()
+
+
+def test_quantiles_with_ties_and_narrowed_brackets(spark, monkeypatch):
+    monkeypatch.setattr(segments, "RANKED_ROWS", 50)
+    df = spark.range(0, 20_000, 1, 4).select(F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.sqrt("id")).alias("a"))
+    values = np.array([r["a"] for r in df.collect()])
+    got = segments.exact_quantiles(df, ["a"], (0.25, 0.5, 0.75))["a"]
+    assert got == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]), rel=1e-12)
+
+
 def test_fit_equals_one_dense_solve(spark, synthetic):
     series, _, _ = synthetic
     spec = forecast.TEMPERATURE_MODEL
@@ -62,7 +87,9 @@ def test_fit_equals_one_dense_solve(spark, synthetic):
     assert x.shape[1] == len(spec.penalties()) and fitted["b"]["n"] == len(rows)
     beta = np.linalg.solve(x.T @ x + np.diag(spec.penalties()), x.T @ y)
     assert np.allclose(fitted["b"]["beta"], beta, atol=1e-7)
-    assert fitted["b"]["sigma"] == pytest.approx(float(np.sqrt(np.mean((y - x @ beta) ** 2))), rel=1e-4)
+    spent = np.trace(np.linalg.solve(x.T @ x + np.diag(spec.penalties()), x.T @ x))
+    spread = np.sum((y - x @ beta) ** 2) / (len(y) - spent)
+    assert fitted["b"]["sigma"] == pytest.approx(float(np.sqrt(spread)), rel=1e-4)
 
 
 def test_design_width_matches_penalties(spark):

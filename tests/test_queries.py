@@ -11,7 +11,7 @@ from tidemark.plans.queries import QUERIES as CORE
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = {n: s for n, s in entry.oracle_sql().items() if n in CORE}
 QUERIES = {n: q for n, q in entry.queries().items() if n in CORE}
-FITS = {"volume_forecast", "user_segments"}
+FITS = {"volume_forecast", "dashboard_forecast", "user_segments"}
 
 
 @pytest.fixture(scope="module")

@@ -149,11 +149,11 @@ def design_row(spec: ModelSpec) -> Column:
     if spec.holidays:
         extra += [f"holiday_{i}" for i in range(HOLIDAY_WINDOW[1] - HOLIDAY_WINDOW[0] + 1)]
     # Array functions keep the plan short; one column per term would outgrow codegen.
-    parts = [
-        F.array(F.lit(1.0), t),
-        F.transform(F.lit(knots), lambda k: F.greatest(t - k, F.lit(0.0))),
-        F.flatten(F.transform(F.lit(speeds), lambda w: F.array(F.sin(day * w), F.cos(day * w)))),
-    ]
+    parts = [F.array(F.lit(1.0), t)]
+    if len(knots):
+        parts.append(F.transform(F.lit(knots), lambda k: F.greatest(t - k, F.lit(0.0))))
+    if len(speeds):
+        parts.append(F.flatten(F.transform(F.lit(speeds), lambda w: F.array(F.sin(day * w), F.cos(day * w)))))
     if extra:
         parts.append(F.array(*[F.col(name).cast("double") for name in extra]))
     return F.concat(*parts)
@@ -188,9 +188,10 @@ def _solver(penalties: list[float]):
         gram = np.sum(np.stack(pdf["gram"].to_list()), axis=0).reshape(p, p)
         moment = np.sum(np.stack(pdf["moment"].to_list()), axis=0)
         n, yy = int(pdf["n"].sum()), float(pdf["yy"].sum())
-        beta = np.linalg.solve(gram + ridge, moment)
+        solved = np.linalg.solve(gram + ridge, np.column_stack([moment, gram]))
+        beta, spent = solved[:, 0], float(np.trace(solved[:, 1:]))
         error = max(yy - 2.0 * beta @ moment + beta @ gram @ beta, 0.0)
-        sigma = math.sqrt(error / n)
+        sigma = math.sqrt(error / max(n - spent, 1.0))
         return pd.DataFrame(
             {"series_id": [pdf["series_id"].iloc[0]], "beta": [beta], "sigma": [sigma], "n": [n]}
         )
@@ -221,12 +222,26 @@ def fit_series(series: DataFrame, spec: ModelSpec) -> DataFrame:
     return solved.join(scales, "series_id")
 
 
+def drift_variance(spec: ModelSpec) -> Column:
+    """Variance of the scaled trend past the last fitted day.
+
+    Slopes go on changing as often and as much as before. With changes of mean size m,
+    Laplace distributed, and c of them a span, a distance of h spans adds 2 m^2 c h^3 / 3.
+    """
+    if not spec.changepoints:
+        return F.lit(0.0)
+    ahead = F.greatest((_day_number().cast("double") - F.col("t0")) / F.col("span") - 1.0, F.lit(0.0))
+    changes = F.slice(F.col("beta"), 3, spec.changepoints)
+    size = F.aggregate(changes, F.lit(0.0), lambda acc, v: acc + F.abs(v)) / spec.changepoints
+    return 2.0 * size * size * (spec.changepoints / spec.changepoint_range) * ahead * ahead * ahead / 3.0
+
+
 def predict_series(days: DataFrame, fitted: DataFrame, spec: ModelSpec, z: float = INTERVAL_Z) -> DataFrame:
-    """``yhat`` with its interval for every (series, day); a native dot product."""
+    """``yhat`` with its interval for every (series, day), wider the further ahead; a native dot product."""
     dot = F.aggregate(
         F.zip_with(design_row(spec), F.col("beta"), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
     )
-    half = F.lit(z) * F.col("sigma") * F.col("y_scale")
+    half = F.lit(z) * F.sqrt(F.col("sigma") * F.col("sigma") + drift_variance(spec)) * F.col("y_scale")
     return (
         days.join(fitted, "series_id")
         .withColumn("yhat", dot * F.col("y_scale"))
@@ -304,6 +319,13 @@ def forecast_totals(forecast: DataFrame, plans: Sequence[str] | None = None, n:
     )
 
 
+def dashboard_forecast(
+    series: DataFrame, weather: DataFrame, holidays: DataFrame, days: int = PREDICT_DAYS
+) -> DataFrame:
+    """From daily inputs to the dashboard: weather model, triggers, volume models, totals of all series."""
+    return forecast_totals(materialize(forecast_volume(series, weather, holidays, days)), n=days)
+
+
 def mean_absolute_error(actual: DataFrame, forecast: DataFrame) -> DataFrame:
     """Mean of |y - yhat| per series over the days that both have."""
     return (
@@ -331,3 +353,17 @@ def holiday_frame(spark: SparkSession, days: Sequence[str], name: str = "event")
     low, high = HOLIDAY_WINDOW
     rows = [(name, date.fromisoformat(d), low, high) for d in days]
     return spark.createDataFrame(rows, "holiday string, ds date, lower_window int, upper_window int")
+
+
+def yearly_holidays(series: DataFrame, dates: Sequence[str], days: int = PREDICT_DAYS, name: str = "event") -> DataFrame:
+    """Holidays on the same ``MM-dd`` dates of every year that the series, its horizon and their windows touch."""
+    low, high = HOLIDAY_WINDOW
+    first, last = F.date_add(F.min("ds"), -high), F.date_add(F.max("ds"), days - low)
+    years = series.agg(F.sequence(F.year(first), F.year(last)).alias("years")).select(F.explode("years").alias("year"))
+    dated = F.explode(F.array(*[F.concat_ws("-", F.col("year").cast("string"), F.lit(d)) for d in dates]))
+    return years.select(dated.alias("day")).select(
+        F.lit(name).alias("holiday"),
+        F.to_date("day").alias("ds"),
+        F.lit(low).alias("lower_window"),
+        F.lit(high).alias("upper_window"),
+    )

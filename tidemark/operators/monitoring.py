@@ -34,7 +34,7 @@ def run_summary(
             check = volume_check(chosen[name](), name, (min_rows or {}).get(name, 1), (metrics or {}).get(name))
             row = check.first()
         except Exception as exc:  # a target's failure is its result
-            return (name, "failed", None, type(exc).__name__)
+            return (name, "failed", None, f"{type(exc).__name__}: {exc}")
         return (name, "ok" if row["status"] == "pass" else "anomaly", row["row_count"], row["message"])
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:

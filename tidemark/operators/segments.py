@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 
-from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -19,10 +20,22 @@ from tidemark.session import cut_lineage, materialize
 MIN_K, MAX_K, SEED = 10, 25, 42
 MAX_ITERATIONS, TOLERANCE = 100, 1e-3
 
-ROWS_PER_PARTITION = 50_000
+# Tasks of a fit, at every number of users: the mixture's random start depends on it.
+FIT_PARTITIONS = 16
 QUARTILES = (0.25, 0.5, 0.75)
-# A bracket is 50 times the sketch's rank error on either side of its rank.
+# A bracket is 50 times the sketch's rank error, and two ranks, on either side of its rank.
 SKETCH_ACCURACY, BRACKET = 10_000, 0.005
+# Brackets with more rows than one task should rank are narrowed again.
+RANKED_ROWS = 100_000
+
+
+class Bracket(NamedTuple):
+    """A range of values, the number of rows below it and inside."""
+
+    low: float
+    high: float
+    below: int
+    inside: int
 
 
 def feature_columns(features: DataFrame, key: str = "user_id") -> list[str]:
@@ -35,7 +48,31 @@ def fill_missing(features: DataFrame, key: str = "user_id") -> DataFrame:
 
 def log_features(features: DataFrame, key: str = "user_id") -> DataFrame:
     """ln(1+x) of every feature, missing values as 0."""
-    return features.select(key, *[log1p_or_zero(c).alias(c) for c in feature_columns(features, key)])
+    filled = fill_missing(features, key)
+    return filled.select(key, *[log1p_or_zero(c).alias(c) for c in feature_columns(features, key)])
+
+
+def _narrowed(
+    df: DataFrame, brackets: dict[tuple[str, int], Bracket], wanted: dict[tuple[str, int], float]
+) -> dict[tuple[str, int], Bracket]:
+    """Brackets of about one percent of the rows inside the given ones, around the same ranks."""
+    marks = list(brackets)
+    sketches = []
+    for j, mark in enumerate(marks):
+        b, value = brackets[mark], F.col(mark[0])
+        rank, margin = wanted[mark] - b.below, BRACKET * b.inside + 2
+        ends = [max(rank - margin, 0.0) / b.inside, min(rank + margin, b.inside) / b.inside]
+        held = F.when(value.between(F.lit(b.low), F.lit(b.high)), value)
+        sketches.append(F.percentile_approx(held, ends, SKETCH_ACCURACY).alias(f"q{j}"))
+    ends = df.agg(*sketches).first()
+    counts = df.agg(
+        *[F.count_if(F.col(c) < F.lit(ends[j][0])).alias(f"below{j}") for j, (c, _) in enumerate(marks)],
+        *[
+            F.count_if(F.col(c).between(F.lit(ends[j][0]), F.lit(ends[j][1]))).alias(f"inside{j}")
+            for j, (c, _) in enumerate(marks)
+        ],
+    ).first()
+    return {m: Bracket(*ends[j], counts[f"below{j}"], counts[f"inside{j}"]) for j, m in enumerate(marks)}
 
 
 def exact_quantiles(
@@ -43,34 +80,28 @@ def exact_quantiles(
 ) -> dict[str, list[float]]:
     """Exact quantiles with linear interpolation, without a global sort.
 
-    A sketch brackets each wanted rank. One pass counts the rows below each bracket;
-    the values inside, about one percent, are counted per distinct value and ranked.
-    Only the few picked values reach the driver.
+    Brackets around the wanted ranks are narrowed until few rows are inside. Only these
+    are counted per distinct value and ranked, and only the few picked values reach the
+    driver. A bracket that ends in a long tie is ranked by its distinct values.
     """
-    marks = [(c, i, p) for c in names for i, p in enumerate(probabilities)]
-    bounds = [max(p - BRACKET, 0.0) for p in probabilities] + [min(p + BRACKET, 1.0) for p in probabilities]
-    sketch = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.percentile_approx(c, [0.0, *bounds, 1.0], SKETCH_ACCURACY).alias(f"q_{c}") for c in names],
-    ).first()
-    if not sketch["n"]:
+    rows = df.count()
+    if not rows:
         raise ValueError("no rows to take quantiles of")
-    # With few rows a bracket may be narrower than one rank, so it takes in everything.
-    small, q = sketch["n"] < SKETCH_ACCURACY, len(probabilities)
-    low = {(c, i): sketch[f"q_{c}"][0 if small else 1 + i] for c, i, _ in marks}
-    high = {(c, i): sketch[f"q_{c}"][-1 if small else 1 + q + i] for c, i, _ in marks}
-    below = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(c) < F.lit(low[c, i])).alias(f"b{c}_{i}") for c, i, _ in marks],
-    ).first()
+    wanted = {(c, i): (rows - 1) * p for c in names for i, p in enumerate(probabilities)}
+    brackets = {mark: Bracket(-math.inf, math.inf, 0, rows) for mark in wanted}
+    wide = set(wanted)
+    while wide:
+        found_now = _narrowed(df, {m: brackets[m] for m in wide}, wanted)
+        wide = {m for m, b in found_now.items() if RANKED_ROWS < b.inside <= brackets[m].inside / 2}
+        brackets |= found_now
 
     inside = F.array(
         *[
             F.when(
-                F.col(c).between(F.lit(low[c, i]), F.lit(high[c, i])),
+                F.col(c).between(F.lit(b.low), F.lit(b.high)),
                 F.struct(F.lit(c).alias("name"), F.lit(i).alias("i"), F.col(c).alias("value")),
             )
-            for c, i, _ in marks
+            for (c, i), b in brackets.items()
         ]
     )
     counted = df.select(F.explode(F.array_compact(inside)).alias("x")).groupBy("x.name", "x.i", "x.value").agg(
@@ -79,18 +110,17 @@ def exact_quantiles(
     last = F.sum("n").over(
         Window.partitionBy("name", "i").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     )
-    wanted = {(c, i): (below["n"] - 1) * p for c, i, p in marks}
     ranked = counted.withColumn("last", last).withColumn("first", F.col("last") - F.col("n"))
     hits = None
     for (c, i), position in wanted.items():
-        floor_rank, ceil_rank = (f(position) - below[f"b{c}_{i}"] for f in (math.floor, math.ceil))
+        floor_rank, ceil_rank = (f(position) - brackets[c, i].below for f in (math.floor, math.ceil))
         here = (F.col("name") == c) & (F.col("i") == i) & (F.col("last") > floor_rank) & (F.col("first") <= ceil_rank)
         hits = here if hits is None else hits | here
     found: dict[tuple[str, int], list[float]] = {}
     for row in ranked.where(hits).select("name", "i", "value").collect():
         found.setdefault((row["name"], row["i"]), []).append(row["value"])
     out: dict[str, list[float]] = {c: [] for c in names}
-    for c, i, _ in marks:
+    for c, i in wanted:
         values, part = sorted(found[c, i]), wanted[c, i] - math.floor(wanted[c, i])
         out[c].append(values[0] + (values[-1] - values[0]) * part)
     return out
@@ -105,19 +135,18 @@ def robust_scaled(features: DataFrame, key: str = "user_id") -> DataFrame:
     )
 
 
-def scaled_vectors(features: DataFrame, key: str = "user_id", partitions: int | None = None) -> DataFrame:
+def scaled_vectors(features: DataFrame, key: str = "user_id", partitions: int = FIT_PARTITIONS) -> DataFrame:
     """``key, scaled``: the scaled features as one vector per user.
 
-    The rows are hashed by user and sorted inside the partitions, whose number follows
-    from the row count. The mixture model's random start depends on row order, so
-    this makes a fit repeatable on any cluster. The frame is checkpointed: every fit
+    The rows are hashed by user into a fixed number of partitions and sorted there. The
+    mixture model's random start depends on both, so this makes a fit repeatable on any
+    cluster, and a further user doesn't deal the others anew. The frame is checkpointed: every fit
     reads it again.
     """
     names = feature_columns(features, key)
     assembler = VectorAssembler(inputCols=names, outputCol="scaled")
     vectors = assembler.transform(robust_scaled(features, key)).select(key, "scaled")
-    n = partitions or max(1, math.ceil(features.count() / ROWS_PER_PARTITION))
-    return cut_lineage(vectors.repartition(n, key).sortWithinPartitions(key))
+    return cut_lineage(vectors.repartition(partitions, key).sortWithinPartitions(key))
 
 
 def _mixture(k: int, rows: int) -> GaussianMixture:
@@ -138,8 +167,10 @@ def aic(log_likelihood: float, k: int, dims: int) -> float:
     return 2.0 * free - 2.0 * log_likelihood
 
 
-def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8) -> DataFrame:
-    """``k, aic`` for every k of the range. Fits run side by side, as in a grid search.
+def search_mixtures(
+    vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8
+) -> tuple[DataFrame, dict[int, GaussianMixtureModel]]:
+    """``k, aic`` for every k of the range, and the fitted models by k. Fits run side by side, as in a grid search.
 
     The vectors are cached once for all fits; without that every fit keeps a copy.
     """
@@ -147,17 +178,21 @@ def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, paral
     rows = vectors.count()
     dims = vectors.select(F.size(vector_to_array("scaled")).alias("d")).first()["d"]
 
-    def score(k: int) -> tuple[int, float]:
-        model = _mixture(k, rows).fit(vectors)
-        return k, aic(model.summary.logLikelihood, k, dims)
+    def fitted(k: int) -> tuple[int, GaussianMixtureModel]:
+        return k, _mixture(k, rows).fit(vectors)
 
     try:
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             # The largest k takes longest, so it starts first.
-            scores = list(pool.map(score, range(max_k, min_k - 1, -1)))
+            models = dict(pool.map(fitted, range(max_k, min_k - 1, -1)))
     finally:
         vectors.unpersist()
-    return vectors.sparkSession.createDataFrame(scores, "k int, aic double")
+    scores = [(k, aic(model.summary.logLikelihood, k, dims)) for k, model in models.items()]
+    return vectors.sparkSession.createDataFrame(scores, "k int, aic double"), models
+
+
+def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8) -> DataFrame:
+    return search_mixtures(vectors, min_k, max_k, parallelism)[0]
 
 
 def elbow(scores: DataFrame) -> DataFrame:
@@ -177,9 +212,11 @@ def elbow(scores: DataFrame) -> DataFrame:
     )
 
 
-def cluster_users(vectors: DataFrame, features: DataFrame, k: int, key: str = "user_id") -> DataFrame:
-    """Raw features with the cluster of each user."""
-    model = _mixture(k, vectors.count()).fit(vectors)
+def cluster_users(
+    vectors: DataFrame, features: DataFrame, k: int, key: str = "user_id", model: GaussianMixtureModel | None = None
+) -> DataFrame:
+    """Raw features with the cluster of each user; fits unless the model of a search is given."""
+    model = model or _mixture(k, vectors.count()).fit(vectors)
     labels = model.transform(vectors).select(key, "classification")
     return features.join(labels, key)
 
@@ -243,9 +280,12 @@ def segment_users(
     if features.isEmpty():
         raise ValueError("no feature rows for this date")
     vectors = scaled_vectors(features, key)
+    model = None
     if k is None:
-        k = elbow(aic_scores(vectors, min_k, max_k, parallelism)).first()["k"]
-    labelled = cluster_users(vectors, features, k, key)
+        scores, models = search_mixtures(vectors, min_k, max_k, parallelism)
+        k = elbow(scores).first()["k"]
+        model = models[k]
+    labelled = cluster_users(vectors, features, k, key, model)
     # One row per cluster, at most k: a proven bound, so the large side is not shuffled.
     names = F.broadcast(name_clusters(cluster_summary(labelled, key)))
     return labelled.join(names, "classification", "left")

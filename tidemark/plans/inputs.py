@@ -136,7 +136,7 @@ join {region} on n_regionkey = r_regionkey group by 1, 2
 
 INPUTS["volume"] = """
 select o_orderstatus as series_id, cast(o_orderdate as date) as ds, cast(count(*) as double) as y
-from {orders} where o_orderstatus in ('O', 'F') group by 1, 2
+from {orders} group by 1, 2
 """
 
 INPUTS["region_volume"] = """
@@ -145,11 +145,11 @@ from {customer_days} join {customer} on o_custkey = c_custkey join {nation} on c
 join {region} on n_regionkey = r_regionkey group by 1, 2
 """
 
-# Two plans side by side, one column each, as a warehouse report gives them.
+# Two plans side by side, one column each, as a warehouse report gives them; NULL on days without orders.
 INPUTS["wide_volume"] = """
 select cast(o_orderdate as date) as base_date,
-       cast(sum(case when o_orderstatus = 'O' then 1 else 0 end) as double) as a,
-       cast(sum(case when o_orderstatus = 'F' then 1 else 0 end) as double) as b
+       cast(nullif(sum(case when o_orderstatus = 'O' then 1 else 0 end), 0) as double) as a,
+       cast(nullif(sum(case when o_orderstatus = 'F' then 1 else 0 end), 0) as double) as b
 from {orders} group by 1
 """
 
@@ -241,7 +241,8 @@ INPUTS["runs"] = """
 select event_type as target, cast(ts as date) as run_ts, count(*) as row_count from {events} group by 1, 2
 """
 
-HOLIDAYS = [f"{year}-{day}" for year in range(1995, 2002) for day in ("01-01", "12-25")]
+# Holidays of every year.
+HOLIDAYS = ("01-01", "12-25")
 
 
 def names_in(text: str) -> list[str]:

@@ -231,13 +231,13 @@ select 'net_payments', case when bad > 0 then 'anomaly' else 'ok' end, n,
 from (select count(*) as n, count(*) filter (where net_paid_price <= 0) as bad from ({_NET}) x) y
 union all select 'empty', 'anomaly', 0, 'no rows'
 union all select 'regions', 'anomaly', (select count(*) from {{region}}), 'fewer rows than expected'
-union all select 'broken', 'failed', null, 'RuntimeError'
+union all select 'broken', 'failed', null, 'RuntimeError: source is not reachable'
 """
 SQL["volume_spikes"] = """
-select series_id, ds, y, round(recent_mean, 6) as recent_mean, round(y / recent_mean, 6) as ratio
+select series_id, ds, y, round(recent_mean, 6) as recent_mean, round(y / nullif(recent_mean, 0), 6) as ratio
 from (select *, avg(y) over (partition by series_id order by ds rows between 14 preceding and 1 preceding)
         as recent_mean from {volume}) s
-where y / recent_mean >= 2.0
+where (recent_mean = 0 and y > 0) or (recent_mean <> 0 and y / recent_mean >= 2.0)
 """
 SQL["row_count_drops"] = """
 select target, run_ts, row_count, previous,
@@ -340,7 +340,7 @@ SQL["weather_json_rows"] = """
 select ds, region, case when extract(day from ds) = 13 then null else temp end as avg_temp,
        case when extract(day from ds) % 3 = 0 then 0.0 else cast(extract(day from ds) as double) end as rain_total,
        cast(case when extract(day from ds) % 2 = 0 then 0.0 else 1.5 end as double) as rain_max_1h
-from {weather} where extract(month from ds) not in (7, 11)
+from {weather}
 """
 SQL["weather_json_quarantine"] = """
 select case region when 'AFRICA' then '108' when 'AMERICA' then '112' when 'ASIA' then '119' when 'EUROPE' then '98'
@@ -437,14 +437,27 @@ select ds, case when count(*) filter (where c >= 1) >= 2 then 1 else 0 end as te
        case when count(*) filter (where c >= 3) >= 2 then 1 else 0 end as temp_trigger_3deg
 from change group by 1
 """
-_HOLIDAYS = " union all ".join(f"select date '{d}' as h" for d in HOLIDAYS)
+_HOLIDAY_DATES = ", ".join(f"'{d}'" for d in HOLIDAYS)
 SQL["holiday_window"] = f"""
 select series_id, ds, y,
-       case when ds + 1 in (select h from ({_HOLIDAYS}) x) then 1 else 0 end as holiday_0,
-       case when ds in (select h from ({_HOLIDAYS}) x) then 1 else 0 end as holiday_1,
-       case when ds - 1 in (select h from ({_HOLIDAYS}) x) then 1 else 0 end as holiday_2
+       case when strftime(ds + 1, '%m-%d') in ({_HOLIDAY_DATES}) then 1 else 0 end as holiday_0,
+       case when strftime(ds, '%m-%d') in ({_HOLIDAY_DATES}) then 1 else 0 end as holiday_1,
+       case when strftime(ds - 1, '%m-%d') in ({_HOLIDAY_DATES}) then 1 else 0 end as holiday_2
 from {{volume}}
 """
+SQL["trend_forecast"] = """
+with s as (select series_id, min(ds) as began, max(ds) as ended, greatest(max(ds) - min(ds), 1) as span,
+                  coalesce(nullif(max(abs(y)), 0), 1.0) as peak from {volume} group by 1),
+g as (select v.series_id, count(*) + 0.0004 as a, sum((ds - began) / cast(span as double)) as b,
+             sum(((ds - began) / cast(span as double)) ** 2) + 0.0004 as c, sum(y / peak) as p,
+             sum((ds - began) / cast(span as double) * (y / peak)) as q
+      from {volume} v join s on v.series_id = s.series_id group by 1),
+days as (select series_id, ds from {volume} union all
+         select series_id, cast(ended + n as date) from s, (select cast(unnest(range(1, 61)) as int) as n) u)
+select d.series_id, d.ds,
+       round(peak * ((c * p - b * q) + (a * q - b * p) * ((d.ds - began) / cast(span as double))) / (a * c - b * b), 6) as yhat
+from days d join s on d.series_id = s.series_id join g on d.series_id = g.series_id
+"""
 SQL["actual_over_forecast"] = """
 select coalesce(a.series_id, f.series_id) as region, coalesce(a.ds, f.ds) as ds, coalesce(a.y, f.yhat) as temp
 from {volume} a full join {week_ago} f on a.series_id = f.series_id and a.ds = f.ds
@@ -461,11 +474,11 @@ select ds as day, concat(cast(extract(year from ds) as varchar), '. ', cast(extr
        cast(trunc(sum(yhat)) as int) as total_yhat, cast(trunc(sum(yhat_lower)) as int) as total_lower,
        cast(trunc(sum(yhat_upper)) as int) as total_upper
 from (select *, row_number() over (partition by series_id order by ds desc) as rn from {week_ago}) w
-where rn <= 60 group by w.ds having count(*) >= 2
+where rn <= 60 group by w.ds having count(*) = (select count(distinct series_id) from {week_ago})
 """
 SQL["plan_series"] = """
-select base_date as ds, 'plan_a' as series_id, a as y from {wide_volume}
-union all select base_date, 'plan_b', b from {wide_volume}
+select base_date as ds, 'plan_a' as series_id, a as y from {wide_volume} where a is not null
+union all select base_date, 'plan_b', b from {wide_volume} where b is not null
 """
 SQL["forecast_error"] = """
 select v.series_id, round(avg(abs(v.y - w.yhat)), 6) as mae, count(*) as days
@@ -482,7 +495,8 @@ SQL["forecast_checks"] = "\nunion all\n".join(
             "missing_region",
             "weather",
             "error",
-            "select count(*) from {region} where r_name not in (select region from {weather} where region <> 'ASIA')",
+            "select count(*) from (select r_name from {region} union all select 'ANTARCTICA') e "
+            "where r_name not in (select region from {weather})",
         ),
         _verdicts("negative_forecast", "forecast", "error", "select count(*) from {week_ago} where yhat < 0"),
         _verdicts(
@@ -490,7 +504,7 @@ SQL["forecast_checks"] = "\nunion all\n".join(
             "forecast",
             "warn",
             "select count(*) from (select yhat, avg(yhat) over (partition by series_id order by ds rows between 14 "
-            "preceding and 1 preceding) as m from {week_ago}) s where m <> 0 and yhat / m >= 2.0",
+            "preceding and 1 preceding) as m from {week_ago}) s where (m = 0 and yhat > 0) or (m <> 0 and yhat / m >= 2.0)",
         ),
     ]
 )
@@ -541,7 +555,7 @@ SQL["segment_checks"] = "\nunion all\n".join(
             "select count(*) from (select classification from {user_buckets} group by 1 having count(*) >= 0.5 * "
             "(select count(*) from {user_buckets})) s",
         ),
-        _verdicts("k_at_search_edge", "segments", "warn", "select 1"),
+        _verdicts("k_at_search_edge", "segments", "warn", f"select count(*) from ({SQL['aic_elbow']}) e where k <= 11 or k >= 24"),
     ]
 )
 

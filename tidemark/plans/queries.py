@@ -420,7 +420,7 @@ def mask_preflight(spark, sf_dir):
 
 
 def _responses(spark, sf_dir):
-    """One response text per region and month; some months are error codes or XML."""
+    """One response text per region and month; some months have an error code or XML beside it."""
     rain = F.when(F.dayofmonth("ds") % 3 == 0, "").otherwise(F.dayofmonth("ds").cast("string"))
     item = F.struct(
         F.col("ds").cast("string").alias("tm"),
@@ -442,11 +442,10 @@ def _responses(spark, sf_dir):
         ).alias("response")
     )
     number = F.substring("month", 6, 2).cast("int")
-    raw = (
-        F.when(number == 7, F.lit('{"response":{"header":{"resultCode":"99","resultMsg":"LIMIT"}}}'))
-        .when(number == 11, F.concat(F.lit("<error><month>"), "month", F.lit("</month></error>")))
-        .otherwise(F.to_json(body))
+    bad = F.when(number == 7, F.lit('{"response":{"header":{"resultCode":"99","resultMsg":"LIMIT"}}}')).when(
+        number == 11, F.concat(F.lit("<error><month>"), "month", F.lit("</month></error>"))
     )
+    raw = F.explode(F.array_compact(F.array(F.to_json(body), bad)))
     return weather_feed.parse_responses(months.select("station_id", "month", raw.alias("raw")))
 
 
@@ -500,8 +499,8 @@ def _daily(spark, sf_dir):
     return materialize(load(spark, sf_dir, "volume"), "volume")
 
 
-def _holidays(spark):
-    return forecast.holiday_frame(spark, HOLIDAYS)
+def _holidays(daily):
+    return forecast.yearly_holidays(daily, HOLIDAYS)
 
 
 @query
@@ -511,7 +510,8 @@ def temp_triggers(spark, sf_dir):
 
 @query
 def holiday_window(spark, sf_dir):
-    return forecast.with_holidays(load(spark, sf_dir, "volume"), _holidays(spark))
+    daily = _daily(spark, sf_dir)
+    return forecast.with_holidays(daily, _holidays(daily))
 
 
 @query
@@ -529,7 +529,7 @@ def horizon_days(spark, sf_dir):
 
 @query
 def forecast_totals(spark, sf_dir):
-    return forecast.forecast_totals(load(spark, sf_dir, "week_ago"), ["O", "F"], 60)
+    return forecast.forecast_totals(load(spark, sf_dir, "week_ago"), n=60)
 
 
 @query
@@ -551,17 +551,36 @@ def frozen_forecast(spark, sf_dir):
 
 @query
 def forecast_checks(spark, sf_dir):
-    seen = load(spark, sf_dir, "weather").where(F.col("region") != "ASIA")
-    expected = load(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
+    """One more region is expected than there is."""
+    seen = load(spark, sf_dir, "weather")
+    known = load(spark, sf_dir, "region").select(F.col("r_name").alias("region"))
+    expected = known.unionByName(spark.range(1).select(F.lit("ANTARCTICA").alias("region")))
     predicted = load(spark, sf_dir, "week_ago", volume=_daily(spark, sf_dir))
     return monitoring.forecast_checks(predicted, seen, expected, 14, 2.0)
 
 
+def _daily_inputs(spark, sf_dir):
+    series = materialize(load(spark, sf_dir, "region_volume"), "region-volume")
+    return series, load(spark, sf_dir, "weather"), _holidays(series)
+
+
+@query
+def trend_forecast(spark, sf_dir):
+    """A line per series, the one model whose solution SQL can state."""
+    daily, spec = _daily(spark, sf_dir), forecast.ModelSpec(seasons=(), changepoints=0)
+    days = forecast.history_and_future(daily, 60)
+    made = forecast.predict_series(days, forecast.fit_series(daily, spec), spec)
+    return rounded(made.select("series_id", "ds", "yhat"), "yhat")
+
+
+@query
+def dashboard_forecast(spark, sf_dir):
+    return forecast.dashboard_forecast(*_daily_inputs(spark, sf_dir), 60)
+
+
 @query
 def volume_forecast(spark, sf_dir):
-    made = forecast.forecast_volume(
-        load(spark, sf_dir, "region_volume"), load(spark, sf_dir, "weather"), _holidays(spark), 60
-    )
+    made = forecast.forecast_volume(*_daily_inputs(spark, sf_dir), 60)
     return rounded(forecast.last_days(made, 60), "yhat", "yhat_lower", "yhat_upper")
 
 
@@ -599,8 +618,9 @@ def cluster_means(spark, sf_dir):
 
 @query
 def segment_checks(spark, sf_dir):
+    k = segments.elbow(load(spark, sf_dir, "k_scores")).first()["k"]
     return monitoring.segment_checks(
-        load(spark, sf_dir, "user_buckets"), load(spark, sf_dir, "runs"), 24, range(10, 26), max_drop=0.1
+        load(spark, sf_dir, "user_buckets"), load(spark, sf_dir, "runs"), k, range(10, 26), max_drop=0.1
     )
 
 
