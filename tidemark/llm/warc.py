@@ -107,26 +107,37 @@ def _page(urn: str | None) -> int | None:
 def write_archives(pages: DataFrame, path: str, file_bytes: int = FILE_BYTES) -> None:
     """Write one record per row of ``pages`` (page_id, url, html) to files of about ``file_bytes``.
 
-    Which payloads repeat is found on digests alone, so that html is shuffled once, by page.
+    Which payloads repeat is found on digests alone. Html is compressed and shuffled once: it is dealt by the
+    keys of the join, and the join's tasks write the files.
     """
+    page = F.coalesce(F.col("page_id").cast("long").cast("string"), F.lit("null"))
     rows = pages.select(
+        page.alias("page"),
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col("html"), F.lit("")).alias("html"),
     ).withColumn("digest", F.unhex(F.sha1(F.col("html").cast("binary"))))
     sizes = rows.select(F.sum(F.octet_length("html").cast("long"))).first()[0] or 0
-    keys = rows.select("page_id", "digest").distinct()
+    keys = rows.select("page_id", "page", "digest").distinct()
     firsts = keys.groupBy(F.col("digest").alias("f_digest")).agg(F.max("page_id").alias("first"))
     found = keys.join(firsts, F.col("digest") == F.col("f_digest")).select(
-        F.col("page_id").alias("k_id"), F.col("digest").alias("k_digest"), "first"
+        F.col("page").alias("k_page"), F.col("digest").alias("k_digest"), "first"
     )
     n_files = max(1, -(-sizes // file_bytes))
-    dealt = rows.join(found, rows["page_id"].eqNullSafe(found["k_id"]) & (rows["digest"] == found["k_digest"]))
-    dealt = dealt.select("page_id", "url", "html", "first").repartition(n_files, "page_id", "html")
+
+    def pack(batch: pa.RecordBatch) -> Iterator[dict]:
+        packed = [zlib.compress(h.encode("utf-8"), 6) for h in batch["html"].to_pylist()]
+        yield {n: batch[n] for n in ("page", "page_id", "url", "digest")} | {"packed": pa.array(packed, pa.binary())}
+
+    packed = map_arrow(rows, pack, "page string, page_id long, url string, digest binary, packed binary")
+    dealt = packed.repartition(n_files, "page", "digest").join(
+        found, (F.col("page") == F.col("k_page")) & (F.col("digest") == F.col("k_digest"))
+    )
+    dealt = dealt.select("page_id", "url", "packed", "first")
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        columns = [batch[n].to_pylist() for n in ("page_id", "url", "html", "first")]
-        values = [record(p, u, h.encode("utf-8"), f, p == f) for p, u, h, f in zip(*columns, strict=True)]
+        columns = [batch[n].to_pylist() for n in ("page_id", "url", "packed", "first")]
+        values = [record(p, u, zlib.decompress(h), f, p == f) for p, u, h, f in zip(*columns, strict=True)]
         yield {"value": pa.array(values, pa.string())}
 
     map_arrow(dealt, run, "value string").write.option("lineSep", _END).text(path)
