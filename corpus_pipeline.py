@@ -38,7 +38,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that too many pages of their source hold."""
-    return _measured(line_frequency.drop_site_lines(_documents(docs)))
+    return _measured(line_frequency.drop_site_lines(_documents(docs), min_pages=line_frequency.REPEATED))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

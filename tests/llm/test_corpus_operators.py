@@ -445,6 +445,21 @@ def test_pipeline_keeps_clean_documents_once(spark, texts):
     assert collections.Counter(docs.columns)["sequence_id"] == 1
 
 
+def test_pipeline_drops_lines_by_their_ratio_on_sites_of_every_size(spark):
+    pages = {"one": 1, "six": 6, "thirty": 30}
+    lines = {"one": [("all", 1)], "six": [("all", 6), ("once", 1)], "thirty": [("three", 3), ("two", 2)]}
+    rows, expected = [], {}
+    for site, n in pages.items():
+        for i in range(n):
+            held = [line for line, on in lines[site] if i < on]
+            gone = [line for line, on in lines[site] if on > 1 and on > 0.08 * n]
+            expected[len(rows)] = "\n".join([f"{site} {i}", *(x for x in held if x not in gone)])
+            text = "\n".join([f"{site} {i}", *held])
+            rows.append((len(rows), text, "en", site, len(text)))
+    out = corpus_pipeline.without_boilerplate(spark, spark.createDataFrame(rows, DOCS), SF_DIR).collect()
+    assert {r["doc_id"]: r["text"] for r in out} == expected
+
+
 def test_pipeline_of_no_documents(spark):
     docs = empty(spark)
     for _, stage in corpus_pipeline.STAGES:
