@@ -47,8 +47,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without sentences that a run of sentences repeats from an earlier place."""
-    return _measured(sentence_spans.drop_repeated_spans(_documents(docs)))
+    """Texts without passages that a run of sentences or words repeats from an earlier place."""
+    return _measured(sentence_spans.drop_repeated_spans(_documents(docs), word_run=sentence_spans.WORD_RUN))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -377,6 +377,50 @@ def test_repeated_spans_equal_brute_force(spark, documents, texts):
     assert got == expected
 
 
+@pytest.mark.parametrize("sentences", [1, 2, 20])
+def test_passages_between_words_are_found_whatever_their_sentences(spark, sentences):
+    rng = random.Random(5)
+    own = [f"p{i}" for i in range(50)]
+    for k in range(1, sentences + 1):
+        own[50 * k // sentences - 1] += "."
+    rows = []
+    for i in range(8):  # the passage starts and ends within a sentence of each document
+        rows.append((i, f"{prose(rng, 40, 9000)} h{i} {' '.join(own)[:-1]} t{i} {prose(rng, 40, 9000)}"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in sentence_spans.drop_repeated_spans(frame, word_run=sentence_spans.WORD_RUN).collect()}
+    assert got[0]["text"] == rows[0][1]
+    alone = [w for w in rows[0][1].split() if w.startswith("p")]
+    for i, text in rows[1:]:
+        left = got[i]["text"].split()
+        stay = [w for w in left if w in alone]
+        assert len(stay) <= 2 * (sentence_spans.WINDOW - 1)
+        assert [w for w in left if w not in alone] == [w for w in text.split() if w not in alone]
+        cuts = got[i]["cuts"]
+        edges = [0, *cuts, len(text)]
+        assert "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)) == got[i]["text"]
+
+
+def test_runs_by_size_cover_what_runs_of_three_cover():
+    rng = random.Random(9)
+    for _ in range(300):
+        lengths = [rng.choice([1, 2, 3, 8, 20, 30]) for _ in range(rng.randrange(2, 12))]
+        if sum(lengths) >= 12:  # a repeated passage of whole sentences, whatever stands around it
+            found = sentence_spans.shortest_runs(lengths, 12, 24)
+            assert {k for a, b in found for k in range(a, b + 1)} == set(range(len(lengths)))
+
+
+def test_chosen_places_depend_on_the_passage_alone():
+    rng = random.Random(4)
+    passage = [rng.randrange(1 << 32) for _ in range(60)]
+    sides = [[rng.randrange(1 << 32) for _ in range(n)] for n in (31, 47, 5, 90)]
+    chosen = []
+    for before, after in (sides[:2], sides[2:]):
+        found = sentence_spans.chosen_places(before + passage + after, 24, 12)
+        chosen.append({x - len(before) for x in found})
+        assert all(any(x <= y < x + 12 for y in found) for x in range(len(before + passage + after) - 24 - 12 + 2))
+    assert {x for x in chosen[0] if 11 <= x <= 25} == {x for x in chosen[1] if 11 <= x <= 25} != set()
+
+
 def test_spans_and_lines_keep_columns_that_clash(spark):
     for out in (sentence_spans.drop_repeated_spans(awkward(spark)), line_frequency.drop_site_lines(awkward(spark))):
         assert out.columns[:11] == awkward(spark).columns and out.count() == 7

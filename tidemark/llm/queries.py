@@ -39,7 +39,7 @@ def op6_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sentence_spans.drop_repeated_spans(docs)
+    return sentence_spans.drop_repeated_spans(docs, word_run=sentence_spans.WORD_RUN)
 
 
 def op8_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:

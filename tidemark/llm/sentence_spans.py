@@ -1,34 +1,51 @@
 """Substring dedup by sliding sentence spans.
 
-Every run of ``span`` consecutive sentences is hashed; of equal runs the first, by document id and
-place, stays, and the sentences that any other one covers are removed.
+Runs of consecutive sentences are hashed; of equal runs the first, by document id and place, stays, and
+what any other one covers is removed. ``drop_repeated_spans`` alone takes every run of ``span`` sentences.
+With ``word_run`` it takes runs by size, so that no passage is lost for the length of its sentences:
+
+* from and up to every sentence the shortest run of two sentences or more with ``min_words`` words, and a
+  sentence of ``word_run`` words or more alone. They cover each repeated run of whole sentences with
+  ``min_words`` words, so also all that runs of ``span`` sentences do.
+* runs of ``word_run`` words, wherever sentences end, at the least hash of each ``WINDOW`` successive places
+  (winnowing; Schleimer, Wilkerson and Aiken 2003). Each repeated passage of ``word_run + WINDOW - 1`` words
+  holds one, and at most ``WINDOW - 1`` words at either end of a passage stay. They may cut sentences.
 
 Defined results: sentences end at ``.``, ``!``, ``?`` before white space and at line ends, and are
 compared in lower case with white space collapsed. A document with fewer sentences than a run is one
 run. Runs below ``min_words`` words are no evidence and stay. A null text stays null and an empty one
 empty, with 0 sentences. A null id comes before all others. Rows with equal id and text are one
 document: they do not remove each other, and each row gets the same result. Equal ids with different
-texts are ordered by a hash of the text.
+texts are ordered by a hash of the text. ``n_removed`` counts sentences that went as a whole.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.llm.common import digest16, map_arrow, unpacked, whole_row
-from tidemark.session import materialize
+from tidemark.llm.common import Memory, map_arrow, release, unpacked, whole_row
+from tidemark.llm.hashing import mix, span_hashes
+from tidemark.session import discard, materialize
 
 #: Sentences in a run, and words in a run at least.
 SPAN, MIN_WORDS = 3, 12
+#: Words of a run that need not end with a sentence, and successive places of which one is hashed.
+WORD_RUN, WINDOW = 24, 12
 
 _BREAK = re.compile(r"[.!?]\s+|\s*\n\s*")
+_WORD = re.compile(r"\S+")
+#: A run's hash: 96 bits, as two numbers, which take less room in a shuffle than bytes.
+_HASH = np.dtype([("h", "<i8"), ("g", "<i4")])
+_word_hash = Memory(lambda word: zlib.crc32(word.encode()))
 
 
 def sentence_bounds(text: str) -> list[tuple[int, int]]:
@@ -42,9 +59,14 @@ def sentence_bounds(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(starts, ends, strict=True) if b > a]
 
 
-def runs(text: str, span: int, min_words: int) -> list[tuple[int, bytes]]:
-    """(first sentence, 16-byte hash) of each run that has enough words."""
-    sentences = [text[a:b].lower().split() for a, b in sentence_bounds(text)]
+def _hash(kind: str, text: str) -> bytes:
+    return hashlib.blake2b(f"{kind}{text}".encode(), digest_size=_HASH.itemsize).digest()
+
+
+def runs(text: str, span: int, min_words: int) -> list[tuple[int, int, bytes]]:
+    """(start, end, hash) of each run of ``span`` sentences that has enough words."""
+    bounds = sentence_bounds(text)
+    sentences = [text[a:b].lower().split() for a, b in bounds]
     if not sentences:
         return []
     width = min(span, len(sentences))
@@ -56,83 +78,148 @@ def runs(text: str, span: int, min_words: int) -> list[tuple[int, bytes]]:
         if i:
             words += lengths[i + width - 1] - lengths[i - 1]
         if words >= min_words:
-            out.append((i, hashlib.blake2b("\n".join(plain[i : i + width]).encode(), digest_size=16).digest()))
+            out.append((bounds[i][0], bounds[i + width - 1][1], _hash("", "\n".join(plain[i : i + width]))))
     return out
 
 
-def without(text: str, firsts: list[int], span: int) -> tuple[str, int, int, list[int]]:
-    """Text without the sentences covered by the runs at ``firsts``: text, sentences, removed, bounds removed."""
+def shortest_runs(lengths: list[int], min_words: int, alone: int) -> set[tuple[int, int]]:
+    """(first, last) sentence of the shortest runs from and up to each sentence, by words per sentence."""
+    n, out = len(lengths), {(0, 0)} if len(lengths) == 1 and lengths[0] >= min_words else set()
+    for i in range(n):
+        if lengths[i] >= alone:
+            out.add((i, i))
+            continue
+        for step in (1, -1):
+            words, j = lengths[i], i + step
+            while 0 <= j < n:
+                words += lengths[j]
+                if words >= min_words:
+                    out.add((min(i, j), max(i, j)))
+                    break
+                j += step
+    return out
+
+
+def chosen_places(hashes: list[int], width: int, window: int) -> list[int]:
+    """First words of the runs of ``width`` words to hash: the least of each ``window`` successive ones."""
+    n = len(hashes) - width + 1
+    if n < 1:
+        return []
+    rolled = mix(span_hashes(mix(np.array(hashes, np.uint64)), slice(0, n), slice(width, None)))
+    least = np.lib.stride_tricks.sliding_window_view(rolled, min(window, n)).argmin(axis=1)
+    return np.unique(least + np.arange(len(least))).tolist()
+
+
+def runs_by_size(text: str, min_words: int, word_run: int) -> list[tuple[int, int, bytes]]:
+    """(start, end, hash) of the shortest runs of sentences and of the chosen runs of words."""
     bounds = sentence_bounds(text)
-    gone = bytearray(len(bounds))
-    for i in firsts:
-        gone[i : i + span] = b"\1" * len(gone[i : i + span])
-    cuts: list[int] = []
-    for (a, b), g in zip(bounds, gone, strict=True):
-        if g:
-            if cuts and cuts[-1] == a:
-                cuts[-1] = b
-            else:
-                cuts += [a, b]
-    kept = "".join(text[a:b] for (a, b), g in zip(bounds, gone, strict=True) if not g)
-    return kept, len(bounds), sum(gone), cuts
+    sentences = [text[a:b].lower().split() for a, b in bounds]
+    held = [k for k, s in enumerate(sentences) if s]
+    plain = [" ".join(sentences[k]) for k in held]
+    out = []
+    for i, j in sorted(shortest_runs([len(sentences[k]) for k in held], min_words, word_run)):
+        out.append((bounds[held[i]][0], bounds[held[j]][1], _hash("", "\n".join(plain[i : j + 1]))))
+    words = [w for k in held for w in sentences[k]]
+    chosen = chosen_places([_word_hash[w] for w in words], word_run, WINDOW)
+    starts = [m.start() for m in _WORD.finditer(text)] + [len(text)] if chosen else []
+    for i in chosen:
+        last = i + word_run
+        out.append((starts[i], starts[last], _hash("\r", " ".join(words[i:last]))))
+    return out
 
 
-def repeated_runs(docs: DataFrame, doc_id: str, text: str, span: int, min_words: int) -> DataFrame:
-    """``_id, _page, firsts``: per document the runs of sentences that also stand earlier.
+def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int, list[int]]:
+    """Text without ``ranges`` of characters: text, sentences, sentences removed as a whole, bounds removed."""
+    cuts: list[int] = []
+    for a, b in sorted(ranges):
+        if cuts and a <= cuts[-1]:
+            cuts[-1] = max(cuts[-1], b)
+        else:
+            cuts += [a, b]
+    edges = [0, *cuts, len(text)]
+    kept = "".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+    bounds, removed, k = sentence_bounds(text), 0, 0
+    for a, b in bounds:
+        while k < len(cuts) and cuts[k + 1] < b:
+            k += 2
+        removed += k < len(cuts) and cuts[k] <= a
+    return kept, len(bounds), removed, cuts
+
+
+def repeated_runs(
+    docs: DataFrame, doc_id: str, text: str, span: int, min_words: int, word_run: int | None = None
+) -> DataFrame:
+    """``_id, _page, ranges``: per document the runs that also stand earlier, as starts and ends.
 
     One shuffle by hash finds the first place and the number of each run with partial aggregation; only
-    hashes seen at more than one place are joined back to the places.
+    hashes seen at more than one place are joined back to the places, when that shuffle's files are gone.
     """
     source = (
         docs.where(F.length(text) > 0)
-        .select(F.col(doc_id).cast("long").alias("_id"), digest16(F.col(text)).alias("_page"), F.col(text).alias("_text"))
+        .select(F.col(doc_id).cast("long").alias("_id"), F.xxhash64(text).alias("_page"), F.col(text).alias("_text"))
     )
 
     def hashed(batch: pa.RecordBatch) -> Iterator[dict]:
-        found = [runs(t, span, min_words) for t in batch["_text"].to_pylist()]
-        places = pa.array([[i for i, _ in f] for f in found], pa.list_(pa.int32()))
-        yield {
-            "_id": batch["_id"],
-            "_page": batch["_page"],
-            "at": places,
-            "h": pa.array([[h for _, h in f] for f in found], pa.list_(pa.binary())),
+        texts = batch["_text"].to_pylist()
+        found = [runs_by_size(t, min_words, word_run) if word_run else runs(t, span, min_words) for t in texts]
+        offsets = pa.array(np.cumsum([0, *(len(f) for f in found)]), pa.int32())
+        hashes = np.frombuffer(b"".join(r[2] for f in found for r in f), _HASH)
+        columns = {
+            "at": pa.array([r[0] for f in found for r in f], pa.int32()),
+            "to": pa.array([r[1] for f in found for r in f], pa.int32()),
+            "h": pa.array(np.ascontiguousarray(hashes["h"])),
+            "g": pa.array(np.ascontiguousarray(hashes["g"])),
         }
+        lists = {name: pa.ListArray.from_arrays(offsets, values) for name, values in columns.items()}
+        yield {"_id": batch["_id"], "_page": batch["_page"]} | lists
 
-    listed = materialize(map_arrow(source, hashed, "_id long, _page binary, at array<int>, h array<binary>"), "spans")
-    each = listed.select("_id", "_page", F.explode(F.arrays_zip("at", "h")).alias("s")).select(
-        "_id", "_page", F.col("s.at").alias("at"), F.col("s.h").alias("h")
+    schema = "_id long, _page long, at array<int>, to array<int>, h array<long>, g array<int>"
+    listed = materialize(map_arrow(source, hashed, schema), "spans")
+    each = listed.select("_id", "_page", F.explode(F.arrays_zip("at", "to", "h", "g")).alias("s")).select(
+        "_id", "_page", *[F.col(f"s.{c}").alias(c) for c in ("at", "to", "h", "g")]
     )
     place = F.struct(F.col("_id"), F.col("_page"), F.col("at"))
     heads = (
-        each.groupBy("h")
+        each.groupBy("h", "g")
         .agg(F.min(place).alias("head"), F.max(place).alias("tail"))
         .where("head <> tail")
-        .select("h", "head")
+        .select("h", "g", "head")
     )
-    later = each.join(heads, "h").where(~place.eqNullSafe(F.col("head")))
-    return later.groupBy("_id", "_page").agg(F.collect_set("at").alias("firsts"))
+    heads = materialize(heads, "span-heads")
+    release(docs.sparkSession)
+    later = each.join(heads, ["h", "g"]).where(~place.eqNullSafe(F.col("head")))
+    marks = materialize(later.groupBy("_id", "_page").agg(F.collect_set(F.struct("at", "to")).alias("ranges")), "span-marks")
+    discard(listed, heads)
+    release(docs.sparkSession)
+    return marks
 
 
 def drop_repeated_spans(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", span: int = SPAN, min_words: int = MIN_WORDS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    span: int = SPAN,
+    min_words: int = MIN_WORDS,
+    word_run: int | None = None,
 ) -> DataFrame:
-    """``docs`` without repeated sentences in ``text``.
+    """``docs`` without repeated sentences in ``text``; with ``word_run``, runs are taken by size, not by ``span``.
 
     Adds ``n_sentences``, ``n_removed`` and ``cuts`` (starts and ends, in characters, of what went).
     """
-    marks = repeated_runs(docs, doc_id, text, span, min_words)
+    marks = repeated_runs(docs, doc_id, text, span, min_words, word_run)
     keyed = docs.select(
         whole_row(docs).alias("row"),
         F.col(doc_id).cast("long").alias("id"),
         F.col(text).alias("text"),
-        digest16(F.col(text)).alias("page"),
+        F.xxhash64(text).alias("page"),
     )
     joined = keyed.join(marks, keyed["id"].eqNullSafe(marks["_id"]) & (keyed["page"] == marks["_page"]), "left")
-    joined = joined.select("row", "text", "firsts")
+    joined = joined.select("row", "text", "ranges")
 
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts, firsts = batch["text"].to_pylist(), batch["firsts"].to_pylist()
-        done = [without(t, f or [], span) if t else (t, 0, 0, []) for t, f in zip(texts, firsts, strict=True)]
+        texts, ranges = batch["text"].to_pylist(), batch["ranges"].to_pylist()
+        pairs = [[(x["at"], x["to"]) for x in r or []] for r in ranges]
+        done = [without(t, p) if t else (t, 0, 0, []) for t, p in zip(texts, pairs, strict=True)]
         yield {
             "row": batch["row"],
             "kept": pa.array([d[0] for d in done], pa.string()),
