@@ -87,3 +87,19 @@ def unpacked(joined: DataFrame, names: list[str], row: str, new: dict[str, Colum
 def digest16(text: Column) -> Column:
     """MD5 as 16 bytes."""
     return F.unhex(F.md5(text))
+
+
+def dealt_blocks(rows: DataFrame, size: Column, by: tuple[str, ...], most: int) -> tuple[DataFrame, list[int]]:
+    """(rows with a ``block``, the blocks that have rows): the sizes of a block add up to ``most`` at most, or it has one row.
+
+    Blocks are dealt by a hash of the columns ``by``, over twice as many blocks until every one is small enough;
+    rows that are equal in ``by`` stay together.
+    """
+    sized = rows.select("*", size.cast("double").alias("_size"))
+    n = max(1, -int(-(sized.agg(F.sum("_size")).first()[0] or 0) // most))
+    while True:
+        dealt = sized.withColumn("block", F.pmod(F.xxhash64(*by), F.lit(n)))
+        sums = dealt.groupBy("block").agg(F.sum("_size").alias("s"), F.count(F.lit(1)).alias("c"))
+        if sums.where((F.col("s") > most) & (F.col("c") > 1)).isEmpty():
+            return dealt.drop("_size"), sorted(r["block"] for r in sums.select("block").collect())
+        n *= 2

@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, line_frequency, packing, parity_join, quality, sentence_spans, small_world, suffixes, top_products, warc
+from tidemark.llm import (
+    bpe,
+    decontamination,
+    hard_negatives,
+    line_frequency,
+    packing,
+    parity_join,
+    quality,
+    sentence_spans,
+    small_world,
+    spelling,
+    suffixes,
+    top_products,
+    warc,
+)
 from tidemark.llm.common import table
 
 
@@ -55,6 +69,22 @@ def op10_site_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.drop_site_lines(docs, host="host")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    # Every seventh label is made wrong, so that some true neighbours have another one.
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(hard_negatives.usable(vectors.withColumn("label", wrong)))
+
+
+def op13_wu_manber(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontamination.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.contamination(hits)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -66,4 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_small_world": op8_small_world,
     "op9_bpe_round_trip": op9_bpe_round_trip,
     "op10_site_lines": op10_site_lines,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_angular_negatives": op12_angular_negatives,
+    "op13_wu_manber": op13_wu_manber,
 }
