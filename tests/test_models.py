@@ -2,10 +2,10 @@
 
 import datetime as dt
 import math
+from dataclasses import replace
 
 import numpy as np
 import pytest
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tidemark.operators import forecast, segments
@@ -79,7 +79,7 @@ def test_quantiles_with_ties_and_narrowed_brackets(spark, monkeypatch):
 
 def test_fit_equals_one_dense_solve(spark, synthetic):
     series, _, _ = synthetic
-    spec = forecast.TEMPERATURE_MODEL
+    spec = replace(forecast.TEMPERATURE_MODEL, sparse_changes=False)
     fitted = {r["series_id"]: r for r in forecast.fit_series(series, spec).collect()}
     scaled = series.join(forecast.series_scales(series), "series_id")
     rows = scaled.where("series_id = 'b'").orderBy("ds").select(forecast.design_row(spec).alias("x"), (F.col("y") / F.col("y_scale")).alias("y")).collect()
@@ -92,6 +92,90 @@ def test_fit_equals_one_dense_solve(spark, synthetic):
     assert fitted["b"]["sigma"] == pytest.approx(float(np.sqrt(spread)), rel=1e-4)
 
 
+def _broken_line(rows, n=1000, at=400, noise=0.01):
+    """A line whose slope changes once, at the knot after day ``at``."""
+    rng = np.random.default_rng(11)
+    y = [100 + 0.05 * i + 0.3 * max(i - at, 0) + rng.normal(0, noise * 100) for i in range(n)]
+    return rows("series_id string, ds date, y double", *[("s", START + dt.timedelta(days=i), float(v)) for i, v in enumerate(y)])
+
+
+def test_one_break_is_found_and_the_others_stay_near_zero(rows):
+    # 20 knots in the first 80 % of 999 days: the knot of day 400 is number 10.
+    spec = forecast.ModelSpec(seasons=(), changepoints=20, noise_scale=0.05)
+    series = _broken_line(rows, at=400)
+    sparse = np.array(forecast.fit_series(series, spec).first()["beta"])[2:]
+    dense = np.array(forecast.fit_series(series, replace(spec, sparse_changes=False)).first()["beta"])[2:]
+    near = np.abs(sparse[[8, 9, 10]]).sum()
+    others = np.abs(np.delete(sparse, [8, 9, 10]))
+    assert near > 0.9 * np.abs(sparse).sum() and others.max() < 0.02 * near
+    assert np.abs(np.delete(dense, [8, 9, 10])).sum() > 5 * others.sum()
+
+
+def test_sparse_changes_solve_the_laplace_problem(rows):
+    """The conditions of the minimum: gradient equal to the penalty's slope where a change stands, less where it is 0."""
+    spec = forecast.ModelSpec(seasons=((7.0, 2),), changepoints=10)
+    series = _broken_line(rows, n=300, at=120, noise=0.05)
+    row = forecast.fit_series(series, spec).first()
+    scaled = series.join(forecast.series_scales(series), "series_id")
+    made = scaled.select(forecast.design_row(spec).alias("x"), (F.col("y") / F.col("y_scale")).alias("y")).collect()
+    x, y, beta = np.array([r["x"] for r in made]), np.array([r["y"] for r in made]), np.array(row["beta"])
+    pull = x.T @ (y - x @ beta)
+    changes, others = slice(2, 12), np.r_[0:2, 12:16]
+    assert np.allclose(pull[others], np.array(spec.penalties())[others] * beta[others], atol=1e-6)
+    edge = spec.noise_scale**2 / spec.changepoint_scale
+    stands = np.abs(beta[changes]) > 1e-3
+    assert stands.any() and not stands.all()
+    assert np.allclose(pull[changes][stands], edge * np.sign(beta[changes][stands]), rtol=0.02)
+    assert (np.abs(pull[changes]) <= edge * 1.02).all()
+
+
+def _fit_before(series, spec, last, back, y_scale, reach):
+    """Dense solve of one cut-off: days up to ``back`` days before the last, changes up to ``reach``."""
+    t0 = series[0][0]
+    span = (last - t0).days
+    days = [(d, y) for d, y in series if (last - d).days >= back]
+
+    def design(d):
+        t = (d - t0).days / span
+        day = (d - dt.date(1970, 1, 1)).days
+        waves = [f(day * 2 * math.pi * n / p) for p, order in spec.seasons for n in range(1, order + 1) for f in (math.sin, math.cos)]
+        return [1.0, t, *[max(t - k, 0.0) if k <= reach else 0.0 for k in spec.knots()], *waves]
+
+    x, y = np.array([design(d) for d, _ in days]), np.array([v for _, v in days]) / y_scale
+    beta = np.linalg.solve(x.T @ x + np.diag(spec.penalties()), x.T @ y)
+    return lambda d: float(np.array(design(d)) @ beta * y_scale)
+
+
+def test_backtest_equals_a_fit_per_cutoff(spark, rows, synthetic):
+    spec = replace(forecast.ModelSpec(seasons=((7.0, 2),), changepoints=6), sparse_changes=False)
+    series = synthetic[0].where("series_id = 'b'").unionByName(synthetic[0].where("series_id = 'a' and ds < '2021-02-01'"))
+    made = forecast.backtest(series, spec, folds=3, step=50, horizon=80).collect()
+    whole = [(r["ds"], r["y"]) for r in synthetic[0].where("series_id = 'b'").orderBy("ds").collect()]
+    last, t0 = whole[-1][0], whole[0][0]
+    span = (last - t0).days
+    scale = max(abs(y) for d, y in whole if (last - d).days >= 150)
+    by_cut = {c: sorted(r["ds"] for r in made if r["cutoff"] == c) for c in {r["cutoff"] for r in made if r["series_id"] == "b"}}
+    assert {(last - c).days: len(v) for c, v in by_cut.items()} == {50: 50, 100: 80, 150: 80}
+    for fold in (1, 2, 3):
+        cut = last - dt.timedelta(days=50 * fold)
+        predict = _fit_before(whole, spec, last, 50 * fold, scale, 0.8 * (cut - t0).days / span + 1e-9)
+        got = {r["ds"]: r["yhat"] for r in made if r["series_id"] == "b" and r["cutoff"] == cut}
+        assert all(abs(got[d] - predict(d)) < 1e-6 for d in got) and min(got) == cut + dt.timedelta(days=1)
+    # A short series has no days before its cut-offs, so nothing is held out from a fit.
+    assert not [r for r in made if r["series_id"] == "a"]
+    errors = {(last - r["cutoff"]).days: r for r in forecast.backtest_errors(forecast.backtest(series, spec, 3, 50, 80)).collect()}
+    misses = np.array([r["y"] - r["yhat"] for r in made if (last - r["cutoff"]).days == 100 and r["series_id"] == "b"])
+    assert errors[100]["mae"] == pytest.approx(np.abs(misses).mean()) and errors[100]["rmse"] == pytest.approx(np.sqrt((misses**2).mean()))
+
+
+def test_backtest_does_not_see_the_held_out_days(spark, synthetic):
+    series = synthetic[0].where("series_id = 'a'")
+    spec = forecast.ModelSpec(seasons=(), changepoints=5)
+    wild = series.withColumn("y", F.when(F.col("ds") > F.lit(START + dt.timedelta(days=1039)), 1e6).otherwise(F.col("y")))
+    one, two = ({r["ds"]: r["yhat"] for r in forecast.backtest(s, spec, 1, 60, 60).collect()} for s in (series, wild))
+    assert len(one) == 60 and all(abs(one[d] - two[d]) < 1e-9 for d in one)
+
+
 def test_design_width_matches_penalties(spark):
     spec = forecast.VOLUME_MODEL
     assert len(spec.penalties()) == 2 + 25 + 20 + 6 + 10 + 3 + 3
@@ -166,8 +250,12 @@ def blobs(spark):
     return spark.createDataFrame(rows, "user_id bigint, x double, y double")
 
 
+def _vectors(blobs, partitions=2):
+    return blobs.select("user_id", F.array("x", "y").alias("scaled")).repartition(partitions, "user_id").cache()
+
+
 def test_mixture_finds_separate_groups(blobs):
-    vectors = blobs.select("user_id", array_to_vector(F.array("x", "y")).alias("scaled")).repartition(2, "user_id").cache()
+    vectors = _vectors(blobs)
     labelled = segments.cluster_users(vectors, blobs, 3)
     pairs = labelled.select(F.pmod("user_id", F.lit(3)).alias("g"), "classification").distinct()
     assert pairs.count() == 3 and labelled.count() == 600
@@ -177,6 +265,41 @@ def test_mixture_finds_separate_groups(blobs):
     assert summary.agg(F.sum("members")).first()[0] == 600
 
 
+def test_mixtures_do_not_depend_on_partitions(blobs):
+    found = []
+    for partitions in (1, 7):
+        vectors = _vectors(blobs, partitions)
+        models = segments.fit_mixtures(vectors, [2, 5])
+        found.append({k: sorted(tuple(r) for r in segments.labels(vectors, m).collect()) for k, m in models.items()})
+    assert found[0] == found[1]
+
+
+def test_log_likelihood_is_that_of_the_mixture(blobs):
+    model = segments.fit_mixtures(_vectors(blobs), [3])[3]
+    x = np.array([[r["x"], r["y"]] for r in blobs.collect()])
+    parts = []
+    for w, m, c in zip(model.weights, model.means, model.covariances, strict=True):
+        miss = x - m
+        far = np.einsum("ni,ij,nj->n", miss, np.linalg.inv(c), miss)
+        parts.append(w * np.exp(-0.5 * far) / (2 * math.pi * math.sqrt(np.linalg.det(c))))
+    assert model.log_likelihood == pytest.approx(np.log(np.sum(parts, axis=0)).sum(), rel=1e-9)
+    assert model.weights.sum() == pytest.approx(1.0)
+
+
+def test_each_pass_gains_likelihood(blobs):
+    models, last = {4: segments._start(np.array([[r["x"], r["y"]] for r in blobs.limit(200).collect()]), 4)}, -math.inf
+    for _ in range(8):
+        sums, likelihood = segments._expectations(_vectors(blobs), models)[4]
+        assert likelihood >= last - 1e-6
+        last, models = likelihood, {4: models[4].updated(sums, likelihood, 600)}
+
+
+def test_mixture_of_few_and_equal_users(spark):
+    same = spark.range(40).select(F.col("id").alias("user_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("scaled"))
+    model = segments.fit_mixtures(same, [3])[3]
+    assert np.isfinite(model.log_likelihood) and segments.labels(same, model).count() == 40
+
+
 def test_waterfall_gives_one_tag(rows):
     df = rows("v int", (1,), (5,), (None,))
     tag = segments.waterfall([(F.col("v") < 3, "low"), (F.col("v") < 9, "mid")], "rest")

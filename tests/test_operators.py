@@ -197,6 +197,65 @@ def test_metric_names_are_checked(frames, measures, dims):
         metrics.metric_query(MODEL, frames, "item", measures, dims)
 
 
+def test_a_key_that_occurs_twice_fails_the_query(frames):
+    twice = {**frames, "plan": frames["plan"].union(frames["plan"])}
+    assert metrics.metric_query(MODEL, twice, "item", ["cnt"]).first()["cnt"] == 15  # the plans are not read
+    with pytest.raises(Exception, match="more than once"):
+        metrics.metric_query(MODEL, twice, "item", [REVENUE], ["cat"]).collect()
+
+
+def _chain(*extra):
+    names = {"item": "cnt", "plan": "price", "maker": "", "place": "", "shop": ""}
+    tables = [
+        {"name": t, "dimensions": [{"name": d, "expr": d} for d in ([f"{t}_name", "label"] if t != "item" else ["cat"])],
+         "measures": [{"name": m, "expr": m}] if m else []}
+        for t, m in names.items()
+    ]
+    links = [("made_by", "plan", "maker"), ("sold_as", "item", "plan"), ("maker_in", "maker", "place"), ("sold_in", "item", "shop"), *extra]
+    relations = [
+        {"name": n, "left_table": a, "right_table": b, "relationship_columns": [{"left_column": f"{b}_id", "right_column": "id"}]}
+        for n, a, b in links
+    ]
+    return metrics.model_from_spec({"name": "chain", "tables": tables, "relationships": relations})
+
+
+@pytest.fixture
+def chain(rows):
+    ref = lambda t, *v: rows(f"id int, {t}_name string, label string, place_id int, maker_id int, price int", *v)
+    return {
+        "item": rows("cat string, cnt int, plan_id int, shop_id int", ("a", 1, 1, 1), ("a", 2, 2, 2), ("b", 4, 1, None), ("b", 8, None, 1), ("b", 16, 9, 1)),
+        "plan": ref("plan", (1, "p", "x", None, 1, 10), (2, "q", "y", None, 2, 100)),
+        "maker": ref("maker", (1, "m", "x", 1, None, 0), (2, "n", "y", 2, None, 0)),
+        "place": ref("place", (1, "north", "x", None, None, 0), (2, "south", "y", None, None, 0)),
+        "shop": ref("shop", (1, "s", "x", 2, None, 0), (2, "t", "y", 1, None, 0)),
+    }
+
+
+def test_several_links_and_hops(chain):
+    value = metrics.Product("value", "cnt", "price")
+    out = metrics.metric_query(_chain(), chain, "item", ["cnt", value], ["place_name", "shop_name", "plan.label"])
+    got = {(r["place_name"], r["shop_name"], r["plan_label"]): (r["cnt"], r["value"]) for r in out.collect()}
+    assert got == {
+        ("north", "s", "x"): (1, 10), ("south", "t", "y"): (2, 200), ("north", None, "x"): (4, 40), (None, "s", None): (24, None),
+    }
+
+
+def test_ways_between_tables(chain):
+    both = _chain(("shop_in", "shop", "place"))
+    with pytest.raises(ValueError, match="several ways .*made_by.* or .*shop_in"):
+        metrics.metric_query(both, chain, "item", ["cnt"], ["place_name"])
+    out = metrics.metric_query(both, chain, "item", ["cnt"], ["place_name"], via=["shop_in"])
+    assert {r["place_name"]: r["cnt"] for r in out.collect()} == {"south": 25, "north": 2, None: 4}
+    with pytest.raises(ValueError, match="many rows for one"):
+        metrics.metric_query(both, chain, "plan", ["price"], ["cat"])
+    with pytest.raises(ValueError, match="no relationship leads"):
+        metrics.metric_query(both, chain, "plan", ["price"], ["shop_name"])
+    with pytest.raises(ValueError, match="name the table"):
+        metrics.metric_query(both, chain, "item", ["cnt"], ["label"])
+    round_trip = _chain(("back", "place", "item"))  # a circle of links ends
+    assert set(round_trip.paths("item")) == {"plan", "maker", "place", "shop"}
+
+
 def test_relationship_key(frames, rows):
     assert metrics.check_relationship(MODEL, "r", frames).first()["status"] == "pass"
     twice = {**frames, "plan": frames["plan"].union(frames["plan"])}

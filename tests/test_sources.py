@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.sources import registry, sinks, weather_feed
+from tidemark.sources import keyed, registry, sinks, weather_feed
 from tidemark.streaming import incremental
 
 
@@ -77,6 +77,23 @@ def test_snapshot_swap_leaves_old_readers_alone(spark, rows, tmp_path):
     held = spark.table("current_rows")
     sinks.publish_snapshot(rows("a int", (1,), (2,)), root, "2", "current_rows")
     assert spark.table("current_rows").count() == 2 and held.count() == 1
+    other = spark.newSession()
+    assert other.table("current_rows").count() == 2 and sinks.read_snapshot(other, root).count() == 2
+    assert sinks.read_snapshot(other, root, "1").count() == 1
+
+
+def test_old_versions_go_in_order_of_publication(spark, rows, tmp_path):
+    root = str(tmp_path / "snap")
+    with pytest.raises(FileNotFoundError):
+        sinks.read_snapshot(spark, root)
+    for i, name in enumerate(("b", "c", "a")):
+        sinks.publish_snapshot(rows("a int", (i,)), root, name, keep=2)
+    assert sinks.read_snapshot(spark, root).first()["a"] == 2
+    assert [v for _, v in sinks.snapshot_versions(spark, root)] == ["b", "c", "a"]
+    assert sorted(d for d in os.listdir(root) if d.startswith("version=")) == ["version=a", "version=c"]
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        sinks.publish_snapshot(rows("a int", (9,)), root, "a")
+    assert sinks.read_snapshot(spark, root).first()["a"] == 2  # a failed publication changes nothing
 
 
 def test_csv_snapshot_replaces_its_own_day_only(spark, rows, tmp_path):
@@ -96,6 +113,92 @@ def test_append_twice_adds_once(spark, rows, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "c"), (3, "d")]
 
 
+def test_null_and_repeated_keys_are_appended_once(spark, rows, tmp_path):
+    path, batch = str(tmp_path / "t"), rows("id int, v string", (None, "b"), (None, "a"), (1, "a"), (1, "a"))
+    assert [sinks.append_new(batch, path, "id", ["v"]) for _ in range(3)] == [2, 0, 0]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect() if r["id"]) == [(1, "a")]
+    path, day = str(tmp_path / "inc"), dt.date(2024, 1, 5)
+    source = rows("k int, d date", (None, day), (None, day), (1, day), (1, day), (2, None), (None, None))
+    assert [incremental.load_increment(source, path, "d", "k").loaded for _ in range(3)] == [3, 0, 0]
+
+
+def test_a_load_without_lookback_finds_what_was_missed(spark, rows, tmp_path):
+    path = str(tmp_path / "inc")
+    incremental.load_increment(rows("k int, d date", (1, dt.date(2024, 3, 1))), path, "d", "k")
+    late = rows("k int, d date", (1, dt.date(2024, 3, 1)), (2, dt.date(2024, 1, 1)))
+    assert incremental.load_increment(late, path, "d", "k").loaded == 0
+    assert incremental.load_increment(late, path, "d", "k", lookback=None).loaded == 1
+    assert incremental.load_increment(late, path, "d", "k").missed.isEmpty()
+
+
+def test_keyed_table_opens_few_folders(spark, tmp_path):
+    path = str(tmp_path / "keyed")
+    batch = lambda a, b: spark.range(a, b).selectExpr("id", "cast(id as string) as v")
+    make = lambda: keyed.KeyedTable(spark, path, "id", folders=16, folder_keys=1000)
+    first = make().append(batch(0, 8000))
+    assert first == (8000, 0, 0)  # nothing to open yet
+    again = make().append(batch(0, 8000))
+    assert again.rows == 0 and again.folders == 16 and again.files == 16
+    one = make().append(batch(5, 6))
+    assert (one.rows, one.folders, one.files) == (0, 1, 1)
+    # New keys rarely look known: of 1,000 at most a few folders are opened, and all rows arrive.
+    new = make().append(batch(8000, 9000))
+    assert new.rows == 1000 and new.folders <= 12
+    few = make().append(batch(9000, 9020))
+    assert few.rows == 20 and few.folders <= 3
+    got = make().read(batch(0, 1).schema)
+    assert got.count() == 9020 == got.select("id").distinct().count() and got.columns == ["id", "v"]
+    wider = keyed.KeyedTable(spark, path, "id", folders=99)  # the layout is that of the first write
+    assert wider.folders == 16 and wider.append(batch(0, 100)).rows == 0
+
+
+def test_keyed_table_is_right_with_full_filters(spark, rows, tmp_path):
+    make = lambda: keyed.KeyedTable(spark, str(tmp_path / "keyed"), "k", folders=3, folder_keys=1)
+    named = lambda *ks: rows("k string, v int", *[(k, i) for i, k in enumerate(ks)])
+    assert make().append(named(None, None, "a", "b", "a")).rows == 3
+    assert make().append(named(None, "a", "b")).rows == 0
+    assert make().append(named(*[f"x{i}" for i in range(200)], None)).rows == 200
+    assert make().append(named(*[f"x{i}" for i in range(200)], "y")).rows == 1
+    assert make().append(named().limit(0)).rows == 0
+    assert sorted((r["k"] or "") for r in make().read(named().schema).collect())[:3] == ["", "a", "b"]
+
+
+def test_bits_without_rows_do_no_harm(spark, rows, tmp_path):
+    """A run that failed after its bits were written: the next one loads the rows."""
+    path, batch = str(tmp_path / "keyed"), rows("k int", (1,), (2,))
+    table = keyed.KeyedTable(spark, path, "k")
+    table.append(rows("k int", (7,)))
+    bits = table._dealt(batch).select("key_folder", "key_word", "key_mask")
+    bits.write.mode("append").parquet(os.path.join(path, "_keys", "filter"))
+    assert keyed.KeyedTable(spark, path, "k").append(batch).rows == 2
+
+
+def test_stream_once(spark, rows, tmp_path):
+    source, path, state = (str(tmp_path / n) for n in ("src", "out", "state"))
+    at = lambda d, h=0: dt.datetime(2024, 1, d, h)
+    schema = "k int, ts timestamp_ntz"
+
+    def run(*values):
+        rows(schema, *values).coalesce(1).write.mode("append").parquet(source)
+        query = incremental.stream_once(
+            incremental.read_files_stream(spark, source, rows(schema).schema), path, state, "ts", "k", "2 days"
+        )
+        query.awaitTermination()
+        return incremental.late_count(query), sorted((r["k"] or 0, r["fate"]) for r in spark.read.parquet(path).collect())
+
+    first = [(0, "timely"), (1, "timely"), (2, "timely"), (3, "undated")]
+    assert run((1, at(10)), (1, at(10)), (2, at(9)), (3, None), (None, at(10))) == (0, first)
+    # The state knows 1 and the null key; 4 is within the delay, 5 is behind it, 3 is found in the table.
+    assert run((1, at(10)), (4, at(9)), (5, at(1)), (3, None), (None, at(10, 1))) == (1, sorted([*first, (4, "timely")]))
+    everything = spark.read.schema(schema).parquet(source)
+    assert incremental.load_late(everything, path, "ts", "k").rows == 1
+    assert incremental.load_late(everything, path, "ts", "k").rows == 0
+    # A key that comes again after the state has forgotten it is found in the table.
+    assert run((9, at(25)))[1][-1] == (9, "timely")
+    late, got = run((1, at(25)))
+    assert got.count((1, "timely")) == 1 and len(got) == 7
+
+
 def test_frozen_dates_survive_later_runs(spark, rows, tmp_path):
     path = str(tmp_path / "f")
     for day, y in (("2024-01-01", 1.0), ("2024-01-08", 2.0), ("2024-01-08", 3.0)):

@@ -2,8 +2,10 @@
 
 The model follows the published formulation of Taylor and Letham, "Forecasting at
 Scale" (2018): a piecewise linear trend, Fourier terms for the seasons, holiday
-and regressor effects. Its priors are Gaussian here, so a fit is one penalized
-least-squares problem per series:
+and regressor effects. The priors are Gaussian, but for the changes of the trend,
+which have a Laplace prior: most of them are near 0, a few are large. A fit is a
+penalized least-squares problem per series, solved again with new weights until the
+changes stay:
 
 * every design column is a Spark expression on ``(ds, regressors)``;
 * partial ``X'X``, ``X'y`` are built per (series, block of days) and summed per
@@ -41,6 +43,13 @@ MONTH_DAYS, MONTHLY_ORDER = 30.5, 5
 HOLIDAY_WINDOW = (-1, 1)
 CHANGEPOINTS, CHANGEPOINT_RANGE = 25, 0.8
 INTERVAL_Z = 1.28
+# Rounds of new weights at most; below this share of the prior's scale a change counts as 0 for its weight;
+# coefficients that move less are settled.
+REWEIGHTINGS, LEAST_CHANGE, STILL = 200, 1e-4, 1e-7
+# Cut-offs of a rolling hold-out, and the days between them.
+FOLDS, FOLD_DAYS = 4, 60
+# What the sums of a series carry along.
+CARRIED = ("reach", "reach_step", "t0", "span", "y_scale")
 
 
 @dataclass(frozen=True)
@@ -56,6 +65,12 @@ class ModelSpec:
     season_scale: float = 10.0
     regressor_scale: float = 10.0
     noise_scale: float = 0.1
+    #: A Laplace prior on the changes of the trend; Gaussian if False.
+    sparse_changes: bool = True
+
+    def knots(self) -> np.ndarray:
+        """Where the trend may change, as shares of a series' span."""
+        return np.array([self.changepoint_range * (i + 1) / self.changepoints for i in range(self.changepoints)])
 
     def penalties(self) -> list[float]:
         """Noise variance over prior variance, in design-column order."""
@@ -143,7 +158,7 @@ def design_row(spec: ModelSpec) -> Column:
     """The design vector of a row that carries ``ds, t0, span`` and the extra columns."""
     day = _day_number().cast("double")
     t = (day - F.col("t0")) / F.col("span")
-    knots = np.array([spec.changepoint_range * (i + 1) / spec.changepoints for i in range(spec.changepoints)])
+    knots = spec.knots()
     speeds = np.array([2.0 * math.pi * n / period for period, order in spec.seasons for n in range(1, order + 1)])
     extra = list(spec.regressors)
     if spec.holidays:
@@ -164,37 +179,56 @@ def design_row(spec: ModelSpec) -> Column:
 
 
 def _block_summer():
+    carried = list(CARRIED)
+
     def block_sums(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.array(pdf["x"].tolist())
         y = pdf["y"].to_numpy()
-        return pd.DataFrame(
-            {
-                "series_id": [pdf["series_id"].iloc[0]],
-                "gram": [(x.T @ x).ravel()],
-                "moment": [x.T @ y],
-                "yy": [float(y @ y)],
-                "n": [len(y)],
-            }
-        )
+        sums = {"gram": [(x.T @ x).ravel()], "moment": [x.T @ y], "yy": [float(y @ y)], "n": [len(y)]}
+        return pdf[["series_id", "fold", *carried]].head(1).reset_index(drop=True).assign(**sums)
 
     return block_sums
 
 
-def _solver(penalties: list[float]):
-    ridge = np.diag(penalties)
+def _solver(spec: ModelSpec, folds: Sequence[int]):
+    ridge, changes = np.array(spec.penalties()), slice(2, 2 + spec.changepoints)
+    sparse, scale, knots = spec.sparse_changes and spec.changepoints > 0, spec.changepoint_scale, spec.knots()
+    rounds, least, still, scales = REWEIGHTINGS, LEAST_CHANGE, STILL, ["t0", "span", "y_scale"]
+
+    def fitted(gram, moment, yy: float, n: int, reach: float):
+        """Coefficients and residual spread; changes after ``reach`` (a share of the span) are 0."""
+        used = np.ones(len(ridge), bool)
+        used[changes] = knots <= reach + 1e-9
+        at = np.flatnonzero(used[changes]) + 2  # the first ones are used, so they keep their places
+        gram, moment, weights = gram[np.ix_(used, used)], moment[used], ridge[used].copy()
+        beta = np.linalg.solve(gram + np.diag(weights), moment)
+        for _ in range(rounds if sparse and len(at) else 0):
+            # |d| / s as a square through its present value: the Gaussian weight, times s / |d|.
+            weights[at] = ridge[at] * scale / np.maximum(np.abs(beta[at]), least * scale)
+            before, beta = beta, np.linalg.solve(gram + np.diag(weights), moment)
+            if np.abs(beta - before).max() < still:
+                break
+        spent = float(np.trace(np.linalg.solve(gram + np.diag(weights), gram)))
+        error = max(yy - 2.0 * beta @ moment + beta @ gram @ beta, 0.0)
+        whole = np.zeros(len(ridge))
+        whole[used] = beta
+        return whole, math.sqrt(error / max(n - spent, 1.0))
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        p = len(penalties)
-        gram = np.sum(np.stack(pdf["gram"].to_list()), axis=0).reshape(p, p)
-        moment = np.sum(np.stack(pdf["moment"].to_list()), axis=0)
-        n, yy = int(pdf["n"].sum()), float(pdf["yy"].sum())
-        solved = np.linalg.solve(gram + ridge, np.column_stack([moment, gram]))
-        beta, spent = solved[:, 0], float(np.trace(solved[:, 1:]))
-        error = max(yy - 2.0 * beta @ moment + beta @ gram @ beta, 0.0)
-        sigma = math.sqrt(error / max(n - spent, 1.0))
-        return pd.DataFrame(
-            {"series_id": [pdf["series_id"].iloc[0]], "beta": [beta], "sigma": [sigma], "n": [n]}
-        )
+        """A fit for each fold, on that fold and all older ones: one step through the sums."""
+        p, out = len(ridge), []
+        gram, moment, yy, n = np.zeros((p, p)), np.zeros(p), 0.0, 0
+        first = pdf.iloc[0]
+        for fold in folds:
+            part = pdf[pdf["fold"] == fold]
+            if len(part):
+                gram += np.sum(np.stack(part["gram"].to_list()), axis=0).reshape(p, p)
+                moment += np.sum(np.stack(part["moment"].to_list()), axis=0)
+                n, yy = n + int(part["n"].sum()), yy + float(part["yy"].sum())
+            if n:
+                beta, sigma = fitted(gram, moment, yy, n, first["reach"] - fold * first["reach_step"])
+                out.append((first["series_id"], fold, beta, sigma, n, *first[scales]))
+        return pd.DataFrame(out, columns=["series_id", "fold", "beta", "sigma", "n", *scales])
 
     return solve
 
@@ -205,47 +239,67 @@ def fit_series(series: DataFrame, spec: ModelSpec) -> DataFrame:
     ``series`` has ``series_id, ds, y`` and the spec's regressor columns, one row per
     day. Python sees the design rows of one block at a time, then one matrix per block.
     """
-    kind = series.schema["series_id"].dataType.simpleString()
     scales = series_scales(series)
-    rows = series.join(scales, "series_id").select(
+    one = {"fold": F.lit(0), "reach": F.lit(spec.changepoint_range), "reach_step": F.lit(0.0)}
+    return _solved(series.join(scales, "series_id").withColumns(one), spec, [0]).drop("fold")
+
+
+def _solved(rows: DataFrame, spec: ModelSpec, folds: Sequence[int]) -> DataFrame:
+    """Coefficients per series and fold, in the given order of folds, each on all rows of the folds so far.
+
+    Rows carry their ``fold`` and their series' scales, which the result has too, and how far trend changes reach
+    in fold 0 and less per fold.
+    """
+    kind = rows.schema["series_id"].dataType.simpleString()
+    designed = rows.select(
         "series_id",
+        "fold",
+        *[F.col(c).cast("double").alias(c) for c in CARRIED],
         F.floor(_day_number() / BLOCK_DAYS).alias("block"),
         design_row(spec).alias("x"),
         (F.col("y").cast("double") / F.col("y_scale")).alias("y"),
     )
-    partial = rows.groupBy("series_id", "block").applyInPandas(
-        _block_summer(), f"series_id {kind}, gram array<double>, moment array<double>, yy double, n bigint"
+    sums = designed.groupBy("series_id", "fold", "block").applyInPandas(
+        _block_summer(),
+        f"series_id {kind}, fold int, {', '.join(f'{c} double' for c in CARRIED)}, "
+        "gram array<double>, moment array<double>, yy double, n bigint",
     )
-    solved = partial.groupBy("series_id").applyInPandas(
-        _solver(spec.penalties()), f"series_id {kind}, beta array<double>, sigma double, n bigint"
+    return sums.groupBy("series_id").applyInPandas(
+        _solver(spec, folds),
+        f"series_id {kind}, fold int, beta array<double>, sigma double, n bigint, t0 double, span double, y_scale double",
     )
-    return solved.join(scales, "series_id")
 
 
-def drift_variance(spec: ModelSpec) -> Column:
-    """Variance of the scaled trend past the last fitted day.
+def drift_variance(spec: ModelSpec, end: Column | None = None) -> Column:
+    """Variance of the scaled trend past the last fitted day, which stands at the share ``end`` (all) of the span.
 
     Slopes go on changing as often and as much as before. With changes of mean size m,
     Laplace distributed, and c of them a span, a distance of h spans adds 2 m^2 c h^3 / 3.
+    The prior counts as one more change of its size, so that a straight past still leaves some doubt.
     """
     if not spec.changepoints:
         return F.lit(0.0)
-    ahead = F.greatest((_day_number().cast("double") - F.col("t0")) / F.col("span") - 1.0, F.lit(0.0))
+    end = F.lit(1.0) if end is None else end
+    ahead = F.greatest((_day_number().cast("double") - F.col("t0")) / F.col("span") - end, F.lit(0.0))
     changes = F.slice(F.col("beta"), 3, spec.changepoints)
-    size = F.aggregate(changes, F.lit(0.0), lambda acc, v: acc + F.abs(v)) / spec.changepoints
+    total = F.aggregate(changes, F.lit(0.0), lambda acc, v: acc + F.abs(v)) + spec.changepoint_scale
+    size = total / (end * spec.changepoints + 1.0)
     return 2.0 * size * size * (spec.changepoints / spec.changepoint_range) * ahead * ahead * ahead / 3.0
 
 
 def predict_series(days: DataFrame, fitted: DataFrame, spec: ModelSpec, z: float = INTERVAL_Z) -> DataFrame:
     """``yhat`` with its interval for every (series, day), wider the further ahead; a native dot product."""
+    return _predicted(days.join(fitted, "series_id"), spec, z).select("series_id", "ds", "yhat", "yhat_lower", "yhat_upper")
+
+
+def _predicted(rows: DataFrame, spec: ModelSpec, z: float, end: Column | None = None) -> DataFrame:
+    """Rows that carry their fit, with ``yhat`` and its interval."""
     dot = F.aggregate(
         F.zip_with(design_row(spec), F.col("beta"), lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v
     )
-    half = F.lit(z) * F.sqrt(F.col("sigma") * F.col("sigma") + drift_variance(spec)) * F.col("y_scale")
-    return (
-        days.join(fitted, "series_id")
-        .withColumn("yhat", dot * F.col("y_scale"))
-        .select("series_id", "ds", "yhat", (F.col("yhat") - half).alias("yhat_lower"), (F.col("yhat") + half).alias("yhat_upper"))
+    half = F.lit(z) * F.sqrt(F.col("sigma") * F.col("sigma") + drift_variance(spec, end)) * F.col("y_scale")
+    return rows.withColumn("yhat", dot * F.col("y_scale")).withColumns(
+        {"yhat_lower": F.col("yhat") - half, "yhat_upper": F.col("yhat") + half}
     )
 
 
@@ -266,7 +320,8 @@ def train_and_forecast(
     Triggers have one row per day, which bounds the broadcast.
     """
     clean, triggers = clean_series(series), F.broadcast(triggers)
-    train = with_holidays(clean.join(triggers, "ds"), holidays)
+    # Fit, scales and history read it, so it is written once.
+    train = materialize(with_holidays(clean.join(triggers, "ds"), holidays), "train")
     fitted = fit_series(train, spec)
     ahead = history_and_future(train, days).join(triggers, "ds", "left").na.fill(0, subset=list(spec.regressors))
     return predict_series(with_holidays(ahead, holidays), fitted, spec)
@@ -336,6 +391,66 @@ def mean_absolute_error(actual: DataFrame, forecast: DataFrame) -> DataFrame:
     )
 
 
+def backtest(
+    series: DataFrame, spec: ModelSpec, folds: int = FOLDS, step: int = FOLD_DAYS, horizon: int = FOLD_DAYS, z: float = INTERVAL_Z
+) -> DataFrame:
+    """Hold-out predictions from rolling origins: ``series_id, cutoff, ds, y, yhat, yhat_lower, yhat_upper``.
+
+    The cut-offs of a series lie ``step``, 2 ``step``, ... days before its last day. Each one's model is fitted to
+    the days up to it and predicts the ``horizon`` days after it. The series is read once: rows are summed by
+    the fold between two cut-offs, and the solver adds one fold after the other, from the oldest on, so that a fit
+    costs one solve and no scan.
+
+    All fits share one grid of trend changes and a value scale taken from the days before the first cut-off; a fit
+    uses the changes in the first part (``changepoint_range``) of its own days. Series without days before a
+    cut-off have no fit there. ``series`` has ``series_id, ds, y`` and the spec's regressor columns.
+    """
+    clean = materialize(clean_series(series), "backtest")
+    day, last = _day_number(), F.col("t0") + F.col("days")
+    scales = clean.groupBy("series_id").agg(F.min(day).alias("t0"), (F.max(day) - F.min(day)).alias("days"))
+    first = last - folds * step
+    early = clean.join(scales, "series_id").where(day <= first).groupBy("series_id").agg(F.max(F.abs("y")).alias("peak"))
+    scales = scales.join(early, "series_id", "left").select(
+        "series_id", "t0", last.alias("last"), F.greatest("days", F.lit(1)).alias("span"),
+        F.when(F.col("peak") > 0, F.col("peak")).otherwise(F.lit(1.0)).alias("y_scale"),
+    )
+    scales = materialize(scales, "backtest-scales")
+    dated = clean.join(scales, "series_id")
+    # Fold i holds the days that cut-off i is the latest to include.
+    fold = F.least(F.floor((F.col("last") - day) / step), F.lit(folds)).cast("int")
+    reach = {"reach": F.lit(spec.changepoint_range), "reach_step": F.lit(step * spec.changepoint_range) / F.col("span")}
+    past = dated.withColumn("fold", fold).where("fold > 0").withColumns(reach)
+    fits = _solved(past, spec, range(folds, 0, -1)).drop("t0", "span", "y_scale")
+    behind = F.col("last") - day
+    # A day is held out from each cut-off before it that lies within the horizon.
+    lowest, highest = F.floor(behind / step) + 1, F.least(F.floor((behind + horizon) / step), F.lit(folds))
+    held = dated.where(lowest <= highest).withColumn("fold", F.explode(F.sequence(lowest.cast("int"), highest.cast("int"))))
+    cut = F.col("last") - F.col("fold") * step
+    predicted = _predicted(held.join(fits, ["series_id", "fold"]), spec, z, (cut - F.col("t0")) / F.col("span"))
+    return predicted.select(
+        "series_id", F.date_add(F.lit(EPOCH), cut.cast("int")).alias("cutoff"), "ds", "y",
+        "yhat", "yhat_lower", "yhat_upper",
+    )
+
+
+def backtest_errors(held_out: DataFrame) -> DataFrame:
+    """Per series and cut-off: days, mean absolute error, root mean square error, share inside the interval."""
+    miss = F.col("y") - F.col("yhat")
+    inside = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper"))
+    return held_out.groupBy("series_id", "cutoff").agg(
+        F.count(F.lit(1)).alias("days"),
+        F.avg(F.abs(miss)).alias("mae"),
+        F.sqrt(F.avg(miss * miss)).alias("rmse"),
+        F.avg(inside.cast("double")).alias("inside"),
+    )
+
+
+def volume_backtest(series: DataFrame, triggers: DataFrame, holidays: DataFrame, spec: ModelSpec = VOLUME_MODEL, **folds) -> DataFrame:
+    """Hold-out errors of the volume model, on days that have triggers (one row per day, which bounds the broadcast)."""
+    days = with_holidays(clean_series(series).join(F.broadcast(triggers), "ds"), holidays)
+    return backtest_errors(backtest(days, spec, **folds))
+
+
 def frozen_pick(predictions: DataFrame, cutoff: str | date) -> DataFrame:
     """Per series and day the prediction made last on or before ``cutoff``.
 

@@ -6,7 +6,7 @@ and gets an aggregated DataFrame with every mandatory filter applied.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -73,8 +73,35 @@ class SemanticModel:
                 return table
         raise ValueError(f"model {self.name}: unknown table {name!r}")
 
-    def relationship_from(self, left: str) -> Relationship | None:
-        return next((r for r in self.relationships if r.left_table == left), None)
+    def links_from(self, left: str) -> tuple[Relationship, ...]:
+        return tuple(r for r in self.relationships if r.left_table == left)
+
+    def paths(self, start: str) -> dict[str, list[tuple[Relationship, ...]]]:
+        """Every table that many-to-one links lead to from ``start``, with all ways there; no way meets a table twice."""
+        found: dict[str, list[tuple[Relationship, ...]]] = {}
+        ways: list[tuple[Relationship, ...]] = [()]
+        while ways:
+            way = ways.pop()
+            met = {start, *(r.right_table for r in way)}
+            for link in self.links_from(way[-1].right_table if way else start):
+                if link.right_table not in met:
+                    found.setdefault(link.right_table, []).append((*way, link))
+                    ways.append((*way, link))
+        return found
+
+    def path(self, start: str, end: str, via: Collection[str] = ()) -> tuple[Relationship, ...]:
+        """The one way from ``start`` to ``end``; of several, the one that uses most of the links named in ``via``."""
+        ways = self.paths(start).get(end, [])
+        if not ways:
+            if start in self.paths(end):
+                raise ValueError(f"model {self.name}: {end} has many rows for one of {start}; its values would be counted repeatedly")
+            raise ValueError(f"model {self.name}: no relationship leads from {start} to {end}")
+        used = [sum(r.name in via for r in way) for way in ways]
+        best = [way for way, n in zip(ways, used, strict=True) if n == max(used)]
+        if len(best) > 1:
+            names = " or ".join(sorted("/".join(r.name for r in way) for way in best))
+            raise ValueError(f"model {self.name}: several ways lead from {start} to {end} ({names}); name one in via")
+        return best[0]
 
 
 def model_from_spec(spec: Mapping) -> SemanticModel:
@@ -126,6 +153,53 @@ def _one_per_key(related: DataFrame, keys: Sequence[str], name: str) -> DataFram
     return once.where(F.when(F.col("_n") > 1, twice.cast("boolean")).otherwise(F.lit(True))).drop("_n")
 
 
+@dataclass
+class _Node:
+    """A table of the query: the columns that are wanted of it, and the tables that it leads to, by link."""
+
+    table: LogicalTable
+    columns: dict[str, Column] = field(default_factory=dict)
+    next: dict[Relationship, _Node] = field(default_factory=dict)
+
+    def at(self, model: SemanticModel, path: Sequence[Relationship]) -> _Node:
+        node = self
+        for link in path:
+            node = node.next.setdefault(link, _Node(model.table(link.right_table)))
+        return node
+
+    def keys(self) -> dict[str, Column]:
+        """The columns that lead on, under names of their own."""
+        return {f"_{link.name}_{i}": F.col(pair[0]) for link in self.next for i, pair in enumerate(link.columns)}
+
+    def joined(self, rows: DataFrame, frames: Mapping[str, DataFrame]) -> DataFrame:
+        """Rows that hold ``keys`` with the wanted columns of all tables behind; each table is joined unique by its key."""
+        for link, node in self.next.items():
+            right = frames[node.table.name]
+            for f in node.table.filters:
+                right = right.where(F.expr(f.expr))
+            own = {f"_{link.name}_{i}": F.col(pair[1]) for i, pair in enumerate(link.columns)}
+            right = right.select(*[c.alias(n) for n, c in {**own, **node.columns, **node.keys()}.items()])
+            right = node.joined(_one_per_key(right, list(own), link.name), frames).drop(*node.keys())
+            rows = rows.join(right, list(own), "left")
+        return rows
+
+
+def _found(model: SemanticModel, base: str, name: str, kind: str, via: Collection[str]) -> tuple[tuple[Relationship, ...], Field, str]:
+    """(way to its table, field, name of the result) of ``name`` or ``table.name``; the base table comes first."""
+    owner, _, plain = name.rpartition(".")
+    get = lambda table: getattr(model.table(table), kind)(plain)
+    if not owner and get(base):
+        return (), get(base), plain
+    owners = [owner] if owner else [t for t in model.paths(base) if get(t)]
+    if not owners:  # a field of a table that cannot be reached has a better message of its own
+        owners = [t.name for t in model.tables if get(t.name)][:1]
+    if not owners or not get(owners[0]):
+        raise ValueError(f"model {model.name}: unknown {kind} {name!r} from {base}")
+    if len(owners) > 1:
+        raise ValueError(f"model {model.name}: {kind} {name!r} is in {', '.join(sorted(owners))}; name the table")
+    return model.path(base, owners[0], via) if owners[0] != base else (), get(owners[0]), name.replace(".", "_")
+
+
 def metric_query(
     model: SemanticModel,
     frames: Mapping[str, DataFrame],
@@ -133,67 +207,49 @@ def metric_query(
     measures: Sequence[str | Product],
     dimensions: Sequence[str] = (),
     where: Sequence[str] = (),
+    via: Collection[str] = (),
 ) -> DataFrame:
-    """Measures by dimensions over ``base`` and its related table.
+    """Measures by dimensions over ``base`` and the tables that its relationships lead to, over any number of links.
 
-    A dimension may carry a grain, ``"CREATED_DATE:month"``. ``where`` holds SQL
-    conditions on columns of the base table.
+    A dimension may carry a grain, ``"CREATED_DATE:month"``, and its table, ``"nation.name"`` (in the result:
+    ``nation_name``). ``where`` holds SQL conditions on columns of the base table. If several ways lead to a table,
+    ``via`` names a relationship of the wanted one. What lies against the direction of a relationship is an error,
+    as its values would be counted repeatedly.
 
-    The base rows are summed by dimensions and join key before the join. The join
-    then sees one row per group instead of one per item, so a hot or NULL key
+    The base rows are summed by dimensions and join keys before the joins. These
+    then see one row per group instead of one per item, so a hot or NULL key
     costs a single row, and rows without a match keep a NULL factor.
     """
-    table = model.table(base)
-    link = model.relationship_from(base)
-    right = model.table(link.right_table) if link else None
-
-    left_dims, right_dims, out_names = {}, {}, []
+    top = _Node(model.table(base))
+    dims: list[str] = []
     for text in dimensions:
         name, _, grain = text.partition(":")
         if grain and grain not in GRAINS:
             raise ValueError(f"unknown grain {grain!r}; known: {GRAINS}")
-        owner, found = left_dims, table.dimension(name)
-        if found is None and right is not None:
-            owner, found = right_dims, right.dimension(name)
-        if found is None:
-            raise ValueError(f"model {model.name}: unknown dimension {name!r} from {base}")
-        column = F.expr(found.expr)
-        out = f"{name}_{grain}" if grain else name
-        owner[out] = _at_grain(column, grain)
-        out_names.append(out)
+        path, found, out = _found(model, base, name, "dimension", via)
+        out = f"{out}_{grain}" if grain else out
+        top.at(model, path).columns[out] = _at_grain(F.expr(found.expr), grain)
+        dims.append(out)
 
     products = [m for m in measures if isinstance(m, Product)]
     plain = [m for m in measures if not isinstance(m, Product)]
     needed = dict.fromkeys(plain + [p.measure for p in products])
     for name in needed:
-        if table.measure(name) is None:
+        if top.table.measure(name) is None:
             raise ValueError(f"model {model.name}: unknown measure {name!r} on {base}")
     for p in products:
-        if right is None or right.measure(p.factor) is None:
+        path, found, _ = _found(model, base, p.factor, "measure", via)
+        if not path:
             raise ValueError(f"model {model.name}: unknown related measure {p.factor!r} from {base}")
+        top.at(model, path).columns[f"_f_{p.name}"] = F.expr(found.expr)
 
     rows = frames[base]
-    for condition in [f.expr for f in table.filters] + list(where):
+    for condition in [f.expr for f in top.table.filters] + list(where):
         rows = rows.where(F.expr(condition))
-
-    joined = bool(products or right_dims)
-    keys = {f"_key{i}": F.col(pair[0]) for i, pair in enumerate(link.columns)} if joined else {}
-    grouped = rows.groupBy(*[c.alias(n) for n, c in {**left_dims, **keys}.items()]).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.sum(F.expr(table.measure(n).expr)).alias(f"_m_{n}") for n in needed],
+    grouped = rows.groupBy(*[c.alias(n) for n, c in {**top.columns, **top.keys()}.items()]).agg(
+        *[F.sum(F.expr(top.table.measure(n).expr)).alias(f"_m_{n}") for n in needed],
     )
-    if joined:
-        related = frames[right.name]
-        for f in right.filters:
-            related = related.where(F.expr(f.expr))
-        related = related.select(
-            *[F.col(pair[1]).alias(f"_key{i}") for i, pair in enumerate(link.columns)],
-            *[c.alias(n) for n, c in right_dims.items()],
-            *[F.expr(right.measure(p.factor).expr).alias(f"_f_{p.name}") for p in products],
-        )
-        grouped = grouped.join(_one_per_key(related, list(keys), link.name), list(keys), "left")
-
-    return grouped.groupBy(*out_names).agg(
+    return top.joined(grouped, frames).groupBy(*dims).agg(
         *[F.sum(f"_m_{n}").alias(n) for n in plain],
         *[F.sum(F.col(f"_m_{p.measure}") * F.col(f"_f_{p.name}")).alias(p.name) for p in products],
     )

@@ -3,25 +3,23 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
-from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import log1p_or_zero
-from tidemark.session import cut_lineage, materialize
+from tidemark.session import materialize
 
 # Search range and seed.
 MIN_K, MAX_K, SEED = 10, 25, 42
 MAX_ITERATIONS, TOLERANCE = 100, 1e-3
 
-# Tasks of a fit, at every number of users: the mixture's random start depends on it.
-FIT_PARTITIONS = 16
+# Users that a mixture's start is drawn from, rounds of nearest means there, and what is added to every variance.
+START_USERS, START_ROUNDS, FLOOR = 2_000, 10, 1e-6
 QUARTILES = (0.25, 0.5, 0.75)
 # A bracket is 50 times the sketch's rank error, and two ranks, on either side of its rank.
 SKETCH_ACCURACY, BRACKET = 10_000, 0.005
@@ -135,30 +133,167 @@ def robust_scaled(features: DataFrame, key: str = "user_id") -> DataFrame:
     )
 
 
-def scaled_vectors(features: DataFrame, key: str = "user_id", partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """``key, scaled``: the scaled features as one vector per user.
+def scaled_vectors(features: DataFrame, key: str = "user_id") -> DataFrame:
+    """``key, scaled``: the scaled features as one array per user, written once, as every pass of a fit reads it."""
+    names = feature_columns(features, key)
+    scaled = robust_scaled(features, key).select(key, F.array(*[F.col(n).cast("double") for n in names]).alias("scaled"))
+    return materialize(scaled, "scaled")
+
+
+class Mixture(NamedTuple):
+    """A Gaussian mixture with full covariances, and its log-likelihood on the rows it was fitted to."""
+
+    weights: np.ndarray
+    means: np.ndarray
+    covariances: np.ndarray
+    log_likelihood: float = -math.inf
+
+    @property
+    def k(self) -> int:
+        return len(self.weights)
+
+    def densities(self) -> np.ndarray:
+        """A row per component: its log of weight times density as a linear function of ``_terms``."""
+        d = self.means.shape[1]
+        upper = np.triu_indices(d)
+        out = []
+        for w, m, c in zip(self.weights, self.means, self.covariances, strict=True):
+            inverse = np.linalg.inv(c)
+            constant = math.log(w) - 0.5 * (d * math.log(2 * math.pi) + np.linalg.slogdet(c)[1] + m @ inverse @ m)
+            squares = np.where(upper[0] == upper[1], -0.5, -1.0) * inverse[upper]
+            out.append(np.concatenate([[constant], inverse @ m, squares]))
+        return np.array(out)
+
+    def updated(self, sums: np.ndarray, log_likelihood: float, rows: int) -> Mixture:
+        """The next mixture from the responsibilities' sums of ``_terms``; an empty component stays as it is."""
+        d = self.means.shape[1]
+        upper = np.triu_indices(d)
+        held = sums[:, 0] > 1e-8 * rows
+        count = np.maximum(sums[:, :1], 1e-300)
+        means = np.where(held[:, None], sums[:, 1 : d + 1] / count, self.means)
+        squares = np.zeros((len(sums), d, d))
+        squares[:, upper[0], upper[1]] = squares[:, upper[1], upper[0]] = sums[:, d + 1 :] / count
+        spread = squares - means[:, :, None] * means[:, None, :] + FLOOR * np.eye(d)
+        covariances = np.where(held[:, None, None], spread, self.covariances)
+        weights = np.maximum(sums[:, 0] / rows, 1e-12)
+        return Mixture(weights / weights.sum(), means, covariances, log_likelihood)
+
+
+def _terms(x: np.ndarray) -> np.ndarray:
+    """1, every value, every product of two values of each row: a mixture's densities and sums are linear in these."""
+    i, j = np.triu_indices(x.shape[1])
+    return np.concatenate([np.ones((len(x), 1)), x, x[:, i] * x[:, j]], axis=1)
 
-    The rows are hashed by user into a fixed number of partitions and sorted there. The
-    mixture model's random start depends on both, so this makes a fit repeatable on any
-    cluster, and a further user doesn't deal the others anew. The frame is checkpointed: every fit
-    reads it again.
+
+def _rows_of(batch: pa.RecordBatch, column: str = "scaled") -> np.ndarray:
+    return batch[column].flatten().to_numpy().reshape(batch.num_rows, -1)
+
+
+_SUMS = "k int, sums array<double>, log_likelihood double"
+
+
+def _expectations(vectors: DataFrame, models: dict[int, Mixture]) -> dict[int, tuple[np.ndarray, float]]:
+    """By k: the sums of ``_terms`` weighted by each component's share of a row, and the log-likelihood.
+
+    One pass serves all models. Tasks send a row per model, and these are added up on the executors, so the driver gets
+    one row per model whatever the number of tasks.
     """
-    names = feature_columns(features, key)
-    assembler = VectorAssembler(inputCols=names, outputCol="scaled")
-    vectors = assembler.transform(robust_scaled(features, key)).select(key, "scaled")
-    return cut_lineage(vectors.repartition(partitions, key).sortWithinPartitions(key))
-
-
-def _mixture(k: int, rows: int) -> GaussianMixture:
-    # The tolerance is on the mean log-likelihood; Spark compares the total.
-    return GaussianMixture(
-        featuresCol="scaled",
-        predictionCol="classification",
-        k=k,
-        seed=SEED,
-        maxIter=MAX_ITERATIONS,
-        tol=TOLERANCE * max(rows, 1),
-    )
+    densities = {k: m.densities() for k, m in models.items()}
+    cuts = np.cumsum([0, *(len(w) for w in densities.values())])
+    stacked = np.concatenate(list(densities.values()))
+
+    def sent(sums: dict[int, list]) -> pa.RecordBatch:
+        columns = [pa.array(sums, pa.int32()), pa.array([s[0].ravel() for s in sums.values()], pa.list_(pa.float64()))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([s[1] for s in sums.values()], pa.float64())], ["k", "sums", "log_likelihood"])
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {k: [np.zeros_like(w), 0.0] for k, w in densities.items()}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            terms = _terms(_rows_of(batch))
+            logs = terms @ stacked.T
+            for i, own in enumerate(sums.values()):
+                part = logs[:, cuts[i] : cuts[i + 1]]
+                top = part.max(1, keepdims=True)
+                share = np.exp(part - top)
+                total = share.sum(1, keepdims=True)
+                own[0] += (share / total).T @ terms
+                own[1] += float((top + np.log(total)).sum())
+        yield sent(sums)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, list] = {}
+        for batch in batches:
+            for k, part, value in zip(*(batch[c].to_pylist() for c in ("k", "sums", "log_likelihood")), strict=True):
+                own = sums.setdefault(k, [np.zeros(len(part)), 0.0])
+                own[0] += part
+                own[1] += value
+        yield sent(sums)
+
+    partial = vectors.select("scaled").mapInArrow(shares, _SUMS).repartition(len(models), "k").mapInArrow(added, _SUMS)
+    return {r["k"]: (np.array(r["sums"]).reshape(densities[r["k"]].shape), r["log_likelihood"]) for r in partial.collect()}
+
+
+def _start(sample: np.ndarray, k: int) -> Mixture:
+    """A first mixture from a bounded sample: spread-out centers, a few rounds of nearest means."""
+    rng = np.random.default_rng(SEED + k)
+    centers = [sample[0]]
+    nearest = ((sample - centers[0]) ** 2).sum(1)
+    while len(centers) < k:
+        chance = nearest / nearest.sum() if nearest.sum() > 0 else np.full(len(sample), 1 / len(sample))
+        centers.append(sample[rng.choice(len(sample), p=chance)])
+        nearest = np.minimum(nearest, ((sample - centers[-1]) ** 2).sum(1))
+    means = np.array(centers)
+    for _ in range(START_ROUNDS):
+        own = ((sample[:, None, :] - means) ** 2).sum(2).argmin(1)
+        means = np.array([sample[own == i].mean(0) if (own == i).any() else means[i] for i in range(k)])
+    d = sample.shape[1]
+    whole = np.cov(sample.T, bias=True).reshape(d, d) if len(sample) > 1 else np.eye(d)
+    spreads = [np.cov(sample[own == i].T, bias=True).reshape(d, d) if (own == i).sum() > 2 * d else whole for i in range(k)]
+    counts = np.bincount(own, minlength=k) + 1.0
+    return Mixture(counts / counts.sum(), means, np.array(spreads) + FLOOR * np.eye(d))
+
+
+def fit_mixtures(vectors: DataFrame, ks: Sequence[int], key: str = "user_id") -> dict[int, Mixture]:
+    """A mixture for each k, all fitted in the same passes (expectation maximisation).
+
+    The start is drawn from ``START_USERS`` users chosen by a hash of their key, so the fit does not depend on how the rows
+    are partitioned. A model is done when its mean log-likelihood gains less than ``TOLERANCE``; the passes go on with
+    the others.
+    """
+    sample = np.array([r["scaled"] for r in vectors.orderBy(F.xxhash64(key), key).limit(START_USERS).collect()])
+    rows = vectors.count()
+    models, done = {k: _start(sample, k) for k in ks}, {}
+    held = vectors.persist()
+    try:
+        for _ in range(MAX_ITERATIONS):
+            for k, (sums, likelihood) in _expectations(held, models).items():
+                old = models[k]
+                if abs(likelihood - old.log_likelihood) < TOLERANCE * rows:
+                    done[k] = models.pop(k)._replace(log_likelihood=likelihood)
+                else:
+                    models[k] = old.updated(sums, likelihood, rows)
+            if not models:
+                break
+        # What has not settled gets the likelihood of its last mixture.
+        for k, (_, likelihood) in (_expectations(held, models) if models else {}).items():
+            done[k] = models[k]._replace(log_likelihood=likelihood)
+    finally:
+        held.unpersist()
+    return done
+
+
+def labels(vectors: DataFrame, model: Mixture, key: str = "user_id") -> DataFrame:
+    """``key, classification``: the likeliest component of each user."""
+    densities = model.densities()
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            label = (_terms(_rows_of(batch)) @ densities.T).argmax(1) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch[key], pa.array(label.astype(np.int32))], [key, "classification"])
+
+    return vectors.select(key, "scaled").mapInArrow(best, f"{key} {vectors.schema[key].dataType.simpleString()}, classification int")
 
 
 def aic(log_likelihood: float, k: int, dims: int) -> float:
@@ -168,31 +303,16 @@ def aic(log_likelihood: float, k: int, dims: int) -> float:
 
 
 def search_mixtures(
-    vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8
-) -> tuple[DataFrame, dict[int, GaussianMixtureModel]]:
-    """``k, aic`` for every k of the range, and the fitted models by k. Fits run side by side, as in a grid search.
-
-    The vectors are cached once for all fits; without that every fit keeps a copy.
-    """
-    vectors = vectors.persist()
-    rows = vectors.count()
-    dims = vectors.select(F.size(vector_to_array("scaled")).alias("d")).first()["d"]
-
-    def fitted(k: int) -> tuple[int, GaussianMixtureModel]:
-        return k, _mixture(k, rows).fit(vectors)
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            # The largest k takes longest, so it starts first.
-            models = dict(pool.map(fitted, range(max_k, min_k - 1, -1)))
-    finally:
-        vectors.unpersist()
-    scores = [(k, aic(model.summary.logLikelihood, k, dims)) for k, model in models.items()]
+    vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, key: str = "user_id"
+) -> tuple[DataFrame, dict[int, Mixture]]:
+    """``k, aic`` for every k of the range, and the fitted models by k."""
+    models = fit_mixtures(vectors, range(min_k, max_k + 1), key)
+    scores = [(k, aic(m.log_likelihood, k, m.means.shape[1])) for k, m in sorted(models.items())]
     return vectors.sparkSession.createDataFrame(scores, "k int, aic double"), models
 
 
-def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, parallelism: int = 8) -> DataFrame:
-    return search_mixtures(vectors, min_k, max_k, parallelism)[0]
+def aic_scores(vectors: DataFrame, min_k: int = MIN_K, max_k: int = MAX_K, key: str = "user_id") -> DataFrame:
+    return search_mixtures(vectors, min_k, max_k, key)[0]
 
 
 def elbow(scores: DataFrame) -> DataFrame:
@@ -212,13 +332,10 @@ def elbow(scores: DataFrame) -> DataFrame:
     )
 
 
-def cluster_users(
-    vectors: DataFrame, features: DataFrame, k: int, key: str = "user_id", model: GaussianMixtureModel | None = None
-) -> DataFrame:
+def cluster_users(vectors: DataFrame, features: DataFrame, k: int, key: str = "user_id", model: Mixture | None = None) -> DataFrame:
     """Raw features with the cluster of each user; fits unless the model of a search is given."""
-    model = model or _mixture(k, vectors.count()).fit(vectors)
-    labels = model.transform(vectors).select(key, "classification")
-    return features.join(labels, key)
+    model = model or fit_mixtures(vectors, [k], key)[k]
+    return features.join(labels(vectors, model, key), key)
 
 
 def cluster_summary(labelled: DataFrame, key: str = "user_id", label: str = "classification") -> DataFrame:
@@ -270,7 +387,6 @@ def segment_users(
     min_k: int = MIN_K,
     max_k: int = MAX_K,
     key: str = "user_id",
-    parallelism: int = 8,
 ) -> DataFrame:
     """Scale, choose k unless given, fit, summarize, name, and join the names back.
 
@@ -282,10 +398,10 @@ def segment_users(
     vectors = scaled_vectors(features, key)
     model = None
     if k is None:
-        scores, models = search_mixtures(vectors, min_k, max_k, parallelism)
+        scores, models = search_mixtures(vectors, min_k, max_k, key)
         k = elbow(scores).first()["k"]
         model = models[k]
-    labelled = cluster_users(vectors, features, k, key, model)
+    labelled = materialize(cluster_users(vectors, features, k, key, model), "labelled")
     # One row per cluster, at most k: a proven bound, so the large side is not shuffled.
     names = F.broadcast(name_clusters(cluster_summary(labelled, key)))
     return labelled.join(names, "classification", "left")

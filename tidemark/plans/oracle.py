@@ -276,6 +276,13 @@ SQL["item_revenue_by_delivery"] = f"""
 select delivery_times as trips, cast(sum(cnt) as bigint) as counted_pieces,
        cast(sum(cnt * unit_price) as double) as washed_value from ({_PRICED}) x group by 1
 """
+SQL["item_revenue_by_region"] = f"""
+select delivery_times as trips, c_mktsegment as trade, r_name as region_name,
+       cast(date_trunc('year', created_date) as date) as washed_on_year, cast(sum(qty) as bigint) as pieces,
+       cast(sum(cnt * unit_price) as double) as washed_value
+from ({_PRICED}) x left join {{customer}} on user_id = c_custkey left join {{nation}} on c_nationkey = n_nationkey
+left join {{region}} on n_regionkey = r_regionkey group by 1, 2, 3, 4
+"""
 SQL["item_revenue_by_day"] = f"""
 select cast(created_date as date) as washed_on_day, cast(sum(qty) as bigint) as pieces,
        cast(sum(cnt * unit_price) as double) as washed_value from ({_PRICED}) x group by 1
@@ -308,6 +315,13 @@ select id, user_id, cast(paid_price as double) as paid_price, created_at, user_n
 from {{personal_payments}}
 where {_GONE} and created_at >= timestamp '1996-08-01 00:00:00' and created_at < timestamp '1999-01-01 00:00:00'
 """
+SQL["transfer_twice"] = f"""
+select case when id % 97 <> 0 then id end as id, user_id, cast(paid_price as double) as paid_price, created_at,
+       cast(case when created_at < timestamp '1999-01-01' then 1 else 3 end as int) as run
+from {{personal_payments}}
+where {_GONE} and created_at >= timestamp '1996-08-01 00:00:00'
+qualify id % 97 <> 0 or row_number() over (partition by id % 97 order by created_at, user_id, paid_price) = 1
+"""
 _OLD = "created_at < timestamp '1996-08-01 00:00:00'"
 _UNMASKED = "user_name is distinct from '탈퇴회원'"
 
@@ -458,6 +472,20 @@ select d.series_id, d.ds,
        round(peak * ((c * p - b * q) + (a * q - b * p) * ((d.ds - began) / cast(span as double))) / (a * c - b * b), 6) as yhat
 from days d join s on d.series_id = s.series_id join g on d.series_id = g.series_id
 """
+SQL["forecast_backtest"] = """
+with e as (select series_id, min(ds) as began, max(ds) as ended, greatest(max(ds) - min(ds), 1) as span from {volume} group by 1),
+s as (select e.series_id, began, ended, span, coalesce(nullif(max(case when ds <= ended - 240 then abs(y) end), 0), 1.0) as peak
+      from e join {volume} v on v.series_id = e.series_id group by 1, 2, 3, 4),
+c as (select s.*, cast(ended - 60 * fold as date) as cutoff from s, (select cast(unnest(range(1, 5)) as int) as fold) f),
+r as (select c.series_id, cutoff, ds, y, peak, (ds - began) / cast(span as double) as t, ds <= cutoff as past
+      from c join {volume} v on v.series_id = c.series_id where ds <= cutoff + 60),
+g as (select series_id, cutoff, count(*) + 0.0004 as a, sum(t) as b, sum(t * t) + 0.0004 as c, sum(y / peak) as p,
+             sum(t * (y / peak)) as q from r where past group by 1, 2),
+h as (select r.series_id, r.cutoff, y - peak * ((c * p - b * q) + (a * q - b * p) * t) / (a * c - b * b) as miss
+      from r join g on r.series_id = g.series_id and r.cutoff = g.cutoff where not past)
+select series_id, cutoff, count(*) as days, round(avg(abs(miss)), 6) as mae, round(sqrt(avg(miss * miss)), 6) as rmse
+from h group by 1, 2
+"""
 SQL["actual_over_forecast"] = """
 select coalesce(a.series_id, f.series_id) as region, coalesce(a.ds, f.ds) as ds, coalesce(a.y, f.yhat) as temp
 from {volume} a full join {week_ago} f on a.series_id = f.series_id and a.ds = f.ds
@@ -561,11 +589,27 @@ SQL["segment_checks"] = "\nunion all\n".join(
 
 SQL["incremental_events"] = "select * from {events}"
 SQL["incremental_late"] = """
-select event_id, ts, not coalesce(event_id % 7 = 0 and ts < (
-  select max(ts) from {events} where ts < timestamp '2024-01-15' and event_id % 7 <> 0) - interval 3 day, false) as loaded
-from {events}
+with e as (select case when event_id % 11 <> 0 then event_id end as event_id, ts from {events}),
+first_load as (select * from e where ts < timestamp '2024-01-15' and coalesce(event_id % 7, 1) <> 0),
+m as (select max(ts) - interval 3 day as edge from first_load),
+unnamed as (select min(ts) as ts from first_load where event_id is null)
+select event_id, ts, not (event_id % 7 = 0 and ts < edge) as loaded from e, m where event_id is not null
+union all select null, ts, true from unnamed where ts is not null
+union all
+select null, min(e.ts), true from e, m, unnamed u where event_id is null and e.ts >= edge and (u.ts is null or u.ts < edge)
+having count(*) > 0
 """
 SQL["stream_events"] = "select * from {events}"
+SQL["snapshot_swap"] = "select target, run_ts, row_count, row_count as stored from {runs}"
+SQL["stream_late"] = """
+with e as (select case when event_id % 11 <> 0 then event_id end as event_id, case when event_id % 13 <> 0 then ts end as ts,
+                  event_id % 7 = 0 or ts >= timestamp '2024-01-15' as late from {events}),
+m as (select max(ts) - interval 3 day as mark from e where not late)
+select event_id, case when event_id is not null then ts end as ts,
+       case when ts is null then 'undated' when late and ts <= mark then 'late' else 'timely' end as fate
+from e, m
+qualify event_id is not null or row_number() over (partition by event_id order by late, ts is null) = 1
+"""
 SQL["json_payload"] = f"""
 select 'cohort_retention' as target, cast(1 as int) as part, count(*) as row_count,
        concat('{{"target":"cohort_retention","data":[',

@@ -27,7 +27,7 @@ from tidemark.operators import (
 )
 from tidemark.plans.inputs import HOLIDAYS, load
 from tidemark.session import materialize, scratch_path
-from tidemark.sources import sinks, weather_feed
+from tidemark.sources import keyed, sinks, weather_feed
 from tidemark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -286,14 +286,24 @@ WASHED = metrics.LogicalTable(
     filters=(metrics.Field("counts", f"not (status in (4, 17)) and channel_pgi is null and item_name <> '{P.NOT_WASHABLE_ITEM}'"),),
 )
 PRICED = metrics.Relationship("priced_by_plan", "wash_item", "plan_item", (("plan_id", "plan_id"), ("subtract_category", "subtract_category")))
-ITEM_MODEL = metrics.SemanticModel("laundry", (OFFERS, WASHED), (PRICED,))
+WASHERS = metrics.LogicalTable("washer", dimensions=(metrics.Field("trade", "c_mktsegment"),))
+NATIONS = metrics.LogicalTable("nation", dimensions=(metrics.Field("name", "n_name"),))
+REGIONS = metrics.LogicalTable("region", dimensions=(metrics.Field("name", "r_name"),))
+ITEM_LINKS = (
+    PRICED,
+    metrics.Relationship("washed_for", "wash_item", "washer", (("user_id", "c_custkey"),)),
+    metrics.Relationship("lives_in", "washer", "nation", (("c_nationkey", "n_nationkey"),)),
+    metrics.Relationship("lies_in", "nation", "region", (("n_regionkey", "r_regionkey"),)),
+)
+ITEM_MODEL = metrics.SemanticModel("laundry", (OFFERS, WASHED, WASHERS, NATIONS, REGIONS), ITEM_LINKS)
 VALUE = metrics.Product("washed_value", "counted_pieces", "price")
 
 
 def _item_frames(spark, sf_dir):
     seed = materialize(load(spark, sf_dir, "item_seed"), "seed")
     items = metrics.categorize_items(load(spark, sf_dir, "wash_items"), seed)
-    return {"wash_item": items, "plan_item": load(spark, sf_dir, "plan_items")}
+    related = {"plan_item": "plan_items", "washer": "customer", "nation": "nation", "region": "region"}
+    return {"wash_item": items} | {name: load(spark, sf_dir, table) for name, table in related.items()}
 
 
 @query
@@ -335,6 +345,13 @@ def item_revenue_by_delivery(spark, sf_dir):
     return edge(out)
 
 
+@query
+def item_revenue_by_region(spark, sf_dir):
+    """Two links of one table, one of them over three hops."""
+    dims = ["trips", "trade", "region.name", "washed_on:year"]
+    return edge(metrics.metric_query(ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["pieces", VALUE], dims))
+
+
 @query
 def item_revenue_by_day(spark, sf_dir):
     out = metrics.metric_query(ITEM_MODEL, _item_frames(spark, sf_dir), "wash_item", ["pieces", VALUE], ["washed_on:day"])
@@ -386,6 +403,22 @@ def transfer_withdrawn(spark, sf_dir):
     return edge(sinks.new_rows(retention.transfer_rows(members, paid, BASE_TIME), stored, "id", ["created_at"]))
 
 
+@query
+def transfer_twice(spark, sf_dir):
+    """Payments moved to a keyed table in three runs: the older half, the same again, all. Some have no id, some come twice."""
+    members, paid = _members_payments(spark, sf_dir)
+    due = retention.transfer_rows(members, paid, BASE_TIME).select("id", "user_id", "paid_price", "created_at")
+    due = due.withColumn("id", F.when(F.col("id") % 97 != 0, F.col("id")))
+    due = materialize(due.unionAll(due.where(F.col("id") % 13 == 0)), "due")
+    half = due.where(F.col("created_at") < P.wall_time("1999-01-01 00:00:00"))
+    table = keyed.KeyedTable(spark, scratch_path(spark, "transferred"), "id")
+    order = ["created_at", "user_id", "paid_price"]
+    runs = [table.append(batch.withColumn("run", F.lit(run)), order) for run, batch in enumerate((half, half, due), 1)]
+    if runs[1].rows:
+        raise RuntimeError(f"the second run appended {runs[1].rows} rows")
+    return edge(table.read(due.withColumn("run", F.lit(1)).schema))
+
+
 @query
 def mask_expired(spark, sf_dir):
     members, paid = _members_payments(spark, sf_dir)
@@ -573,6 +606,21 @@ def trend_forecast(spark, sf_dir):
     return rounded(made.select("series_id", "ds", "yhat"), "yhat")
 
 
+@query
+def forecast_backtest(spark, sf_dir):
+    """Hold-out errors of a line per series over four cut-offs."""
+    held_out = forecast.backtest(_daily(spark, sf_dir), forecast.ModelSpec(seasons=(), changepoints=0))
+    return rounded(forecast.backtest_errors(held_out).drop("inside"), "mae", "rmse")
+
+
+@query
+def volume_backtest(spark, sf_dir):
+    """Hold-out errors of the volume model; its triggers are those of the observed days."""
+    series, weather_days, holidays = _daily_inputs(spark, sf_dir)
+    triggers = materialize(weather.temperature_triggers(weather_days), "triggers")
+    return rounded(forecast.volume_backtest(series, triggers, holidays), "mae", "rmse", "inside")
+
+
 @query
 def dashboard_forecast(spark, sf_dir):
     """Totals of all regions; a region's series holds all its orders, so that the series end on like days."""
@@ -648,10 +696,15 @@ def incremental_events(spark, sf_dir):
 
 @query
 def incremental_late(spark, sf_dir):
-    """Every seventh event comes late: loaded within the lookback, reported as missed beyond it."""
+    """Every seventh event comes late: loaded within the lookback, reported as missed beyond it.
+
+    Some events have no id (one key like others, once in the lookback), some come twice.
+    """
     events = load(spark, sf_dir, "events").select("event_id", "ts")
     path = scratch_path(spark, "incremental-late")
-    on_time = (F.col("ts") < P.wall_time("2024-01-15 00:00:00")) & (F.col("event_id") % 7 != 0)
+    events = events.withColumn("event_id", F.when(F.col("event_id") % 11 != 0, F.col("event_id")))
+    events = events.unionAll(events.where(F.col("event_id") % 17 == 0))
+    on_time = (F.col("ts") < P.wall_time("2024-01-15 00:00:00")) & ~F.coalesce(F.col("event_id") % 7 == 0, F.lit(False))
     incremental.load_increment(events.where(on_time), path, "ts", "event_id")
     missed = incremental.load_increment(events, path, "ts", "event_id").missed
     loaded = spark.read.schema(events.schema).parquet(path).withColumn("loaded", F.lit(True))
@@ -669,6 +722,46 @@ def stream_events(spark, sf_dir):
     return spark.read.schema(schema).parquet(path)
 
 
+@query
+def snapshot_swap(spark, sf_dir):
+    """Two versions of the daily counts, published one after the other, as a second session finds them by name."""
+    runs = materialize(load(spark, sf_dir, "runs"), "runs")
+    root = scratch_path(spark, "snapshot")
+    sinks.publish_snapshot(runs.where("run_ts < date '2024-01-15'"), root, "first", "current_runs")
+    sinks.publish_snapshot(runs, root, "second", "current_runs")
+    other = spark.newSession()
+    by_name, by_path = other.table("current_runs"), sinks.read_snapshot(other, root)
+    named = by_name.join(by_path.withColumnRenamed("row_count", "stored"), ["target", "run_ts"], "full")
+    return named.select("target", "run_ts", "row_count", "stored")
+
+
+@query
+def stream_late(spark, sf_dir):
+    """Two runs of a stream that loads each key once, then the rows that were too late for it.
+
+    The second run starts anew from the checkpoint and gets all events again, late ones among them. Some events
+    have no id, some no time, some come twice.
+    """
+    events = load(spark, sf_dir, "events").select("event_id", "ts")
+    late = (F.col("event_id") % 7 == 0) | (F.col("ts") >= P.wall_time("2024-01-15 00:00:00"))
+    rows = events.select(
+        F.when(F.col("event_id") % 11 != 0, F.col("event_id")).alias("event_id"),
+        F.when(F.col("event_id") % 13 != 0, F.col("ts")).alias("ts"),
+        late.alias("late"),
+    )
+    rows = rows.unionAll(rows.where(F.col("event_id") % 17 == 0))
+    names = "stream-landing", "stream-once", "stream-once-state"
+    landing, path, checkpoint = (scratch_path(spark, n) for n in names)
+    schema = events.schema
+    for run, batch in enumerate((rows.where("not late"), rows)):
+        batch.drop("late").write.parquet(os.path.join(landing, f"run={run}"))
+        stream = incremental.read_files_stream(spark, os.path.join(landing, "run=*"), schema)
+        incremental.stream_once(stream, path, checkpoint, "ts", "event_id").awaitTermination()
+    incremental.load_late(rows.drop("late"), path, "ts", "event_id")
+    loaded = keyed.KeyedTable(spark, path, "event_id").read(rows.drop("late").withColumn("fate", F.lit("")).schema)
+    return loaded.withColumn("ts", F.when(F.col("event_id").isNotNull(), F.col("ts")))
+
+
 @query
 def json_payload(spark, sf_dir):
     report = cohorts.retention_cohorts(load(spark, sf_dir, "pickups"), ordered=False)

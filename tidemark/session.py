@@ -70,6 +70,23 @@ def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _located(spark: SparkSession, path: str) -> tuple:
+    """A path and the file system it lies in."""
+    located = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return located, located.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    located, files = _located(spark, path)
+    return files.exists(located)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system it lies; none is no error."""
+    located, files = _located(spark, path)
+    files.delete(located, True)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete the folders of frames that ``materialize`` wrote and nothing reads any more."""
     for df in frames:
@@ -78,7 +95,7 @@ def discard(*frames: DataFrame) -> None:
         path = sc._jvm.org.apache.hadoop.fs.Path
         for folder in {os.path.dirname(f) for f in df.inputFiles()}:
             if path(folder).getParent().toUri().getPath() == path(own).toUri().getPath():
-                path(folder).getFileSystem(sc._jsc.hadoopConfiguration()).delete(path(folder), True)
+                remove_folder(df.sparkSession, folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

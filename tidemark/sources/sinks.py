@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import materialize
+from tidemark.session import folder_exists, materialize, remove_folder
 
 TARGET_SCHEMAS = {"dev": "dev_sandbox", "prod": "analytics_mart"}
 #: Records of one payload.
 PAYLOAD_ROWS = 10_000
+#: Versions of a snapshot that stay readable.
+VERSIONS_KEPT = 7
+VERSION_SCHEMA = "number bigint, version string"
 
 
 def qualified_name(model: str, target: str = "dev", schemas: dict[str, str] | None = None) -> str:
@@ -36,17 +39,42 @@ def publish_table(
     return name
 
 
-def publish_snapshot(df: DataFrame, root: str, version: str, view: str) -> str:
-    """Write a new version folder, then point the stable view name at it.
+def publish_snapshot(df: DataFrame, root: str, version: str, view: str | None = None, keep: int = VERSIONS_KEPT) -> str:
+    """Write a new version folder below ``root``, then make it the current one for every session and application.
 
-    Readers holding the old version keep reading it; no file they use changes.
+    ``_versions`` is a log of versions, one row per publication, appended as one small file: a reader sees the old
+    version or the new one, nothing between. ``view`` is a view of the catalog besides, replaced in one step. Readers of an
+    old version go on with it, as no file they use changes: the ``keep`` versions published last stay.
     """
-    path = os.path.join(root, f"version={version}")
+    spark = df.sparkSession
+    path, log = os.path.join(root, f"version={version}"), os.path.join(root, "_versions")
     df.write.mode("errorifexists").parquet(path)
-    df.sparkSession.read.parquet(path).createOrReplaceTempView(view)
+    before = snapshot_versions(spark, root)
+    number = before[-1][0] + 1 if before else 1
+    spark.createDataFrame([(number, version)], VERSION_SCHEMA).coalesce(1).write.mode("append").parquet(log)
+    if view:
+        spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
+    for _, old in before[: len(before) + 1 - max(1, keep)]:
+        remove_folder(spark, os.path.join(root, f"version={old}"))
     return path
 
 
+def snapshot_versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Number and name of all versions ever published, the current one last."""
+    log = read_or_empty(spark, os.path.join(root, "_versions"), StructType.fromDDL(VERSION_SCHEMA))
+    return [tuple(r) for r in log.orderBy("number").collect()]
+
+
+def read_snapshot(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
+    """The current version, or the named one, as long as it is kept."""
+    if version is None:
+        versions = snapshot_versions(spark, root)
+        if not versions:
+            raise FileNotFoundError(f"nothing was published below {root}")
+        version = versions[-1][1]
+    return spark.read.parquet(os.path.join(root, f"version={version}"))
+
+
 def write_csv_snapshot(df: DataFrame, path: str, snapshot_date: str) -> None:
     """CSV for the CRM import, one folder per snapshot date; a rerun replaces its day."""
     (
@@ -95,11 +123,13 @@ def json_payload(df: DataFrame, target: str, order_by: Sequence[str], rows: int
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written at ``path`` (an empty read raises there)."""
+    """Whether a table was written at ``path`` (an empty folder raises when it is read)."""
+    if not folder_exists(spark, path):
+        return False
     try:
         spark.read.parquet(path).schema
     except Exception as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return False
         raise
     return True
@@ -121,14 +151,19 @@ def first_per_key(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame
     return df.groupBy(key).agg(F.min_by(row, F.struct(*order_by)).alias("r")).select("r.*")
 
 
+def absent(rows: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not in ``held``; a null key is a key like others."""
+    seen = held.select(F.col(key).alias("_held"))
+    return rows.join(seen, F.col(key).eqNullSafe(F.col("_held")), "left_anti")
+
+
 def new_rows(batch: DataFrame, target: DataFrame, key: str, order_by: Sequence[str] | None = None) -> DataFrame:
-    """Rows whose key the target lacks, each key once.
+    """Rows whose key the target lacks, each key once; a null key is a key like others.
 
     Only the key column of the target is read. The key is unique on the target
     and made unique in the batch, so this join has no hot key.
     """
-    once = first_per_key(batch, key, order_by or batch.columns)
-    return once.join(target.select(key), key, "left_anti")
+    return absent(first_per_key(batch, key, order_by or batch.columns), target, key)
 
 
 def append_new(batch: DataFrame, path: str, key: str, order_by: Sequence[str] | None = None) -> int:

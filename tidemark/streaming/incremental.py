@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
-from tidemark.sources.sinks import append_new, read_or_empty
+from tidemark.sources.keyed import Appended, KeyedTable
+from tidemark.sources.sinks import new_rows, read_or_empty
 
 REFRESH_INTERVAL = "15 minutes"
 #: How far before the newest loaded row a later load still looks for unseen ones.
@@ -38,24 +39,32 @@ def _edge(target: DataFrame, ts: str, lookback: str) -> Column | None:
     return (edge - F.expr(f"interval {lookback}")).cast(kind) if isinstance(kind, (TimestampType, TimestampNTZType, DateType)) else edge
 
 
-def rows_after(source: DataFrame, target: DataFrame, ts: str, key: str, lookback: str = LOOKBACK) -> tuple[DataFrame, DataFrame]:
-    """(source rows to load, unseen rows that are too old for it).
+def rows_after(
+    source: DataFrame, target: DataFrame, ts: str, key: str, lookback: str | None = LOOKBACK
+) -> tuple[DataFrame, DataFrame]:
+    """(source rows to load, unseen rows that are too old for it); of a key that comes twice, the earliest.
 
     Rows from ``lookback`` before the target's newest on are compared by key, and so are rows without a
-    time. Both ranges are filters on literals that reach the scans.
+    time. Both ranges are filters on literals that reach the scans. Without a lookback all rows are compared.
+    A null key is a key like others.
     """
-    edge = _edge(target, ts, lookback)
+    edge = _edge(target, ts, lookback) if lookback else None
     if edge is None:
-        seen = target.select(key)
-        return source.join(seen, key, "left_anti").select(*source.columns), source.limit(0)
-    fresh = (F.col(ts) >= edge) | F.col(ts).isNull()
-    new = source.where(fresh).join(target.where(fresh).select(key), key, "left_anti").select(*source.columns)
-    old = F.col(ts) < edge
-    return new, source.where(old).join(target.where(old).select(key), key, "left_anti").select(*source.columns)
+        return _unseen(source, target, ts, key), source.limit(0)
+    fresh, old = (F.col(ts) >= edge) | F.col(ts).isNull(), F.col(ts) < edge
+    # A key among the old rows may have come again since, so these are compared with all of the target.
+    return _unseen(source.where(fresh), target.where(fresh), ts, key), _unseen(source.where(old), target, ts, key)
 
 
-def load_increment(source: DataFrame, path: str, ts: str, key: str, lookback: str = LOOKBACK) -> Load:
-    """Append new rows to the table at ``path``. The first run loads all, a rerun 0."""
+def _unseen(rows: DataFrame, target: DataFrame, ts: str, key: str) -> DataFrame:
+    return new_rows(rows, target, key, [ts, *[c for c in rows.columns if c != ts]]).select(*rows.columns)
+
+
+def load_increment(source: DataFrame, path: str, ts: str, key: str, lookback: str | None = LOOKBACK) -> Load:
+    """Append new rows to the table at ``path``. The first run loads all, a rerun 0.
+
+    ``lookback=None`` compares all keys, and so loads what earlier runs have missed.
+    """
     spark = source.sparkSession
     new, missed = rows_after(source, read_or_empty(spark, path, source.schema), ts, key, lookback)
     seen = Observation()
@@ -93,6 +102,15 @@ def stream_append(stream: DataFrame, path: str, checkpoint: str, interval: str |
     )
 
 
+def _by_batch(stream: DataFrame, table: KeyedTable, order_by: Sequence[str] | None, checkpoint: str, interval: str | None) -> StreamingQuery:
+    """Append each micro-batch's unseen keys. A batch that is replayed finds its keys there and adds none."""
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        KeyedTable(batch.sparkSession, table.path, table.key, table.folders).append(batch, order_by)
+
+    return stream.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint).trigger(**_trigger(interval)).start()
+
+
 def stream_transfer(
     stream: DataFrame,
     path: str,
@@ -101,14 +119,33 @@ def stream_transfer(
     order_by: Sequence[str] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Append each micro-batch's unseen keys; a batch that is replayed adds none."""
+    """Append each micro-batch's unseen keys to a ``KeyedTable``, whose filters spare it most of the key column."""
+    return _by_batch(stream, KeyedTable(stream.sparkSession, path, key), order_by, checkpoint, interval)
 
-    def transfer(batch: DataFrame, batch_id: int) -> None:
-        append_new(batch, path, key, order_by)
 
-    return (
-        stream.writeStream.foreachBatch(transfer)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(interval))
-        .start()
-    )
+def stream_once(
+    stream: DataFrame, path: str, checkpoint: str, ts: str, key: str, delay: str = LOOKBACK, interval: str | None = None
+) -> StreamingQuery:
+    """Load every key once: repeats within ``delay`` are dropped by the state store, older ones by the table's keys.
+
+    The state holds the keys of the last ``delay`` of event time and no more. Rows behind the watermark are late:
+    the state cannot judge them and drops them, ``late_count`` tells how many, and ``load_late`` loads them. Rows
+    without a time pass by the state. ``fate`` tells which way a row came: timely, undated or late.
+    """
+    timed = stream.where(F.col(ts).isNotNull()).withColumn("_event_time", F.col(ts).cast("timestamp"))
+    timely = timed.withWatermark("_event_time", delay).dropDuplicatesWithinWatermark([key]).drop("_event_time")
+    undated = stream.where(F.col(ts).isNull())
+    rows = timely.withColumn("fate", F.lit("timely")).unionByName(undated.withColumn("fate", F.lit("undated")))
+    order = ["fate", ts, *[c for c in stream.columns if c != ts]]
+    return _by_batch(rows, KeyedTable(stream.sparkSession, path, key), order, checkpoint, interval)
+
+
+def late_count(query: StreamingQuery) -> int:
+    """Rows behind the watermark (late ones, and repeats of old ones) in the progress that the query remembers."""
+    return sum(o.numRowsDroppedByWatermark for p in query.recentProgress for o in p.stateOperators)
+
+
+def load_late(source: DataFrame, path: str, ts: str, key: str) -> Appended:
+    """Load what the stream has dropped as late: the source's rows whose key the table of ``stream_once`` lacks."""
+    table = KeyedTable(source.sparkSession, path, key)
+    return table.append(source.withColumn("fate", F.lit("late")), [ts, *[c for c in source.columns if c != ts]])
