@@ -69,12 +69,23 @@ def test_holidays_follow_the_data(spark):
     assert forecast.yearly_holidays(days.where("false"), ("01-01",), 60).isEmpty()
 
 
-def test_quantiles_with_ties_and_narrowed_brackets(spark, monkeypatch):
-    monkeypatch.setattr(segments, "RANKED_ROWS", 50)
+def test_quantiles_of_hard_values(spark):
     df = spark.range(0, 20_000, 1, 4).select(F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.sqrt("id")).alias("a"))
     values = np.array([r["a"] for r in df.collect()])
     got = segments.exact_quantiles(df, ["a"], (0.25, 0.5, 0.75))["a"]
     assert got == pytest.approx(np.quantile(values, [0.25, 0.5, 0.75]), rel=1e-12)
+    values = [-1e308, -3.5, -0.0, 0.0, 5e-324, 2.0**-1074, 1.0, 1.0 + 2**-52, 7e200]
+    hard = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "a double")
+    places = [i / (len(values) - 1) for i in range(len(values))]
+    assert segments.exact_quantiles(hard, ["a"], places)["a"] == sorted(values)
+    with pytest.raises(ValueError):
+        segments.exact_quantiles(hard.where("a is null"), ["a"])
+
+
+def test_quantiles_sort_nothing(spark):
+    counts = segments._digit_counts(spark.range(9).selectExpr("cast(id as double) as a"), {("a", 0): 0}, 0)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort " not in plan
 
 
 def test_fit_equals_one_dense_solve(spark, synthetic):

@@ -249,6 +249,14 @@ def test_landed_weather(spark, tmp_path):
     assert bad["119"][1].startswith("<OpenAPI") and len(bad) == 2
 
 
+def test_a_body_is_parsed_once(rows):
+    raw = rows("station_id string, raw string", ("108", "{}"))
+    responses = weather_feed.parse_responses(raw)
+    for out in (weather_feed.daily_rows(responses), weather_feed.quarantined(responses)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_increment_reruns_and_ties(spark, rows, tmp_path):
     path = str(tmp_path / "inc")
     day = dt.date(2024, 1, 1)

@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,19 +22,8 @@ MAX_ITERATIONS, TOLERANCE = 100, 1e-3
 # Users that a mixture's start is drawn from, rounds of nearest means there, and what is added to every variance.
 START_USERS, START_ROUNDS, FLOOR = 2_000, 10, 1e-6
 QUARTILES = (0.25, 0.5, 0.75)
-# A bracket is 50 times the sketch's rank error, and two ranks, on either side of its rank.
-SKETCH_ACCURACY, BRACKET = 10_000, 0.005
-# Brackets with more rows than one task should rank are narrowed again.
-RANKED_ROWS = 100_000
-
-
-class Bracket(NamedTuple):
-    """A range of values, the number of rows below it and inside."""
-
-    low: float
-    high: float
-    below: int
-    inside: int
+#: Bits of one digit of a value's ordered key.
+DIGIT_BITS = 16
 
 
 def feature_columns(features: DataFrame, key: str = "user_id") -> list[str]:
@@ -50,77 +40,92 @@ def log_features(features: DataFrame, key: str = "user_id") -> DataFrame:
     return filled.select(key, *[log1p_or_zero(c).alias(c) for c in feature_columns(features, key)])
 
 
-def _narrowed(
-    df: DataFrame, brackets: dict[tuple[str, int], Bracket], wanted: dict[tuple[str, int], float]
-) -> dict[tuple[str, int], Bracket]:
-    """Brackets of about one percent of the rows inside the given ones, around the same ranks."""
-    marks = list(brackets)
-    sketches = []
-    for j, mark in enumerate(marks):
-        b, value = brackets[mark], F.col(mark[0])
-        rank, margin = wanted[mark] - b.below, BRACKET * b.inside + 2
-        ends = [max(rank - margin, 0.0) / b.inside, min(rank + margin, b.inside) / b.inside]
-        held = F.when(value.between(F.lit(b.low), F.lit(b.high)), value)
-        sketches.append(F.percentile_approx(held, ends, SKETCH_ACCURACY).alias(f"q{j}"))
-    ends = df.agg(*sketches).first()
-    counts = df.agg(
-        *[F.count_if(F.col(c) < F.lit(ends[j][0])).alias(f"below{j}") for j, (c, _) in enumerate(marks)],
-        *[
-            F.count_if(F.col(c).between(F.lit(ends[j][0]), F.lit(ends[j][1]))).alias(f"inside{j}")
-            for j, (c, _) in enumerate(marks)
-        ],
-    ).first()
-    return {m: Bracket(*ends[j], counts[f"below{j}"], counts[f"inside{j}"]) for j, m in enumerate(marks)}
+def _ordered_keys(values: np.ndarray) -> np.ndarray:
+    """64-bit unsigned integers in the order of the doubles (0.0 and -0.0 are one)."""
+    bits = (values + 0.0).view(np.int64)
+    return (bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.uint64) ^ np.uint64(1 << 63)
+
+
+def _value_of(key: int) -> float:
+    bits = np.array([key], np.uint64) ^ np.uint64(1 << 63)
+    bits = bits.view(np.int64)
+    return float((bits ^ ((bits >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.float64)[0])
+
+
+def _digit_counts(df: DataFrame, groups: dict[tuple[str, int], int], digit: int) -> DataFrame:
+    """``group, digit, n``: how many values of a feature whose leading digits are the group's have which next digit.
+
+    Digits have 16 bits and count from 0. A task holds one histogram per group.
+    """
+    names = list(dict.fromkeys(c for c, _ in groups))
+    low = 64 - DIGIT_BITS * (digit + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {g: np.zeros(1 << DIGIT_BITS, np.int64) for g in groups.values()}
+        for batch in batches:
+            for c in names:
+                column = batch[c].drop_null().to_numpy(zero_copy_only=False)
+                keys = _ordered_keys(column[~np.isnan(column)])
+                heads = keys >> np.uint64(low + DIGIT_BITS) if digit else np.zeros(len(keys), np.uint64)
+                digits = (keys >> np.uint64(low)) & np.uint64((1 << DIGIT_BITS) - 1)
+                for (name, head), g in groups.items():
+                    if name == c:
+                        counts[g] += np.bincount(digits[heads == np.uint64(head)].astype(np.int64), minlength=1 << DIGIT_BITS)
+        for g, n in counts.items():
+            seen = np.flatnonzero(n)
+            columns = [np.full(len(seen), g, np.int32), seen.astype(np.int32), n[seen]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["group", "digit", "n"])
+
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in names])
+    return rows.mapInArrow(run, "group int, digit int, n long").groupBy("group", "digit").agg(F.sum("n").alias("n"))
+
+
+def _picker(wanted: dict[int, list]):
+    """The digit of each wanted rank of a group, and the rank among the values that have it."""
+
+    def pick(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("digit")
+        last = pdf["n"].cumsum().to_numpy()
+        out = []
+        for mark, rank, p, side in wanted[int(pdf["group"].iloc[0])]:
+            rank = side((last[-1] - 1) * p) if rank is None else rank
+            at = int(np.searchsorted(last, rank, side="right"))
+            out.append((mark, int(pdf["digit"].iloc[at]), int(rank - (last[at - 1] if at else 0)), int(last[-1])))
+        return pd.DataFrame(out, columns=["mark", "digit", "rank", "n"])
+
+    return pick
 
 
 def exact_quantiles(
     df: DataFrame, names: Sequence[str], probabilities: Sequence[float] = QUARTILES
 ) -> dict[str, list[float]]:
-    """Exact quantiles with linear interpolation, without a global sort.
+    """Exact quantiles with linear interpolation, all features and ranks in four aggregates.
 
-    Brackets around the wanted ranks are narrowed until few rows are inside. Only these
-    are counted per distinct value and ranked, and only the few picked values reach the
-    driver. A bracket that ends in a long tie is ranked by its distinct values.
+    Values are read as 64-bit keys in the same order. Each aggregate counts one digit of 16 bits among the values
+    that agree with a wanted rank in the digits before, and so fixes the rank's next digit. Ties of any length are
+    counts, nothing is sorted, and the driver gets a digit per rank. Null and NaN values do not count.
     """
-    rows = df.count()
-    if not rows:
+    marks = [(c, i, side) for c in names for i in range(len(probabilities)) for side in (math.floor, math.ceil)]
+    heads, ranks, rows = dict.fromkeys(marks, 0), {}, {}
+    for digit in range(64 // DIGIT_BITS):
+        groups = {g: i for i, g in enumerate(sorted({(m[0], heads[m]) for m in marks}))}
+        wanted: dict[int, list] = {}
+        for j, m in enumerate(marks):
+            wanted.setdefault(groups[m[0], heads[m]], []).append((j, ranks.get(m), probabilities[m[1]], m[2]))
+
+        counts = _digit_counts(df, groups, digit)
+        for r in counts.groupBy("group").applyInPandas(_picker(wanted), "mark int, digit int, rank long, n long").collect():
+            mark = marks[r["mark"]]
+            heads[mark] = heads[mark] << DIGIT_BITS | r["digit"]
+            ranks[mark] = r["rank"]
+            rows.setdefault(mark, r["n"])
+    if len(rows) < len(marks):
         raise ValueError("no rows to take quantiles of")
-    wanted = {(c, i): (rows - 1) * p for c in names for i, p in enumerate(probabilities)}
-    brackets = {mark: Bracket(-math.inf, math.inf, 0, rows) for mark in wanted}
-    wide = set(wanted)
-    while wide:
-        found_now = _narrowed(df, {m: brackets[m] for m in wide}, wanted)
-        wide = {m for m, b in found_now.items() if RANKED_ROWS < b.inside <= brackets[m].inside / 2}
-        brackets |= found_now
-
-    inside = F.array(
-        *[
-            F.when(
-                F.col(c).between(F.lit(b.low), F.lit(b.high)),
-                F.struct(F.lit(c).alias("name"), F.lit(i).alias("i"), F.col(c).alias("value")),
-            )
-            for (c, i), b in brackets.items()
-        ]
-    )
-    counted = df.select(F.explode(F.array_compact(inside)).alias("x")).groupBy("x.name", "x.i", "x.value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    last = F.sum("n").over(
-        Window.partitionBy("name", "i").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    )
-    ranked = counted.withColumn("last", last).withColumn("first", F.col("last") - F.col("n"))
-    hits = None
-    for (c, i), position in wanted.items():
-        floor_rank, ceil_rank = (f(position) - brackets[c, i].below for f in (math.floor, math.ceil))
-        here = (F.col("name") == c) & (F.col("i") == i) & (F.col("last") > floor_rank) & (F.col("first") <= ceil_rank)
-        hits = here if hits is None else hits | here
-    found: dict[tuple[str, int], list[float]] = {}
-    for row in ranked.where(hits).select("name", "i", "value").collect():
-        found.setdefault((row["name"], row["i"]), []).append(row["value"])
     out: dict[str, list[float]] = {c: [] for c in names}
-    for c, i in wanted:
-        values, part = sorted(found[c, i]), wanted[c, i] - math.floor(wanted[c, i])
-        out[c].append(values[0] + (values[-1] - values[0]) * part)
+    for c, i, side in marks[::2]:
+        low, high = (_value_of(heads[c, i, f]) for f in (math.floor, math.ceil))
+        place = (rows[c, i, side] - 1) * probabilities[i]
+        out[c].append(low + (high - low) * (place - math.floor(place)))
     return out
 
 

@@ -59,10 +59,9 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_responses(raw: DataFrame) -> DataFrame:
     """Add the parsed body and a status: ``ok``, ``not_json`` or ``error_code``."""
-    parsed = raw.withColumn(
-        "parsed",
-        F.from_json("raw", RESPONSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}),
-    )
+    body = F.from_json("raw", RESPONSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    # As a generator's input the parse stays one: the optimizer copies a plain column into every place that reads it.
+    parsed = raw.select("*", F.explode(F.array(body)).alias("parsed"))
     code = F.col("parsed.response.header.resultCode")
     broken = F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull()
     return parsed.withColumn(
