@@ -312,19 +312,25 @@ def forecast_temperature(weather: DataFrame, days: int = PREDICT_DAYS) -> DataFr
     return actual_over_forecast(actual, predicted.withColumnRenamed("series_id", "region"))
 
 
+def training_days(series: DataFrame, triggers: DataFrame) -> DataFrame:
+    """Days of the series that have triggers. These have one row per day, which bounds the broadcast."""
+    return clean_series(series).join(F.broadcast(triggers), "ds")
+
+
+def days_with_triggers(train: DataFrame, triggers: DataFrame, days: int = PREDICT_DAYS) -> DataFrame:
+    """The training days of every series and the ``days`` after them, a missing trigger as 0."""
+    names = [c for c in triggers.columns if c != "ds"]
+    return history_and_future(train, days).join(F.broadcast(triggers), "ds", "left").na.fill(0, subset=names)
+
+
 def train_and_forecast(
     series: DataFrame, triggers: DataFrame, holidays: DataFrame, days: int = PREDICT_DAYS, spec: ModelSpec = VOLUME_MODEL
 ) -> DataFrame:
-    """Fit on days that have triggers; predict history and future, no trigger meaning 0.
-
-    Triggers have one row per day, which bounds the broadcast.
-    """
-    clean, triggers = clean_series(series), F.broadcast(triggers)
+    """Fit on days that have triggers; predict history and future, no trigger meaning 0."""
     # Fit, scales and history read it, so it is written once.
-    train = materialize(with_holidays(clean.join(triggers, "ds"), holidays), "train")
+    train = materialize(with_holidays(training_days(series, triggers), holidays), "train")
     fitted = fit_series(train, spec)
-    ahead = history_and_future(train, days).join(triggers, "ds", "left").na.fill(0, subset=list(spec.regressors))
-    return predict_series(with_holidays(ahead, holidays), fitted, spec)
+    return predict_series(with_holidays(days_with_triggers(train, triggers, days), holidays), fitted, spec)
 
 
 def forecast_volume(
@@ -446,9 +452,8 @@ def backtest_errors(held_out: DataFrame) -> DataFrame:
 
 
 def volume_backtest(series: DataFrame, triggers: DataFrame, holidays: DataFrame, spec: ModelSpec = VOLUME_MODEL, **folds) -> DataFrame:
-    """Hold-out errors of the volume model, on days that have triggers (one row per day, which bounds the broadcast)."""
-    days = with_holidays(clean_series(series).join(F.broadcast(triggers), "ds"), holidays)
-    return backtest_errors(backtest(days, spec, **folds))
+    """Hold-out errors of the volume model, on days that have triggers."""
+    return backtest_errors(backtest(with_holidays(training_days(series, triggers), holidays), spec, **folds))
 
 
 def frozen_pick(predictions: DataFrame, cutoff: str | date) -> DataFrame:

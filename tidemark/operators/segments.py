@@ -386,6 +386,15 @@ def name_clusters(
     )
 
 
+def with_names(labelled: DataFrame, key: str = "user_id") -> DataFrame:
+    """Labelled users with the names of their clusters.
+
+    There is one row of names per cluster, a proven bound, so the large side is not shuffled.
+    """
+    names = F.broadcast(name_clusters(cluster_summary(labelled, key)))
+    return labelled.join(names, "classification", "left")
+
+
 def segment_users(
     features: DataFrame,
     k: int | None = None,
@@ -407,6 +416,4 @@ def segment_users(
         k = elbow(scores).first()["k"]
         model = models[k]
     labelled = materialize(cluster_users(vectors, features, k, key, model), "labelled")
-    # One row per cluster, at most k: a proven bound, so the large side is not shuffled.
-    names = F.broadcast(name_clusters(cluster_summary(labelled, key)))
-    return labelled.join(names, "classification", "left")
+    return with_names(labelled, key)

@@ -8,16 +8,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.predicates import from_current_hour
+from tidemark.functions.predicates import from_current_hour, wall_time
 from tidemark.functions.scalars import (
     PRECIPITATION_CODES,
     SKY_CODES,
     compact_day,
     compact_slot,
     decode,
+    forecast_issue,
     to_number,
 )
 
@@ -60,10 +61,17 @@ def upcoming_slots(wide: DataFrame, now: str | datetime, hours: int | None = Non
     )
 
 
+def issued_at(now: str | datetime) -> Column:
+    """When the forecast that is current at ``now`` was issued, as text to the minute."""
+    return F.date_format(forecast_issue(wall_time(now)), "yyyy-MM-dd HH:mm").alias("issued_at")
+
+
 def hourly_forecast(rows: DataFrame, now: str | datetime, hours: int | None = None) -> DataFrame:
     slots = upcoming_slots(slots_wide(rows), now, hours)
+    # The names of the served fields.
     return slots.select(
         "region",
+        issued_at(now),
         F.substring(F.col("slot").cast("string"), 6, 11).alias("time"),
         to_number("TMP").alias("temperature_c"),
         to_number("POP").alias("precip_prob_pct"),
@@ -76,8 +84,8 @@ def hourly_forecast(rows: DataFrame, now: str | datetime, hours: int | None = No
     )
 
 
-def daily_forecast(rows: DataFrame) -> DataFrame:
-    """Daily low and high, highest rain chance, mean humidity.
+def daily_forecast(rows: DataFrame, now: str | datetime | None = None) -> DataFrame:
+    """Daily low and high, highest rain chance, mean humidity; with ``now`` the issue time beside them.
 
     The feed's own daily low and high win; where one is missing, the hourly
     temperatures fill it, and the flag says so if either was missing. The last
@@ -102,6 +110,7 @@ def daily_forecast(rows: DataFrame) -> DataFrame:
     )
     return days.select(
         "region",
+        *([] if now is None else [issued_at(now)]),
         compact_day("fcst_date").alias("date"),
         F.coalesce("low", "tmp_min").alias("temp_min_c"),
         F.coalesce("high", "tmp_max").alias("temp_max_c"),

@@ -356,6 +356,7 @@ select ds, region, case when extract(day from ds) = 13 then null else temp end a
        cast(case when extract(day from ds) % 2 = 0 then 0.0 else 1.5 end as double) as rain_max_1h
 from {weather}
 """
+SQL["landed_weather"] = SQL["weather_json_rows"]
 SQL["weather_json_quarantine"] = """
 select case region when 'AFRICA' then '108' when 'AMERICA' then '112' when 'ASIA' then '119' when 'EUROPE' then '98'
                    else '159' end as station_id,
@@ -400,7 +401,7 @@ _PTY = {
 }
 _SKY = {"1": "맑음", "3": "구름많음", "4": "흐림"}
 SQL["hourly_forecast"] = f"""
-select region, strftime(slot, '%m-%d %H:%M') as time, try_cast("TMP" as double) as temperature_c,
+select region, '2024-01-15 08:00' as issued_at, strftime(slot, '%m-%d %H:%M') as time, try_cast("TMP" as double) as temperature_c,
        try_cast("POP" as double) as precip_prob_pct, {_decode("PTY", _PTY)} as precip_type, "PCP" as precip_mm,
        "SNO" as snow_cm, try_cast("REH" as double) as humidity_pct, try_cast("WSD" as double) as wind_speed_ms,
        {_decode("SKY", _SKY)} as sky
@@ -417,7 +418,7 @@ days as (select region, date,
     min(case when category = 'TMP' then v end) as tmp_min, max(case when category = 'TMP' then v end) as tmp_max,
     max(case when category = 'POP' then v end) as pop, avg(case when category = 'REH' then v end) as reh
     from numbered group by 1, 2)
-select region, date, coalesce(low, tmp_min) as temp_min_c, coalesce(high, tmp_max) as temp_max_c,
+select region, '2024-01-15 08:00' as issued_at, date, coalesce(low, tmp_min) as temp_min_c, coalesce(high, tmp_max) as temp_max_c,
        low is null or high is null as temp_from_hourly, pop as precip_prob_max_pct,
        cast(round_even(reh, 0) as bigint) as humidity_avg_pct
 from days
@@ -451,6 +452,36 @@ select ds, case when count(*) filter (where c >= 1) >= 2 then 1 else 0 end as te
        case when count(*) filter (where c >= 3) >= 2 then 1 else 0 end as temp_trigger_3deg
 from change group by 1
 """
+SQL["training_days"] = f"""
+select series_id, v.ds, y, temp_trigger_1deg, temp_trigger_2deg, temp_trigger_3deg
+from {{volume}} v join ({SQL["temp_triggers"].replace("{weather}", "(select * from {weather} where extract(day from ds) % 2 = 1)")}) t
+  on v.ds = t.ds
+"""
+SQL["days_with_triggers"] = f"""
+with early as (select * from {{volume}} where ds < date '1997-07-01'),
+days as (select series_id, ds from early union all
+         select series_id, cast(last + n as date) from (select series_id, max(ds) as last from early group by 1) l,
+                (select cast(unnest(range(1, 61)) as int) as n) u)
+select series_id, d.ds, coalesce(temp_trigger_1deg, 0) as temp_trigger_1deg,
+       coalesce(temp_trigger_2deg, 0) as temp_trigger_2deg, coalesce(temp_trigger_3deg, 0) as temp_trigger_3deg
+from days d left join ({SQL["temp_triggers"]}) t on d.ds = t.ds and extract(day from t.ds) <> 1
+"""
+SQL["temperature_days"] = """
+select region, ds, temp, false as ahead from {weather}
+union all
+select region, cast(last + n as date), null, true
+from (select region, max(ds) as last from {weather} group by 1) l, (select cast(unnest(range(1, 61)) as int) as n) u
+"""
+SQL["frozen_dates"] = """
+select series_id, ds, as_of_date, yhat + case when as_of_date = date '1998-01-12' then 0.5 else 0.0 end as yhat
+from {dated_predictions} where as_of_date in (date '1998-01-05', date '1998-01-12')
+"""
+SQL["dashboard_gaps"] = """
+select cast(last + n as date) as day, false as off_yhat, false as off_lower, false as off_upper
+from (select max(last) as last, min(last) as first from (select max(ds) as last from {region_volume} group by series_id) e) l,
+     (select cast(unnest(range(1, 61)) as int) as n) u
+where last + n <= first + 60
+"""
 _HOLIDAY_DATES = ", ".join(f"'{d}'" for d in HOLIDAYS)
 SQL["holiday_window"] = f"""
 select series_id, ds, y,
@@ -562,6 +593,24 @@ from (select classification, count(*) as members, avg(recency) as r, avg(frequen
              avg(tenure) as t, avg(max_amount) as x
       from ({_RFM}) u join {{user_buckets}} b on u.user_id = b.user_id group by 1) s
 """
+SQL["labelled_users"] = f"""
+select u.*, b.classification, c."cluster 1", c."cluster 2", c."cluster 3"
+from ({_RFM}) u join {{user_buckets}} b on u.user_id = b.user_id
+join ({SQL["cluster_means"]}) c on c.classification = b.classification
+"""
+SQL["segment_invariants"] = f"""
+select cast(count(*) as bigint) as members, true as enough_clusters, round(cast(sum(recency) as double), 0) as sum_recency,
+       round(cast(sum(frequency) as double), 0) as sum_frequency, round(sum(monetary), 0) as sum_monetary,
+       round(cast(sum(tenure) as double), 0) as sum_tenure, round(sum(max_amount), 0) as sum_max_amount,
+       count(distinct user_id) as users, cast(0 as bigint) as unnamed
+from ({_RFM}) u
+"""
+SQL["filled_features"] = f"""
+select user_id, case when user_id % 5 = 0 then 0.0 else round(ln(1 + cast(recency as double)), 6) end as recency,
+       case when user_id % 7 = 0 then 0.0 else round(ln(1 + cast(tenure as double)), 6) end as tenure,
+       case when user_id % 11 = 0 then 0.0 else round(ln(1 + monetary), 6) end as monetary
+from ({_RFM}) u
+"""
 SQL["cluster_shares"] = """
 select classification, count(*) as members,
        round(count(*) / cast((select count(*) from {user_buckets}) as double), 6) as share
@@ -610,6 +659,14 @@ select event_id, case when event_id is not null then ts end as ts,
 from e, m
 qualify event_id is not null or row_number() over (partition by event_id order by late, ts is null) = 1
 """
+SQL["crm_snapshot"] = " union all ".join(
+    f"select user_id, recency, frequency, monetary, date '{day}' as snapshot_date "
+    f"from ({_RFM.replace('2001-12-31', day)}) u" for day in ("2000-12-31", "2001-12-31")
+)
+SQL["published_categories"] = """
+select coalesce(category, 'cleaning_count') as subtract_category, count(*) as parts, cast(sum(p_size) as bigint) as sizes
+from {part} left join {item_seed} on p_name = item_name group by 1
+"""
 SQL["json_payload"] = f"""
 select 'cohort_retention' as target, cast(1 as int) as part, count(*) as row_count,
        concat('{{"target":"cohort_retention","data":[',

@@ -27,7 +27,7 @@ from tidemark.operators import (
 )
 from tidemark.plans.inputs import HOLIDAYS, load
 from tidemark.session import materialize, scratch_path
-from tidemark.sources import keyed, sinks, weather_feed
+from tidemark.sources import keyed, registry, sinks, weather_feed
 from tidemark.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -493,6 +493,16 @@ def weather_json_quarantine(spark, sf_dir):
     return weather_feed.quarantined(_responses(spark, sf_dir))
 
 
+@query
+def landed_weather(spark, sf_dir):
+    """The responses as one landed file each, in a folder per station, read again in one scan."""
+    path = scratch_path(spark, "landing")
+    bodies = _responses(spark, sf_dir).select("station_id", F.col("raw").alias("value")).repartition("station_id")
+    bodies.write.partitionBy("station_id").option("maxRecordsPerFile", 1).option("lineSep", " ").text(path)
+    names = {v: k for k, v in STATION_OF.items()}
+    return weather_feed.daily_rows(weather_feed.parse_responses(weather_feed.read_landing(spark, path)), names)
+
+
 @query
 def forecast_slots_wide(spark, sf_dir):
     return weather.slots_wide(load(spark, sf_dir, "forecast_rows"))
@@ -506,7 +516,7 @@ def hourly_forecast(spark, sf_dir):
 
 @query
 def forecast_daily(spark, sf_dir):
-    return weather.daily_forecast(load(spark, sf_dir, "forecast_rows"))
+    return weather.daily_forecast(load(spark, sf_dir, "forecast_rows"), "2024-01-15 10:35:00")
 
 
 @query
@@ -541,6 +551,31 @@ def temp_triggers(spark, sf_dir):
     return weather.temperature_triggers(materialize(load(spark, sf_dir, "weather"), "weather"))
 
 
+@query
+def training_days(spark, sf_dir):
+    """Days of the volume that have triggers; the weather of odd days only, so that days without any drop out."""
+    odd = load(spark, sf_dir, "weather").where(F.dayofmonth("ds") % 2 == 1)
+    triggers = materialize(weather.temperature_triggers(materialize(odd, "weather")), "triggers")
+    return forecast.training_days(load(spark, sf_dir, "volume"), triggers)
+
+
+@query
+def days_with_triggers(spark, sf_dir):
+    triggers = materialize(weather.temperature_triggers(materialize(load(spark, sf_dir, "weather"), "weather")), "triggers")
+    early = load(spark, sf_dir, "volume").where(F.col("ds") < "1997-07-01")
+    return forecast.days_with_triggers(materialize(early, "early"), triggers.where(F.dayofmonth("ds") != 1), 60)
+
+
+@query
+def temperature_days(spark, sf_dir):
+    """The filled temperatures: what was observed as it is, the days after only by their date."""
+    observed = materialize(load(spark, sf_dir, "weather"), "weather")
+    last = F.broadcast(observed.groupBy("region").agg(F.max("ds").alias("last")))
+    filled = forecast.forecast_temperature(observed, 60).join(last, "region")
+    ahead = F.col("ds") > F.col("last")
+    return filled.select("region", "ds", F.when(~ahead, F.col("temp")).alias("temp"), (ahead & F.col("temp").isNotNull()).alias("ahead"))
+
+
 @query
 def holiday_window(spark, sf_dir):
     daily = _daily(spark, sf_dir)
@@ -630,6 +665,27 @@ def dashboard_forecast(spark, sf_dir):
     return forecast.dashboard_forecast(daily, weather_days, _holidays(daily), 60)
 
 
+@query
+def dashboard_gaps(spark, sf_dir):
+    """The dashboard's totals less the sums of their own series: nothing, but for the cut to whole numbers."""
+    made = materialize(forecast.last_days(forecast.forecast_volume(*_daily_inputs(spark, sf_dir), 60), 60), "parts")
+    sums = made.groupBy(F.col("ds").alias("day")).agg(*[F.sum(c).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
+    off = lambda total, part: (F.abs(F.col(total) - F.col(part)) >= 1.0).alias(total.replace("total", "off"))
+    both = forecast.forecast_totals(made, n=60).join(sums, "day")
+    return both.select("day", off("total_yhat", "yhat"), off("total_lower", "yhat_lower"), off("total_upper", "yhat_upper"))
+
+
+@query
+def frozen_dates(spark, sf_dir):
+    """Predictions frozen under two dates; the second date is frozen twice, its last run stays."""
+    made = materialize(load(spark, sf_dir, "dated_predictions", volume=_daily(spark, sf_dir)), "predictions")
+    path = scratch_path(spark, "frozen")
+    for day, more in (("1998-01-05", 0.0), ("1998-01-12", 9.0), ("1998-01-12", 0.5)):
+        rows = made.where(F.col("as_of_date") == day).select("series_id", "ds", (F.col("yhat") + more).alias("yhat"))
+        sinks.freeze_forecast(rows, path, day)
+    return spark.read.parquet(path)
+
+
 @query
 def volume_forecast(spark, sf_dir):
     made = forecast.forecast_volume(*_daily_inputs(spark, sf_dir), 60)
@@ -658,6 +714,39 @@ def user_segments(spark, sf_dir):
     return edge(segments.segment_users(audience.features_on(made, "2001-12-31")))
 
 
+@query
+def segment_invariants(spark, sf_dir):
+    """What holds for any clustering: each user once, with all names, and clusters that add up to the whole."""
+    made = materialize(user_segments(spark, sf_dir), "segments")
+    summary = segments.cluster_summary(made.drop("cluster 1", "cluster 2", "cluster 3"))
+    names = [c for c in summary.columns if c.startswith("avg_")]
+    sums = [F.sum(F.col("members") * F.col(c)).alias(c.replace("avg_", "sum_")) for c in names]
+    whole = summary.agg(F.sum("members").alias("members"), (F.count(F.lit(1)) >= 10).alias("enough_clusters"), *sums)
+    named = F.coalesce(*[F.when(F.col(f"cluster {i}").isNull(), 1) for i in (1, 2, 3)], F.lit(0))
+    users = made.agg(F.countDistinct("user_id").alias("users"), F.sum(named).alias("unnamed"))
+    return rounded(whole.join(F.broadcast(users)), *[c.replace("avg_", "sum_") for c in names], digits=0)
+
+
+@query
+def labelled_users(spark, sf_dir):
+    features = audience.rfm_features(load(spark, sf_dir, "activity"), "2001-12-31").drop("base_date")
+    labelled = materialize(features.join(load(spark, sf_dir, "user_buckets"), "user_id"), "labelled")
+    return edge(segments.with_names(labelled))
+
+
+@query
+def filled_features(spark, sf_dir):
+    """Log features where some values are missing or not a number."""
+    made = audience.rfm_features(load(spark, sf_dir, "activity"), "2001-12-31").select("user_id", "recency", "tenure", "monetary")
+    gaps = made.select(
+        "user_id",
+        F.when(F.col("user_id") % 5 != 0, F.col("recency")).alias("recency"),
+        F.when(F.col("user_id") % 7 == 0, F.lit(float("nan"))).otherwise(F.col("tenure").cast("double")).alias("tenure"),
+        F.when(F.col("user_id") % 11 == 0, F.lit(-5)).otherwise(F.col("monetary")).alias("monetary"),
+    )
+    return rounded(segments.log_features(gaps), "recency", "tenure", "monetary")
+
+
 @query
 def cluster_means(spark, sf_dir):
     features = audience.rfm_features(load(spark, sf_dir, "activity"), "2001-12-31").drop("base_date")
@@ -681,6 +770,35 @@ def cluster_shares(spark, sf_dir):
     return rounded(monitoring.cluster_shares(load(spark, sf_dir, "user_buckets")), "share")
 
 
+# Exports and published tables
+
+
+@query
+def crm_snapshot(spark, sf_dir):
+    """Features exported as CSV for two dates, the second one twice, and read back."""
+    path, columns = scratch_path(spark, "crm"), ["user_id", "recency", "frequency", "monetary"]
+    for day in ("2000-12-31", "2001-12-31", "2001-12-31"):
+        made = audience.rfm_features(load(spark, sf_dir, "activity"), day).select(*columns)
+        sinks.write_csv_snapshot(made, path, day)
+    schema = "user_id bigint, recency int, frequency bigint, monetary decimal(28,2), snapshot_date date"
+    return edge(spark.read.schema(schema).option("header", True).csv(path))
+
+
+@query
+def published_categories(spark, sf_dir):
+    """Parts by category: named sources, a seed loaded from CSV, and a table of the default target."""
+    sources = registry.SourceRegistry.from_folder(sf_dir, ["part"])
+    sources.create_views(spark)
+    seed = scratch_path(spark, "seed")
+    load(spark, sf_dir, "item_seed").write.option("header", True).csv(seed)
+    named = registry.read_seed(spark, seed, "item_name string, category string")
+    parts = spark.table("part").select(F.col("p_name").alias("item_name"), F.col("p_size").alias("size"))
+    counted = metrics.categorize_items(parts, named).groupBy("subtract_category").agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("size").alias("sizes")
+    )
+    return spark.table(sinks.publish_table(counted, "part_categories", root=scratch_path(spark, "published")))
+
+
 # Incremental loads, payloads, texts
 
 

@@ -28,10 +28,13 @@ def qualified_name(model: str, target: str = "dev", schemas: dict[str, str] | No
 
 
 def publish_table(
-    df: DataFrame, model: str, target: str = "dev", partition_by: Sequence[str] = (), schemas=None
+    df: DataFrame, model: str, target: str = "dev", partition_by: Sequence[str] = (), schemas=None, root: str | None = None
 ) -> str:
+    """Write a model as a table of the target's schema; ``root`` places a new schema elsewhere than in the warehouse."""
     name = qualified_name(model, target, schemas)
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+    schema = name.split(".")[0]
+    place = f" LOCATION '{os.path.join(root, schema)}'" if root else ""
+    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {schema}{place}")
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
