@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Memory, map_arrow
 
-#: Separators that only ``str.split`` takes for white space; texts that hold one take the plain way.
-_ONLY_PYTHON_SPACE = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Characters of a text whose words are held at once.
+PIECE = 1 << 20
 
 
 def byte_alphabet() -> list[str]:
@@ -58,12 +58,15 @@ class Codec:
         letters = byte_alphabet()
         self.inner = [self.vocab.get(c, -1) for c in letters]
         self.last = [self.vocab.get(c + self.suffix, -1) for c in letters]
-        self.known = Memory(self._chunk)
-        self.known_words = Memory(self._word, 100_000)
+        #: Ids (little-endian 32-bit integers) and decoded text of a word.
+        self.known = Memory(self._word, 300_000)
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Apply merges in order of rank, leftmost first among equals."""
         n = len(symbols)
+        if n < 3:
+            rank = self.ranks.get(tuple(symbols))
+            return symbols if rank is None else [self.made[rank]]
         rank_of, made, ids = self.ranks.get, self.made, symbols[:]
         after, before = [*range(1, n), -1], [*range(-1, n - 1)]
         # An entry is a rank and a place in one number, so that the heap compares numbers.
@@ -93,48 +96,53 @@ class Codec:
                     heappush(queue, r << shift | h)
         return [x for x in ids if x >= 0]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[bytes, str]:
         data = word.encode("utf-8")
         symbols = [*map(self.inner.__getitem__, data[:-1]), self.last[data[-1]]]
-        return self.merge([x for x in symbols if x >= 0])
-
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        ids = self.plain(chunk)
+        ids = self.merge([x for x in symbols if x >= 0])
         return packed(ids), self.decode(ids)
 
-    def plain(self, text: str) -> list[int]:
-        """Ids of a text without special tokens."""
+    def parts(self, text: str) -> list[tuple[bytes, str]]:
+        """Ids and decoded text of each word of a text without special tokens."""
         text = unicodedata.normalize("NFC", text)
         # Lower case letter by letter: a final sigma is a matter of context only to str.lower.
         text = "".join(map(str.lower, text)) if "Σ" in text else text.lower()
-        ids: list[int] = []
-        for word in self.words.findall(text):
-            ids += self.known_words[word]
-        return ids
+        return [*map(self.known.__getitem__, self.words.findall(text))]
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text; strings of special tokens become their ids."""
-        ids, at = [], 0
+    def pieces(self, text: str) -> Iterator[list[tuple[bytes, str]]]:
+        """The words of a whole text, piece by piece; strings of special tokens become those."""
+        at = 0
         for m in self.specials.finditer(text):
-            ids += self.plain(text[at : m.start()])
-            ids.append(self.special[m[0]])
+            yield from map(self.parts, _cut(text[at : m.start()]))
+            yield [(packed([self.special[m[0]]]), m[0])]
             at = m.end()
-        return ids + self.plain(text[at:])
+        yield from map(self.parts, _cut(text[at:]))
+
+    def encode(self, text: str) -> list[int]:
+        """Ids of a whole text; strings of special tokens become their ids."""
+        return [*array("I", b"".join([p[0] for part in self.pieces(text) for p in part]))]
 
     def decode(self, ids: list[int]) -> str:
         """The vocabulary strings joined by spaces, as the library does for a file without a decoder."""
         return " ".join(map(self.strings.__getitem__, ids))
 
     def encode_decode(self, text: str) -> tuple[bytes, str]:
-        """Ids as little-endian 32-bit integers, and the decoded text.
-
-        Words never cross white space, so chunks between white space are encoded apart and remembered.
-        """
-        if any(c in text for c in _ONLY_PYTHON_SPACE) or any(s in text for s in self.special):
-            ids = self.encode(text)
-            return packed(ids), self.decode(ids)
-        parts = list(map(self.known.__getitem__, text.split()))
-        return b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[1]])
+        """Ids as little-endian 32-bit integers, and the decoded text."""
+        ids, strings = [], []
+        for part in self.pieces(text):
+            ids.append(b"".join([p[0] for p in part]))
+            strings.append(" ".join([p[1] for p in part if p[1]]))
+        return b"".join(ids), " ".join(filter(None, strings))
+
+
+def _cut(text: str, size: int = PIECE) -> Iterator[str]:
+    """The text in pieces that end before a space, so that no word is cut."""
+    at = 0
+    while at < len(text):
+        end = text.find(" ", at + size)
+        end = len(text) if end < 0 else end
+        yield text[at:end]
+        at = end
 
 
 def packed(ids: list[int]) -> bytes:

@@ -35,14 +35,19 @@ def release(spark: SparkSession) -> None:
 class Memory(dict):
     """Results of a function for its latest arguments, in two generations of ``size`` entries.
 
-    When the young generation is full it becomes the old one; what is asked for again moves back.
+    When the young generation is full it becomes the old one; what is asked for again moves back. Arguments of more
+    than ``LONGEST`` characters are not kept, so that bytes are bounded too.
     """
 
+    LONGEST = 64
+
     def __init__(self, function: Callable, size: int = 200_000) -> None:
         super().__init__()
         self.function, self.size, self.old = function, size, {}
 
     def __missing__(self, key):
+        if len(key) > self.LONGEST:
+            return self.function(key)
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
