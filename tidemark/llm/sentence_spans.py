@@ -1,30 +1,31 @@
 """Substring dedup by sliding sentence spans.
 
 Runs of consecutive sentences are hashed; of equal runs the first, by document id and place, stays, and
-what any other one covers is removed. ``drop_repeated_spans`` alone takes every run of ``span`` sentences.
-With ``word_run`` it takes runs by size, so that no passage is lost for the length of its sentences:
+what any other one covers is removed. Runs slide by size: from and up to every sentence the shortest run of two
+sentences or more with ``min_words`` words. They cover every repeated run of two whole sentences or more that has
+``min_words`` words. With ``span`` every run of that many sentences is taken instead.
 
-* from and up to every sentence the shortest run of two sentences or more with ``min_words`` words, and a
-  sentence of ``word_run`` words or more alone. They cover each repeated run of whole sentences with
-  ``min_words`` words, so also all that runs of ``span`` sentences do.
-* runs of ``word_run`` words, wherever sentences end, at the least hash of each ``WINDOW`` successive places
-  (winnowing; Schleimer, Wilkerson and Aiken 2003). Each repeated passage of ``word_run + WINDOW - 1`` words
-  holds one, and at most ``WINDOW - 1`` words at either end of a passage stay. They may cut sentences.
+Sentences are hashed once, and a run's hash comes from running sums over them, so it costs the same whatever its length.
+
+``word_run`` adds, for passages that hold few whole sentences, runs of so many words wherever sentences end, at the least
+hash of each ``WINDOW`` successive places (winnowing; Schleimer, Wilkerson and Aiken 2003). Each repeated passage
+of ``word_run + WINDOW - 1`` words holds one, and at most ``WINDOW - 1`` words at either end of a passage stay. These may
+cut sentences.
 
 Defined results: sentences end at ``.``, ``!``, ``?`` before white space and at line ends, and are
-compared in lower case with white space collapsed. A document with fewer sentences than a run is one
-run. Runs below ``min_words`` words are no evidence and stay. A null text stays null and an empty one
-empty, with 0 sentences. A null id comes before all others. Rows with equal id and text are one
+compared in lower case with white space collapsed. A text of one sentence is one run, and so is a text with fewer than
+``span`` sentences. Runs below ``min_words`` words are no evidence and stay. A null text stays null and an empty one
+empty, with 0 sentences; a text of white space has one sentence and no run. Very long texts take time and memory in
+proportion. A null id comes before all others. Rows with equal id and text are one
 document: they do not remove each other, and each row gets the same result. Equal ids with different
 texts are ordered by a hash of the text. ``n_removed`` counts sentences that went as a whole.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
-import zlib
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -33,19 +34,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.llm.common import Memory, map_arrow, release, unpacked, whole_row
-from tidemark.llm.hashing import mix, span_hashes
+from tidemark.llm.hashing import span_hashes
 from tidemark.session import discard, materialize
 
-#: Sentences in a run, and words in a run at least.
-SPAN, MIN_WORDS = 3, 12
+#: Words in a run at least.
+MIN_WORDS = 12
 #: Words of a run that need not end with a sentence, and successive places of which one is hashed.
 WORD_RUN, WINDOW = 24, 12
+#: Places from here on are numbers of words, below of sentences.
+_WORDS_FROM = 1 << 30
 
-_BREAK = re.compile(r"[.!?]\s+|\s*\n\s*")
+# White space before a line end is part of the sentence that ends there, so only what follows it is matched; a
+# pattern that matched both sides would take quadratic time on white space.
+_BREAK = re.compile(r"[.!?]\s+|\n\s*")
 _WORD = re.compile(r"\S+")
-#: A run's hash: 96 bits, as two numbers, which take less room in a shuffle than bytes.
-_HASH = np.dtype([("h", "<i8"), ("g", "<i4")])
-_word_hash = Memory(lambda word: zlib.crc32(word.encode()))
+_word_hash = Memory(lambda word: blake2b(word.encode(), digest_size=16).digest())
 
 
 def sentence_bounds(text: str) -> list[tuple[int, int]]:
@@ -59,73 +62,100 @@ def sentence_bounds(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(starts, ends, strict=True) if b > a]
 
 
-def _hash(kind: str, text: str) -> bytes:
-    return hashlib.blake2b(f"{kind}{text}".encode(), digest_size=_HASH.itemsize).digest()
-
+def size_runs(lengths: np.ndarray, text_of: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) sentence of the shortest runs from and up to each sentence.
 
-def runs(text: str, span: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(start, end, hash) of each run of ``span`` sentences that has enough words."""
-    bounds = sentence_bounds(text)
-    sentences = [text[a:b].lower().split() for a, b in bounds]
-    if not sentences:
-        return []
-    width = min(span, len(sentences))
-    lengths = [len(s) for s in sentences]
-    plain = [" ".join(s) for s in sentences]
-    words = sum(lengths[:width])
-    out = []
-    for i in range(len(plain) - width + 1):
-        if i:
-            words += lengths[i + width - 1] - lengths[i - 1]
-        if words >= min_words:
-            out.append((bounds[i][0], bounds[i + width - 1][1], _hash("", "\n".join(plain[i : i + width]))))
-    return out
-
-
-def shortest_runs(lengths: list[int], min_words: int, alone: int) -> set[tuple[int, int]]:
-    """(first, last) sentence of the shortest runs from and up to each sentence, by words per sentence."""
-    n, out = len(lengths), {(0, 0)} if len(lengths) == 1 and lengths[0] >= min_words else set()
-    for i in range(n):
-        if lengths[i] >= alone:
-            out.add((i, i))
-            continue
-        for step in (1, -1):
-            words, j = lengths[i], i + step
-            while 0 <= j < n:
-                words += lengths[j]
-                if words >= min_words:
-                    out.add((min(i, j), max(i, j)))
-                    break
-                j += step
-    return out
-
-
-def chosen_places(hashes: list[int], width: int, window: int) -> list[int]:
-    """First words of the runs of ``width`` words to hash: the least of each ``window`` successive ones."""
-    n = len(hashes) - width + 1
-    if n < 1:
-        return []
-    rolled = mix(span_hashes(mix(np.array(hashes, np.uint64)), slice(0, n), slice(width, None)))
-    least = np.lib.stride_tricks.sliding_window_view(rolled, min(window, n)).argmin(axis=1)
-    return np.unique(least + np.arange(len(least))).tolist()
-
-
-def runs_by_size(text: str, min_words: int, word_run: int) -> list[tuple[int, int, bytes]]:
-    """(start, end, hash) of the shortest runs of sentences and of the chosen runs of words."""
-    bounds = sentence_bounds(text)
-    sentences = [text[a:b].lower().split() for a, b in bounds]
-    held = [k for k, s in enumerate(sentences) if s]
-    plain = [" ".join(sentences[k]) for k in held]
+    ``lengths`` are words per sentence and ``text_of`` the number of its text, rising; runs stay within a text.
+    """
+    n = len(lengths)
+    sums = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.arange(n)
+    first, last = np.searchsorted(text_of, text_of, "left"), np.searchsorted(text_of, text_of, "right") - 1
+    ends = np.maximum(np.searchsorted(sums, sums[:-1] + min_words, "left") - 1, at + 1)
+    starts = np.minimum(np.searchsorted(sums, sums[1:] - min_words, "right") - 1, at - 1)
+    ahead, back, alone = ends <= last, starts >= first, (first == last) & (lengths >= min_words)
+    pairs = np.unique(np.concatenate([at[ahead] * n + ends[ahead], starts[back] * n + at[back], at[alone] * n + at[alone]]))
+    return pairs // max(n, 1), pairs % max(n, 1)
+
+
+def fixed_runs(lengths: np.ndarray, text_of: np.ndarray, min_words: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last) sentence of each run of ``span`` sentences, or of a whole shorter text, that has enough words."""
+    sums = np.concatenate([[0], np.cumsum(lengths)])
+    at = np.arange(len(lengths))
+    first, last = np.searchsorted(text_of, text_of, "left"), np.searchsorted(text_of, text_of, "right") - 1
+    ends = np.where((at == first) & (first + span - 1 > last), last, at + span - 1)
+    fit = ends <= last
+    fit[fit] = sums[ends[fit] + 1] - sums[at[fit]] >= min_words
+    return at[fit], ends[fit]
+
+
+def _lanes(digests: list[bytes]) -> np.ndarray:
+    """Digests of 16 bytes as two rows of numbers."""
+    return np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2).T
+
+
+def chosen_places(rolled: np.ndarray, text_of: np.ndarray, window: int) -> np.ndarray:
+    """Places with the least hash of each ``window`` successive ones of a text (of all, if there are fewer)."""
+    if not len(rolled):
+        return np.zeros(0, np.int64)
     out = []
-    for i, j in sorted(shortest_runs([len(sentences[k]) for k in held], min_words, word_run)):
-        out.append((bounds[held[i]][0], bounds[held[j]][1], _hash("", "\n".join(plain[i : j + 1]))))
-    words = [w for k in held for w in sentences[k]]
-    chosen = chosen_places([_word_hash[w] for w in words], word_run, WINDOW)
-    starts = [m.start() for m in _WORD.finditer(text)] + [len(text)] if chosen else []
-    for i in chosen:
-        last = i + word_run
-        out.append((starts[i], starts[last], _hash("\r", " ".join(words[i:last]))))
-    return out
+    width = min(window, len(rolled))
+    within = text_of[: len(rolled) - width + 1] == text_of[width - 1 :]
+    least = np.lib.stride_tricks.sliding_window_view(rolled, width).argmin(axis=1)
+    out.append((least + np.arange(len(least)))[within])
+    cuts = np.flatnonzero(np.diff(text_of)) + 1
+    for a, b in zip([0, *cuts], [*cuts, len(rolled)], strict=True):
+        if b - a < window:
+            out.append([a + int(rolled[a:b].argmin())])
+    return np.unique(np.concatenate(out)).astype(np.int64)
+
+
+def batch_runs(texts: list[str], min_words: int, span: int | None, word_run: int | None) -> dict[str, np.ndarray]:
+    """The runs of a batch: number of the ``text``, ``at`` and ``to`` (first and last sentence, or word), hash ``h``, ``g``.
+
+    A hash has 96 bits, as two numbers, which take less room in a shuffle than bytes.
+    """
+    digests, lengths, numbers, text_of, words, word_text = [], [], [], [], [], []
+    for t, text in enumerate(texts):
+        for k, (a, b) in enumerate(sentence_bounds(text)):
+            held = text[a:b].lower().split()
+            if held:
+                digests.append(blake2b(" ".join(held).encode(), digest_size=16).digest())
+                lengths.append(len(held))
+                numbers.append(k)
+                text_of.append(t)
+                if word_run:
+                    words += map(_word_hash.__getitem__, held)
+        if word_run:
+            word_text.append(len(words))
+    lengths, numbers, text_of = (np.array(x, np.int64) for x in (lengths, numbers, text_of))
+    first, last = fixed_runs(lengths, text_of, min_words, span) if span else size_runs(lengths, text_of, min_words)
+    hashes = [span_hashes(lane, first, last + 1) for lane in _lanes(digests)]
+    found = [(text_of[first], numbers[first], numbers[last], *hashes)]
+    if word_run and words:
+        lanes, ends = _lanes(words), np.array(word_text)
+        head = np.concatenate([[0], ends[:-1]])
+        of_word = np.repeat(np.arange(len(texts)), ends - head)
+        at = np.arange(max(0, len(of_word) - word_run + 1))
+        at = at[of_word[at] == of_word[at + word_run - 1]]
+        rolled = [span_hashes(lane, at, at + word_run) for lane in lanes]
+        chosen = chosen_places(rolled[0], of_word[at], WINDOW)
+        where = at[chosen]
+        place = where - head[of_word[where]] + _WORDS_FROM
+        # Runs of words have hashes of their own, apart from those of sentences.
+        found.append((of_word[where], place, place + word_run - 1, rolled[0][chosen], ~rolled[1][chosen]))
+    text, at, to, h, g = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(text, kind="stable")
+    return {"text": text[order], "at": at[order], "to": to[order], "h": h[order], "g": g[order] >> np.uint64(32)}
+
+
+def characters(text: str, places: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """(start, end) in characters of runs given by their first and last sentence or word."""
+    bounds = sentence_bounds(text) if any(a < _WORDS_FROM for a, _ in places) else []
+    starts = [m.start() for m in _WORD.finditer(text)] + [len(text)] if any(a >= _WORDS_FROM for a, _ in places) else []
+    return [
+        (bounds[a][0], bounds[b][1]) if a < _WORDS_FROM else (starts[a - _WORDS_FROM], starts[b - _WORDS_FROM + 1]) for a, b in places
+    ]
 
 
 def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int, list[int]]:
@@ -147,9 +177,9 @@ def without(text: str, ranges: list[tuple[int, int]]) -> tuple[str, int, int, li
 
 
 def repeated_runs(
-    docs: DataFrame, doc_id: str, text: str, span: int, min_words: int, word_run: int | None = None
+    docs: DataFrame, doc_id: str, text: str, min_words: int, span: int | None = None, word_run: int | None = None
 ) -> DataFrame:
-    """``_id, _page, ranges``: per document the runs that also stand earlier, as starts and ends.
+    """``_id, _page, ranges``: per document the runs that also stand earlier, as first and last sentences or words.
 
     One shuffle by hash finds the first place and the number of each run with partial aggregation; only
     hashes seen at more than one place are joined back to the places, when that shuffle's files are gone.
@@ -160,17 +190,12 @@ def repeated_runs(
     )
 
     def hashed(batch: pa.RecordBatch) -> Iterator[dict]:
-        texts = batch["_text"].to_pylist()
-        found = [runs_by_size(t, min_words, word_run) if word_run else runs(t, span, min_words) for t in texts]
-        offsets = pa.array(np.cumsum([0, *(len(f) for f in found)]), pa.int32())
-        hashes = np.frombuffer(b"".join(r[2] for f in found for r in f), _HASH)
-        columns = {
-            "at": pa.array([r[0] for f in found for r in f], pa.int32()),
-            "to": pa.array([r[1] for f in found for r in f], pa.int32()),
-            "h": pa.array(np.ascontiguousarray(hashes["h"])),
-            "g": pa.array(np.ascontiguousarray(hashes["g"])),
-        }
-        lists = {name: pa.ListArray.from_arrays(offsets, values) for name, values in columns.items()}
+        found = batch_runs(batch["_text"].to_pylist(), min_words, span, word_run)
+        ends = np.cumsum(np.bincount(found["text"], minlength=batch.num_rows))
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        kinds = {"at": np.int32, "to": np.int32, "h": np.int64, "g": np.int32}
+        numbers = {n: found[n].astype(np.uint32).view(k) if n == "g" else found[n].astype(k) for n, k in kinds.items()}
+        lists = {n: pa.ListArray.from_arrays(offsets, pa.array(x)) for n, x in numbers.items()}
         yield {"_id": batch["_id"], "_page": batch["_page"]} | lists
 
     schema = "_id long, _page long, at array<int>, to array<int>, h array<long>, g array<int>"
@@ -198,15 +223,15 @@ def drop_repeated_spans(
     docs: DataFrame,
     doc_id: str = "doc_id",
     text: str = "text",
-    span: int = SPAN,
     min_words: int = MIN_WORDS,
+    span: int | None = None,
     word_run: int | None = None,
 ) -> DataFrame:
-    """``docs`` without repeated sentences in ``text``; with ``word_run``, runs are taken by size, not by ``span``.
+    """``docs`` without repeated sentences in ``text``; with ``word_run`` also without repeated runs of so many words.
 
     Adds ``n_sentences``, ``n_removed`` and ``cuts`` (starts and ends, in characters, of what went).
     """
-    marks = repeated_runs(docs, doc_id, text, span, min_words, word_run)
+    marks = repeated_runs(docs, doc_id, text, min_words, span, word_run)
     keyed = docs.select(
         whole_row(docs).alias("row"),
         F.col(doc_id).cast("long").alias("id"),
@@ -219,7 +244,7 @@ def drop_repeated_spans(
     def cut(batch: pa.RecordBatch) -> Iterator[dict]:
         texts, ranges = batch["text"].to_pylist(), batch["ranges"].to_pylist()
         pairs = [[(x["at"], x["to"]) for x in r or []] for r in ranges]
-        done = [without(t, p) if t else (t, 0, 0, []) for t, p in zip(texts, pairs, strict=True)]
+        done = [without(t, characters(t, p)) if t else (t, 0, 0, []) for t, p in zip(texts, pairs, strict=True)]
         yield {
             "row": batch["row"],
             "kept": pa.array([d[0] for d in done], pa.string()),
