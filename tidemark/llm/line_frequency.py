@@ -16,10 +16,8 @@ from tidemark.llm.common import digest16, unpacked, whole_row
 
 #: A line is boilerplate on more than this share of its site's pages, ...
 RATIO = 0.08
-#: ... and on at least this many of them; a line of a tiny site proves nothing.
-MIN_PAGES = 10
-#: Pages that show that a line repeats at all: with it the ratio decides on sites of every size.
-REPEATED = 2
+#: ... if it repeats at all: apart from that the ratio decides on sites of every size.
+MIN_PAGES = 2
 
 
 def _lines(text: Column) -> Column:

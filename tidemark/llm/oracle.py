@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.llm.decontamination import WIDTH
-from tidemark.llm.line_frequency import MIN_PAGES, RATIO
+from tidemark.llm.line_frequency import RATIO
 from tidemark.llm.spelling import MIN_COUNT, MIN_LENGTH, SLIP_EVERY
 from tidemark.llm.spelling import RATIO as VARIANT_RATIO
 
@@ -19,7 +19,7 @@ with pages as (
   select h.host, h.line
   from holds h join per_host t on h.host is not distinct from t.host
   where h.line <> '' group by h.host, h.line, t.total
-  having count(*) >= {MIN_PAGES} and count(*) > {RATIO}::double * t.total
+  having count(*) > 1 and count(*) > {RATIO}::double * t.total
 ), parts as (
   select d.doc_id, d.host, u.at, u.line, b.line is not null as gone
   from (select doc_id, source as host, row_number() over () as nr, string_split(text, chr(10)) as lines
