@@ -367,14 +367,15 @@ def forecast_totals(forecast: DataFrame, plans: Sequence[str] | None = None, n:
     recent = last_days(forecast, n)
     if plans is not None:
         recent = recent.where(F.col("series_id").isin(*plans))
-        needed = F.lit(len(plans))
-        sums = recent.groupBy("ds")
-    else:
-        needed, sums = F.lit(recent.select("series_id").distinct().count()), recent.groupBy("ds")
-    totals = sums.agg(
+    totals = recent.groupBy("ds").agg(
         F.count(F.lit(1)).alias("_plans"),
         *[whole_part(F.sum(c), "int").alias(f"total_{c.replace('yhat_', '')}") for c in ("yhat", "yhat_lower", "yhat_upper")],
     )
+    if plans is not None:
+        needed = F.lit(len(plans))
+    else:  # one row, joined to the days, so that the count is part of the plan
+        number = recent.agg(F.countDistinct("series_id").alias("_needed"), F.lit(1).alias("_one"))
+        totals, needed = totals.withColumn("_one", F.lit(1)).join(F.broadcast(number), "_one"), F.col("_needed")
     return totals.where(F.col("_plans") >= needed).select(
         F.col("ds").alias("day"), dashboard_day("ds").alias("ds"), "total_yhat", "total_lower", "total_upper"
     )

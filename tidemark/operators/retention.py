@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.predicates import RETENTION_YEARS, is_expired, is_retained, is_withdrawn
 from tidemark.functions.scalars import MASKED_NAME, MASKED_PHONE, keyed_token, random_token
-from tidemark.sources.sinks import append_new
+from tidemark.sources.keyed import KeyedTable
 
 
 def transfer_rows(
@@ -98,13 +98,14 @@ def run_retention(
     """Transfer, mask the main table, mask the store; return the three row counts.
 
     Masked tables go to new paths, to be swapped in by ``publish_snapshot``. Each
-    step can be run again: transfer adds unseen ids only, masking skips masked rows.
+    step can be run again: transfer adds unseen ids only, as the store is a ``KeyedTable``, and masking skips masked
+    rows.
     """
-    spark = payments.sparkSession
-    moved = append_new(transfer_rows(members, payments, base_time), store_path, "id", ["created_at"])
-    stored = spark.read.schema(payments.schema).parquet(store_path)
+    store = KeyedTable(payments.sparkSession, store_path, "id")
+    moved = store.append(transfer_rows(members, payments, base_time), ["created_at"])
+    stored = store.read(payments.schema)
     counts = {
-        "transferred": moved,
+        "transferred": moved.rows,
         "masked_main": rows_due(payments, members, base_time).count(),
         "masked_store": rows_due(stored, None, base_time).count(),
     }
