@@ -7,11 +7,14 @@ symmetric difference is at most D, fixed per band of sizes; of D + 1 + e blocks
 document can only be linked through its blocks that another one shares, needs 1 + e of those, and may leave
 out the e most frequent (every document leaves out by the same order, so one block in common remains).
 
-Equal sets are one class from the start. In each bucket of equal blocks the members are verified against
-one of them; members that this joins need no further check. After some rounds of that, what is still in different
-components is compared with one center per bucket, and members meet again only if the parities that they
-flip against it share enough (``prefixes``); those pairs are verified. So every link between components is
-found, but a group of near copies costs about one check per member and not one per pair.
+Equal sets are one class from the start. In star rounds each document is verified against one member of one of its
+buckets of equal blocks, so a round has one pair a document; what this joins needs no further check. Then most
+documents have a pivot, a document that they are linked to at a known distance. A bucket that still holds several
+components is first compared by its pivots, as Jaccard distances obey the triangle inequality: members of two pivots can
+be linked only if these are about as near as well. Only the members of pivots that are go on to the last step. In both
+steps what is compared meets again only if the parities that it flips against one center of its bucket share enough
+(``prefixes``); those pairs are verified. So every link between components is found, but a group of near copies
+costs about one check per member and not one per pair.
 
 Defined results: null and empty texts and texts of white space have no shingles and no links. Shingles are
 64-bit hashes. Rows that share an id are one document to the join: what one links to, all do. Rows with a
@@ -33,7 +36,7 @@ from tidemark.llm.components import components
 from tidemark.llm.hashing import BASE, LETTERS, mix, span_hashes
 from tidemark.session import discard, materialize
 
-#: Rounds that verify a bucket against one member before the rest is split by differences.
+#: Rounds that verify each document against a member of one of its buckets.
 STAR_ROUNDS = 2
 #: Members of a bucket whose pairs are taken as they are.
 FEW = 8
@@ -156,14 +159,15 @@ def _sketches(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 def _shared_blocks(first: DataFrame) -> DataFrame:
-    """``key, id, n``: blocks through which a document can be linked.
+    """``key, id, n``: blocks through which a document can be linked, each held by two at least.
 
     A shuffle of 32-bit keys alone finds which occur twice; only those are shuffled with their documents.
     """
     each = first.select("id", F.explode(F.flatten(F.transform("sketches", lambda s: s["keys"]))).alias("key"))
-    short = F.shiftright("key", 32).cast("int").alias("short")
-    twice = each.select(short).groupBy("short").agg(F.count("*").alias("c")).where("c > 1").select("short")
-    maybe = materialize(each.select("id", "key", short).join(twice.hint("shuffle_hash"), "short").drop("short"), "blocks")
+    short = F.shiftright("key", 32).cast("int")
+    twice = each.select(short.alias("short")).groupBy("short").agg(F.count("*").alias("c")).where("c > 1").select("short")
+    # The short key is worked out on either side of the exchange and not sent beside the key.
+    maybe = materialize(each.join(twice.hint("shuffle_hash"), short == F.col("short")).drop("short"), "blocks")
     release(first.sparkSession)
     counts = maybe.groupBy("key").agg(F.count("*").alias("c")).where("c > 1")
     about = first.select("id", "n", F.explode("sketches").alias("s")).select(
@@ -212,7 +216,10 @@ def _beside(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[int, int,
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The rows of ``pairs`` (a, b) that link. Each b meets a copy of a's set, shared by a bounded number."""
+    """The rows of ``pairs`` (a, b) that link, with their distance ``apart`` (the least, if an id has several sets).
+
+    Each b meets a copy of a's set, shared by a bounded number.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for met in _beside(batches):
@@ -220,14 +227,63 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             for a, b, hashes, held in met:
                 for other in held:
                     both = len(np.intersect1d(hashes, other, assume_unique=True))
-                    if den * both >= num * (len(hashes) + len(other) - both):
-                        linked.append((a, b))
-                        break
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in linked], pa.int64()) for i in (0, 1)], names=["a", "b"]
-            )
+                    union = len(hashes) + len(other) - both
+                    if den * both >= num * union:
+                        linked.append((a, b, 1.0 - both / union))
+            kinds = [("a", pa.int64()), ("b", pa.int64()), ("apart", pa.float64())]
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in linked], t) for i, (_, t) in enumerate(kinds)], names=[n for n, _ in kinds])
+
+    return _met(pairs, sets).mapInArrow(run, "a long, b long, apart double").groupBy("a", "b").agg(F.min("apart").alias("apart"))
+
+
+def _pivots(edges: DataFrame, sets: DataFrame, reach: float) -> DataFrame:
+    """``node, pivot, apart``: documents linked to a hub at a distance of ``reach`` at most.
 
-    return _met(pairs, sets).mapInArrow(run, "a long, b long").distinct()
+    A hub has more links than each document that it is linked to (ties: the smaller id). Ids that stand for several sets are left
+    out, as their least distances obey no triangle inequality.
+    """
+    several = sets.groupBy(F.col("id").alias("s")).agg(F.count("*").alias("c")).where("c > 1").select("s")
+    plain = edges.where(F.col("apart") <= reach).join(several, F.col("a") == F.col("s"), "left_anti").join(several, F.col("b") == F.col("s"), "left_anti")
+    near = materialize(plain.union(plain.select("b", "a", "apart")).toDF("x", "y", "apart"), "near")
+    degrees = near.groupBy(F.col("x").alias("node")).agg(F.count("*").alias("links"))
+    rank = F.struct(F.col("links"), (-F.col("y")).alias("m"), F.col("y"), F.col("apart"))
+    best = near.join(degrees, F.col("y") == F.col("node")).groupBy("x").agg(F.max(rank).alias("best"))
+    best = best.join(degrees, F.col("x") == F.col("node")).select(
+        "x", "best", (F.struct("best.links", "best.m") > F.struct(F.col("links"), (-F.col("x")).alias("m"))).alias("led")
+    )
+    best = materialize(best, "best")
+    hubs = best.where("not led").select(F.col("x").alias("hub"))
+    return best.where("led").join(hubs, F.col("best.y") == F.col("hub")).select(F.col("x").alias("node"), F.col("hub").alias("pivot"), F.col("best.apart").alias("apart"))
+
+
+def _still_mixed(buckets: DataFrame) -> DataFrame:
+    """The rows of ``buckets`` (key, id, c), once each, whose key has several components, with their ``members``."""
+    rows = buckets.select("key", "id", "c").distinct()
+    mixed = rows.groupBy("key").agg(F.count("*").alias("members"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    return rows.join(mixed.where("lo < hi").select("key", "members"), "key")
+
+
+def _last_pairs(mixed: DataFrame, edges: DataFrame | None, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``a, b``: pairs of ids of the buckets ``mixed`` (key, id, c) that can link and are in different components."""
+    if edges is not None:
+        limit = 1 - num / den
+        pivots = materialize(_pivots(edges, sets, min(limit, num / den / 3)), "pivots")
+        radii = pivots.groupBy(F.col("pivot").alias("of")).agg(F.max("apart").alias("radius"))
+        widest = pivots.agg(F.max("apart")).first()[0] or 0.0
+        led = mixed.join(pivots.withColumnRenamed("apart", "off"), F.col("id") == F.col("node"), "left")
+        led = materialize(led.select("key", "id", "c", F.coalesce("pivot", "id").alias("pivot"), F.coalesce("off", F.lit(0.0)).alias("off")), "led")
+        by_pivot = materialize(_still_mixed(led.select("key", F.col("pivot").alias("id"), "c")), "by-pivot")
+        loose = int((num / den - 2 * widest) * 1000) - 1
+        close = _verify(_apart_pairs(by_pivot, sets, loose, 1000).distinct(), sets, loose, 1000)
+        for side in ("a", "b"):
+            own = radii.select(F.col("of").alias(f"of_{side}"), F.col("radius").alias(f"radius_{side}"))
+            close = close.join(own, F.col(side) == F.col(f"of_{side}"), "left").na.fill(0.0, [f"radius_{side}"])
+        # Members of two pivots are at most their own distances from these nearer than the pivots are.
+        close = materialize(close.where(F.col("apart") <= F.col("radius_a") + F.col("radius_b") + limit + 1e-9), "close")
+        least = [F.struct(F.col(p).alias("p"), (F.col("apart") - F.col(f"radius_{q}") - limit - 1e-9).alias("least")) for p, q in ("ab", "ba")]
+        least = close.select(F.explode(F.array(*least)).alias("s")).groupBy("s.p").agg(F.min("s.least").alias("least"))
+        mixed = led.join(least, (F.col("pivot") == F.col("p")) & (F.col("off") >= F.col("least")))
+    return _apart_pairs(materialize(_still_mixed(mixed), "mixed"), sets, num, den)
 
 
 def prefixes(center: np.ndarray, hashes: np.ndarray, num: int, den: int) -> tuple[bool, int, np.ndarray, int, int]:
@@ -321,39 +377,45 @@ def link_components(
     sets = materialize(map_arrow(texts, set_rows, "id long, hashes binary"), "sets")
 
     edges = checked = None
-    found = shared.select(F.col("id").alias("node"), F.col("id").alias("component")).limit(0)
+    found = docs.sparkSession.createDataFrame([], "node long, component long")
     for turn in range(STAR_ROUNDS + 1):
         buckets = shared.join(found, F.col("id") == F.col("node"), "left").select(
             "key", "id", "n", F.coalesce("component", "id").alias("c")
         )
-        order = F.col("c") if turn == 0 else F.xxhash64("c", F.lit(turn))
-        mixed = buckets.groupBy("key").agg(
-            F.min(F.struct(order.alias("o"), "id", "n", "c")).alias("center"), F.min("c").alias("lo"), F.max("c").alias("hi"),
-            F.count("*").alias("members"),
-        )
-        mixed = mixed.where("lo < hi")
+        if turn == 0:  # each document is a component of its own
+            centers = shared.groupBy("key").agg(F.min(F.struct("id", "n", F.col("id").alias("c"))).alias("center"))
+        else:
+            order = F.struct(F.xxhash64("c", F.lit(turn)).alias("o"), "id", "n", "c")
+            mixed = buckets.groupBy("key").agg(F.min(order).alias("center"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+            centers = mixed.where("lo < hi").select("key", "center")
         if turn < STAR_ROUNDS:
-            pairs = buckets.join(mixed, "key").where("c <> center.c").select("center.id", "center.n", "id", "n")
-            pairs = pairs.toDF("x", "nx", "y", "ny").where(
-                (F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num) & (F.col("x") != F.col("y"))
-            )
+            # One bucket a document: of copies most buckets are alike, so any serves as well as the others.
+            one = F.min_by(F.struct("key", "n", "c"), F.xxhash64("key", "id", F.lit(turn))).alias("b")
+            apart = centers.select(F.col("key").alias("k"), F.col("center.c").alias("cc"))
+            rows = buckets if turn == 0 else buckets.join(apart, F.expr("key = k and c <> cc"))
+            chosen = rows.groupBy("id").agg(one).select("id", "b.*")
+            pairs = chosen.join(centers, "key").select("center.id", "center.n", "id", "n").toDF("x", "nx", "y", "ny")
+            pairs = pairs.where((F.least("nx", "ny") * den >= F.greatest("nx", "ny") * num) & (F.col("x") != F.col("y")))
             # The smaller id is the one that is copied to its pairs: originals come before their copies.
             pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         else:
-            left = materialize(buckets.join(mixed.select("key", "members"), "key"), "mixed")
-            pairs = _apart_pairs(left, sets, num, den)
+            left = materialize(_still_mixed(buckets), "left")
+            if left.isEmpty():
+                break
+            pairs = _last_pairs(left.select("key", "id", "c"), edges, sets, num, den)
         pairs = pairs.distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         if pairs.isEmpty():
-            break
+            continue
         new = materialize(_verify(pairs, sets, num, den), "edges")
         edges = new if edges is None else edges.union(new)
         checked = pairs if checked is None else checked.union(pairs)
         if not new.isEmpty():
-            found = materialize(components(edges), "components")
+            found = materialize(components(edges.select("a", "b")), "components")
         release(docs.sparkSession)
+    discard(shared, sets, *([edges, checked] if edges is not None else []))
     # By class: its head's component; the component's name is its smallest id.
     heads = alike.join(found, F.col("head") == F.col("node"), "left").select(
         F.col("digest").alias("d"), F.coalesce("component", "head").alias("component_id")
