@@ -43,8 +43,8 @@ LENGTH, GRAM = 100, 32
 RUN, RANGE = 100_000, 60_000
 #: Documents, and anchors of each, that the ranges' limits are taken from.
 SAMPLED, SAMPLED_EACH = 1_000, 40
-#: Bytes of a text whose anchors are found at once.
-SEGMENT = 4 << 20
+#: Bytes of a text whose anchors are found at once, and anchors whose suffixes are cut out at once.
+SEGMENT, SLICE = 4 << 20, 20_000
 
 _BACK = LENGTH - GRAM  # most bytes of a window before its anchor
 _WIDTH = LENGTH + _BACK
@@ -219,13 +219,23 @@ class _Run:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, doc: int, page: bytes, data: np.ndarray, keys: np.ndarray) -> None:
+    def add(self, doc: int, page: bytes, data: np.ndarray, keys: np.ndarray) -> Iterator[None]:
+        """Gather the suffixes of a text; stops whenever the run is full, for the caller to send it and clear it.
+
+        A repetitive text has an anchor at every byte, so the suffixes are cut out slice by slice.
+        """
         place, first, last, grams = anchors(data)
         chosen = np.isin(grams.view(np.int64), keys)
         place, first, last = place[chosen], first[chosen], last[chosen]
-        self.parts.append((suffix_rows(data, place, first, last), np.full(len(place), len(self.docs)), place, place - last, place - first))
-        self.docs.append((doc, page))
-        self.size += len(place)
+        for at in range(0, len(place), min(RUN, SLICE)):
+            a, b, c = (x[at : at + min(RUN, SLICE)] for x in (place, first, last))
+            low = max(0, int(a[0]) - _BACK)
+            near = data[low : int(a[-1]) + LENGTH]
+            self.parts.append((suffix_rows(near, a - low, b - low, c - low), np.full(len(a), len(self.docs)), a, a - c, a - b))
+            self.docs.append((doc, page))
+            self.size += len(a)
+            if self.size >= RUN:
+                yield
 
     def sent(self) -> Iterator[tuple[int, bytes | None, int | None, bytes | None, int | None, int | None]]:
         """Rows (range, run) for the merge, and (document, start, end) of what repeats within the run itself."""
@@ -366,8 +376,7 @@ def repeated_spans(held: DataFrame, limits: np.ndarray) -> DataFrame:
         for batch in batches:
             for doc, page, text, keys in zip(*[batch[c] for c in ("id", "page", "text", "keys")], strict=True):
                 data = np.frombuffer(text.as_py().encode("utf-8"), np.uint8)
-                run.add(doc.as_py(), page.as_py(), data, keys.values.to_numpy())
-                if run.size >= RUN:
+                for _ in run.add(doc.as_py(), page.as_py(), data, keys.values.to_numpy()):
                     yield as_batch(list(run.sent()))
                     run.clear()
         yield as_batch(list(run.sent()))
