@@ -2,12 +2,14 @@
 
 Vectors are dealt to shards by a hash; each shard builds a graph, and every vector searches every shard's.
 A beam that is full of vectors above the threshold is widened for that query until its end is below it. The
-width that all queries start with is audited: for a sample, brute force over all rows says how many links
-there are, and the width doubles until enough of them are found. What is found is verified by its cosine in
-double precision, counted per vector, and joined to components through a spanning forest of each task.
-
-Defined results: vectors that are null, empty, zero or hold null or non-finite components, and vectors
-whose number of components differs from the most frequent one, link with nothing. Equal vectors are one
+width that all queries start with is audited: for a sample of all vectors, and one of vectors for which few links were
+found, brute force over all rows says how many links there are, and the width doubles until enough of each vector's
+are found, on the average over the linked ones of either sample. So a large group cannot hide what small ones miss. What
+is found is verified by its cosine in double precision, counted per vector, and joined to components through a spanning
+forest of each task. Vectors with different numbers of components have graphs of their own.
+
+Defined results: vectors that are null, empty, zero or hold null or non-finite components link with nothing, and vectors
+with different numbers of components do not link with each other. Equal vectors are one
 node of a graph and link with each other. Rows that share an id are one to the components; each gets its
 row. Rows with a null id have no links, no component and aren't kept. Other columns are not read.
 """
@@ -15,6 +17,7 @@ row. Rows with a null id have no links, no component and aren't kept. Other colu
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,12 +26,12 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import bound_batches, map_arrow
 from tidemark.llm.components import components
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 #: Links chosen for a new node (as many places are kept for links back), and the beam that chooses them.
 DEGREE, BUILD_BEAM = 10, 40
-#: First beam of a search, share of the links that an audit must find, vectors audited.
-BEAM, RECALL, AUDITED = 16, 0.995, 400
+#: First beam of a search, share of its links that an audit must find of a vector, vectors of a sample, and links that are few.
+BEAM, RECALL, AUDITED, FEW_LINKS = 16, 0.995, 400, 3
 #: Shards at least, vectors of a shard at most, queries that one task runs, about.
 SHARDS, SHARD_SIZE, TASK_QUERIES = 8, 200_000, 20_000
 #: Queries searched side by side, and beam entries expanded at once.
@@ -331,8 +334,8 @@ def _out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["kind", "a", "b"])
 
 
-def _brute_links(nodes: DataFrame, sample: list[tuple[int, bytes]], dim: int, least: float) -> int:
-    """Number of vectors linked to the sampled ones, by comparing these with all rows."""
+def _brute_links(nodes: DataFrame, sample: list[tuple[int, bytes]], dim: int, least: float) -> dict[int, int]:
+    """Number of vectors linked to each sampled one, by comparing these with all rows."""
     ids = np.array([r[0] for r in sample], np.int64)
     q = np.frombuffer(b"".join(r[1] for r in sample), np.float64).reshape(-1, dim)
     q_norms = np.sqrt((q * q).sum(1))
@@ -340,38 +343,56 @@ def _brute_links(nodes: DataFrame, sample: list[tuple[int, bytes]], dim: int, le
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
         x, own, sizes = _rows(batch["v"], dim), batch["id"].to_numpy(), batch["size"].to_numpy()
         cosines = (x @ q.T) / np.outer(np.sqrt((x * x).sum(1)), q_norms)
-        hits = (cosines >= least) & (own[:, None] != ids[None])
-        yield {"n": pa.array([int((hits * sizes[:, None]).sum())], pa.int64())}
-
-    return map_arrow(nodes, run, "n long").agg(F.sum("n")).first()[0] or 0
+        hits = ((cosines >= least) & (own[:, None] != ids[None])) * sizes[:, None]
+        linked = np.flatnonzero(hits.any(0))
+        yield {"id": pa.array(ids[linked]), "n": pa.array(hits[:, linked].sum(0).astype(np.int64))}
+
+    return dict(map(tuple, map_arrow(nodes, run, "id long, n long").groupBy("id").agg(F.sum("n")).collect()))
+
+
+def _enough(nodes: DataFrame, counted: DataFrame, dim: int, least: float) -> bool:
+    """Whether either sample's linked vectors have ``RECALL`` of their links among the ``counted`` (id, linked)."""
+    every = nodes.join(counted, F.col("id") == F.col("l_id"), "left").select("id", "v", F.coalesce("linked", F.lit(0)).alias("linked"))
+    for rows in (every, every.where(F.col("linked").between(1, FEW_LINKS))):
+        sample = rows.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(AUDITED).collect()
+        if not sample:
+            continue
+        true = _brute_links(nodes, [(r["id"], bytes(r["v"])) for r in sample], dim, least)
+        shares = [min(1.0, r["linked"] / true[r["id"]]) for r in sample if r["id"] in true]
+        if shares and np.mean(shares) < RECALL:
+            return False
+    return True
+
+
+def linked_vectors(nodes: DataFrame, dim: int, least: float) -> DataFrame:
+    """What ``search_graphs`` finds for all ``nodes`` (v, id, size), distinct vectors of ``dim`` components, written."""
+    shards = max(SHARDS, -(-nodes.count() // SHARD_SIZE))
+    graphs, beam = materialize(build_graphs(nodes, dim, shards), "graphs"), BEAM
+    while True:
+        found = materialize(search_graphs(graphs, nodes.select("id", "v"), dim, shards, beam, least), "found")
+        counted = found.where("kind = 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("b").alias("linked"))
+        if beam >= SHARD_SIZE or _enough(nodes, counted, dim, least):
+            discard(graphs)
+            return found
+        discard(found)
+        beam *= 2
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row."""
-    spark = vectors.sparkSession
     rows = usable(vectors, vec_id, embedding)
-    sizes = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
+    # A vector that is alone with its number of components has no partner.
+    dims = rows.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").orderBy("dim").collect()
     everyone = vectors.select(F.col(vec_id).cast("long").alias("vec_id"))
-    if not sizes:
+    if not dims:
         return everyone.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept"))
-    dim = sizes[0]["dim"]
-    rows = rows.where(F.size("v") == dim)
-    nodes = materialize(_as_bytes(rows.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("size"))), "vectors")
-    n = nodes.count()
-    shards = max(SHARDS, -(-n // SHARD_SIZE))
-    graphs = materialize(build_graphs(nodes, dim, shards), "graphs")
-
-    audited = nodes.orderBy(F.xxhash64("id", F.lit(2)), "id").limit(AUDITED).select("id", "v")
-    sample = [(r["id"], bytes(r["v"])) for r in audited.collect()]
-    true, beam = _brute_links(nodes, sample, dim, least), BEAM
-    while true and beam < SHARD_SIZE:
-        asked = spark.createDataFrame(sample, "id long, v binary")
-        found = search_graphs(graphs, asked, dim, shards, beam, least).where("kind = 0").agg(F.sum("b")).first()[0] or 0
-        if found >= RECALL * true:
-            break
-        beam *= 2
-
-    found = materialize(search_graphs(graphs, nodes.select("id", "v"), dim, shards, beam, least), "found")
+    parts = []
+    for dim in (r["dim"] for r in dims):
+        own = rows.where(F.size("v") == dim).groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("size"))
+        nodes = materialize(_as_bytes(own), "vectors")
+        parts.append(linked_vectors(nodes, dim, least))
+        discard(nodes)
+    found = reduce(DataFrame.union, parts)
     links = found.where("kind = 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("b").alias("linked"))
     # Members of a class hang on its smallest id; rows that share an id share a node.
     raw = rows.select("id", "v").join(
