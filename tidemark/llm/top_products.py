@@ -5,8 +5,9 @@ that the first coordinates hold most of the length; the partial product of those
 residual lengths bounds the whole product (Cauchy-Schwarz), and what cannot reach a query's k-th best score
 is not multiplied out. The rotation only decides how much is pruned; scores are exact integers.
 
-Queries meet all vectors in cells of a query block and a vector group, both of bounded size. A first pass
-over the longest vectors gives each query a score to beat.
+Queries meet vectors in cells of a query block and a vector group, both of bounded size. Groups are ranges of lengths,
+from the longest on. A first pass over the longest vectors gives each query a score to beat; a group whose longest vector
+cannot beat the least of a block is not sent to it, and neither is the block.
 
 Defined results: vectors that are null or hold null or non-finite components take no part; shorter vectors
 count as padded with zeros. Of rows with an equal id the one with the smallest vector counts; rows with a
@@ -158,18 +159,17 @@ def top_products(vectors: DataFrame, k: int = 10, query_step: int = 100) -> Data
         "queries",
     )
 
-    # Each block takes of each group the vectors that are long enough for one of its queries.
+    # A block meets the groups, and of these the vectors, that are long enough for one of its queries.
     needs = ready.groupBy("block").agg(F.min(F.expr("if(norm > 0, beat / norm, if(beat > 0, double('inf'), double('-inf')))")).alias("length"))
-    dealt = rows.select(
-        *x, F.col("norm").alias("x_norm"),
-        F.pmod(F.xxhash64("id"), F.lit(groups)).alias("x_part"),
-        F.explode(_numbers(blocks)).alias("x_block"),
-    )
-    dealt = dealt.join(needs, F.col("x_block") == F.col("block")).where(F.col("x_norm") * (1 + 1e-9) + 1e-6 >= F.col("length"))
-    dealt = dealt.select("x_id", "x_v", "x_block", "x_part")
-    asked = ready.select(
-        "id", "v", "beat", "block", F.explode(_numbers(groups)).alias("part")
-    )
+    ranged = rows.repartitionByRange(groups, F.desc("norm"), "id").withColumn("x_part", F.spark_partition_id())
+    ranged = materialize(ranged.select(*x, F.col("norm").alias("x_norm"), "x_part"), "ranged")
+    tops = ranged.groupBy("x_part").agg(F.max("x_norm").alias("top")).select("*", F.explode(_numbers(blocks)).alias("x_block"))
+    enough = lambda norm: F.col(norm) * (1 + 1e-9) + 1e-6 >= F.col("length")
+    cells = tops.join(needs, F.col("x_block") == F.col("block")).where(enough("top")).select(F.col("x_part").alias("part"), "block", "length")
+    dealt = ranged.join(cells, F.col("x_part") == F.col("part")).where(enough("x_norm"))
+    dealt = dealt.select("x_id", "x_v", F.col("block").alias("x_block"), "x_part")
+    asked = ready.join(cells.select("part", F.col("block").alias("cell_block")), F.col("block") == F.col("cell_block"))
+    asked = asked.select("id", "v", "beat", "block", "part")
     best = asked.groupBy("block", "part").cogroup(dealt.groupBy("x_block", "x_part")).applyInArrow(cell, schema)
     place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
