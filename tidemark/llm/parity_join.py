@@ -337,19 +337,21 @@ def _apart_pairs(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
             names = ["center", "id", "n", "apart", "seeks", "found"]
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=names)
 
-    differ = materialize(_met(spokes, sets).mapInArrow(run, schema), "differ")
-    left = differ.select("id", "n", "apart", F.explode("seeks").alias("t")).select("id", "n", "apart", "t.key", "t.nth")
-    right = differ.select("id", "n", "apart", F.explode("found").alias("t")).select(
-        F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("apart").alias("apart2"), F.col("t.key").alias("key2"), F.col("t.nth").alias("nth2")
-    )
+    own = buckets.select("id", "c").distinct()
+    differ = _met(spokes, sets).mapInArrow(run, schema).join(own.withColumnRenamed("id", "of"), F.col("id") == F.col("of")).drop("of")
+    differ = materialize(differ, "differ")
+    left = differ.select("id", "n", "apart", "c", F.explode("seeks").alias("t")).select("id", "n", "apart", "c", "t.key", "t.nth")
+    right = differ.select("id", "n", "apart", "c", F.explode("found").alias("t")).select(
+        F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("apart").alias("apart2"), F.col("c").alias("c2"),
+        F.col("t.key").alias("key2"), F.col("t.nth").alias("nth2"),
+    )
     # What two sets share is at most what follows their first common place.
     least = F.col("apart") + F.col("apart2") - F.lit(den - num) / F.lit(den + num) * (F.col("n") + F.col("n2"))
     most = F.least(F.col("apart") - F.col("nth"), F.col("apart2") - F.col("nth2"))
     sized = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
-    met = left.join(right, (F.col("key") == F.col("key2")) & (F.col("id") != F.col("id2")) & sized & (2 * most >= least - 1e-6))
+    met = left.join(right, (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & sized & (2 * most >= least - 1e-6))
     sides = met.select(F.col("id").alias("x"), F.col("id2").alias("y")).union(spokes).union(plain)
     sides = sides.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    own = buckets.select("id", "c").distinct()
     sides = sides.join(own.toDF("oa", "ca"), F.col("a") == F.col("oa")).join(own.toDF("ob", "cb"), F.col("b") == F.col("ob"))
     return sides.where("ca <> cb").select("a", "b")
 
