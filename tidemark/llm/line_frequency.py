@@ -35,7 +35,7 @@ def boilerplate_lines(docs: DataFrame, text: str, host: str, ratio: float, min_p
     )
     totals = pages.groupBy("host", "page").agg(F.lit(1)).groupBy("host").agg(F.count("*").alias("n_host_pages"))
     lines = (
-        pages.select("host", "page", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), F.trim))).alias("line"))
+        pages.select("host", "page", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), lambda x: F.trim(x)))).alias("line"))
         .where("line <> ''")
         .select("host", "page", digest16(F.col("line")).alias("line_key"))
     )
@@ -68,7 +68,7 @@ def drop_site_lines(
         F.col(host).alias("_host"), digest16(F.col(text)).alias("_page"), _lines(F.col(text)).alias("_all")
     )
     held = pages.select(
-        "_host", "_page", F.explode(F.array_distinct(F.transform("_all", F.trim))).alias("_line")
+        "_host", "_page", F.explode(F.array_distinct(F.transform("_all", lambda x: F.trim(x)))).alias("_line")
     ).select("_host", "_page", digest16(F.col("_line")).alias("_key"))
     hit = held.join(flagged, F.col("_host").eqNullSafe(F.col("_f_host")) & (F.col("_key") == F.col("_f_key")))
     bad = hit.groupBy("_host", "_page").agg(F.collect_set("_key").alias("_bad"))
