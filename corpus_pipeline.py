@@ -4,7 +4,9 @@ Each stage takes what the one before kept, decides on all of it, and writes its
 All but the last return the columns of ``documents``; where a stage changes a text, ``n_chars`` follows.
 
 Defined results: every stage treats null and empty texts, repeated rows and null ids as its operator says; an
-empty table gives an empty table. Columns beyond those of ``documents`` are not carried on.
+empty table gives an empty table. Very long texts pass whole, white space and repetitive ones too. Of equal texts the
+smallest id stays, and of equal runs of sentences or words the first place in the order of ids. Columns beyond those of
+``documents`` are not carried on.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import line_frequency, packing, parity_join, quality, sentence_spans
 from tidemark.llm.common import table
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -69,8 +71,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written and read again; what a stage has read is deleted."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
