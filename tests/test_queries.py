@@ -11,7 +11,7 @@ from tidemark.plans.queries import QUERIES as CORE
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 SQL = {n: s for n, s in entry.oracle_sql().items() if n in CORE}
 QUERIES = {n: q for n, q in entry.queries().items() if n in CORE}
-FITS = {"volume_forecast", "dashboard_forecast", "user_segments"}
+FITS = {"volume_forecast", "volume_backtest", "dashboard_forecast", "user_segments"}
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +38,18 @@ def test_retention_invariant(spark):
     assert out.where("ret_0 <> user_count").isEmpty()
 
 
+@pytest.mark.parametrize("name,order", [("cohort_retention", ["cohort_month"]), ("weather_json_rows", ["ds", "region"])])
+def test_sorted_results_come_in_order(spark, name, order):
+    got = [tuple(r[c] for c in order) for r in QUERIES[name](spark, SF_DIR).collect()]
+    assert got == sorted(got) and len(got) > 1
+
+
+def test_volume_backtest_covers_its_cutoffs(spark):
+    out = QUERIES["volume_backtest"](spark, SF_DIR).toPandas()
+    assert (out["days"] <= 60).all() and (out["rmse"] >= out["mae"] - 1e-6).all() and out["inside"].between(0, 1).all()
+    assert out.groupby("series_id")["cutoff"].nunique().max() == 4
+
+
 def test_volume_forecast_shape(spark):
     out = QUERIES["volume_forecast"](spark, SF_DIR)
     per_series = {r["series_id"]: r["n"] for r in out.groupBy("series_id").count().toDF("series_id", "n").collect()}

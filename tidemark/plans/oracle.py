@@ -322,6 +322,10 @@ from {{personal_payments}}
 where {_GONE} and created_at >= timestamp '1996-08-01 00:00:00'
 qualify id % 97 <> 0 or row_number() over (partition by id % 97 order by created_at, user_id, paid_price) = 1
 """
+SQL["stream_transfers"] = f"""
+select id, user_id, cast(paid_price as double) as paid_price, created_at
+from {{personal_payments}} where {_GONE} and created_at >= timestamp '1996-08-01 00:00:00'
+"""
 _OLD = "created_at < timestamp '1996-08-01 00:00:00'"
 _UNMASKED = "user_name is distinct from '탈퇴회원'"
 

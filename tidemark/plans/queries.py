@@ -403,13 +403,17 @@ def transfer_withdrawn(spark, sf_dir):
     return edge(sinks.new_rows(retention.transfer_rows(members, paid, BASE_TIME), stored, "id", ["created_at"]))
 
 
-@query
-def transfer_twice(spark, sf_dir):
-    """Payments moved to a keyed table in three runs: the older half, the same again, all. Some have no id, some come twice."""
+def _due(spark, sf_dir):
+    """Payments to transfer, some of them twice."""
     members, paid = _members_payments(spark, sf_dir)
     due = retention.transfer_rows(members, paid, BASE_TIME).select("id", "user_id", "paid_price", "created_at")
-    due = due.withColumn("id", F.when(F.col("id") % 97 != 0, F.col("id")))
-    due = materialize(due.unionAll(due.where(F.col("id") % 13 == 0)), "due")
+    return due.unionAll(due.where(F.col("id") % 13 == 0))
+
+
+@query
+def transfer_twice(spark, sf_dir):
+    """Payments moved to a keyed table in three runs: the older half, the same again, all. Some have no id."""
+    due = materialize(_due(spark, sf_dir).withColumn("id", F.when(F.col("id") % 97 != 0, F.col("id"))), "due")
     half = due.where(F.col("created_at") < P.wall_time("1999-01-01 00:00:00"))
     table = keyed.KeyedTable(spark, scratch_path(spark, "transferred"), "id")
     order = ["created_at", "user_id", "paid_price"]
@@ -419,6 +423,19 @@ def transfer_twice(spark, sf_dir):
     return edge(table.read(due.withColumn("run", F.lit(1)).schema))
 
 
+@query
+def stream_transfers(spark, sf_dir):
+    """The same payments as a stream of three files, run again with a lost checkpoint, which replays all of them."""
+    names = "transfer-landing", "transfer-streamed", "transfer-state", "transfer-state"
+    landing, path, *checkpoints = (scratch_path(spark, n) for n in names)
+    due = _due(spark, sf_dir)
+    due.repartition(3, "user_id").write.parquet(landing)
+    for checkpoint in checkpoints:
+        stream = incremental.read_files_stream(spark, landing, due.schema, files_per_trigger=1)
+        incremental.stream_transfer(stream, path, checkpoint).awaitTermination()
+    return edge(keyed.KeyedTable(spark, path, "id").read(due.schema))
+
+
 @query
 def mask_expired(spark, sf_dir):
     members, paid = _members_payments(spark, sf_dir)
