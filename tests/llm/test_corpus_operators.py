@@ -429,6 +429,29 @@ def test_groups_of_copies_whose_originals_share_a_passage(spark, monkeypatch, fe
         assert 1 < len(set(got.values())) < 80
 
 
+def test_far_copies_that_share_a_passage_meet_by_what_is_rare(spark):
+    """Far from the center, but only copies of copies are near each other: a passage that all hold brings no pairs."""
+    rng, new = random.Random(23), iter(range(10**6, 10**9))
+    center, passage = list(range(200)), list(range(1000, 1030))
+    sets = {0: center}
+    for i in range(1, 300):
+        if i % 10:
+            sets[i] = rng.sample(center, 176) + passage + [next(new) for _ in range(28)]
+        else:  # links with the one before
+            sets[i] = rng.sample(sets[i - 1], 230) + [next(new) for _ in range(4)]
+    hashed = {i: np.sort(hashing.mix(np.array(s, np.uint64))) for i, s in sets.items()}
+    frame = spark.createDataFrame([(i, h.tobytes()) for i, h in hashed.items()], "id bigint, hashes binary")
+    # The center is the one that is in all three buckets.
+    buckets = [(1, i) for i in sets] + [(2, i) for i in range(20)] + [(3, i) for i in (0, *range(20, 40))]
+    size = {1: 300, 2: 20, 3: 21}
+    buckets = spark.createDataFrame([(k, size[k], i, i) for k, i in buckets], "key bigint, members bigint, id bigint, c bigint")
+    got = {(r["a"], r["b"]) for r in parity_join._apart_pairs(buckets, frame, 80, 100).collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and 5 * len({*sets[a]} & {*sets[b]}) >= 4 * len({*sets[a]} | {*sets[b]})}
+    assert links == {(i - 1, i) for i in range(10, 300, 10)}
+    assert links <= got
+    assert len(got) <= 299 + 2 * len(links)  # all meet the center
+
+
 def test_sketches_differ_in_at_most_the_symmetric_difference():
     rng = np.random.default_rng(1)
     a = hashing.mix(rng.integers(0, 1 << 62, 500).astype(np.uint64))

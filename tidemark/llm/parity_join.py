@@ -286,29 +286,43 @@ def _last_pairs(mixed: DataFrame, edges: DataFrame | None, sets: DataFrame, num:
     return _apart_pairs(materialize(_still_mixed(mixed), "mixed"), sets, num, den)
 
 
-def prefixes(center: np.ndarray, hashes: np.ndarray, num: int, den: int) -> tuple[bool, int, np.ndarray, int, int]:
-    """(near, size of the difference, it in order, its prefix for far partners, for near ones).
+def prefixes(center: np.ndarray, hashes: np.ndarray, num: int, den: int) -> tuple[bool, np.ndarray, int, int]:
+    """(near, the difference, length of its prefix for far partners, for near ones).
 
     Near sets link with the center, far ones do not. Let d be the sizes of two sets' differences from the center
     and r = (den - num) / (den + num). A link bounds the sets' own difference by r times the sum of their sizes,
     so their differences from the center share (d1 + d2 - r (n1 + n2)) / 2 or more, and two sets that share s
     have one in common in their first d - s + 1 of any order. Against a far set s is above (d + r (nc - n)) / 2;
-    a far set shares at least (d - r (n + nc)) / 2, which is above 0, with any. New shingles come before lost ones,
-    as all copies lose from the same center. Two near sets are in one component by the center.
+    a far set shares at least (d - r (n + nc)) / 2, which is above 0, with any. Two near sets are in one component by
+    the center.
     """
-    new, lost = np.setdiff1d(hashes, center, assume_unique=True), np.setdiff1d(center, hashes, assume_unique=True)
-    apart, p, q = len(new) + len(lost), den - num, den + num
+    differ, p, q = np.setxor1d(center, hashes, assume_unique=True), den - num, den + num
+    apart = len(differ)
     near = q * apart <= p * (len(hashes) + len(center))
     for_far = apart - (q * apart + p * (len(center) - len(hashes))) // (2 * q)
     for_near = 0 if near else apart + 1 + (p * (len(hashes) + len(center)) - q * apart) // (2 * q)
-    return near, apart, np.r_[new, lost], for_far, for_near
+    return near, differ, for_far, for_near
+
+
+def _rare_first(differ: DataFrame) -> DataFrame:
+    """The rows of ``differ`` once per shingle that another one holds as well, with its place ``nth``.
+
+    The more sets differ from a center in a shingle, the later it comes (ties: the smaller key first). What only one
+    holds is in no pair, but takes the first places, so that prefixes are mostly made of it.
+    """
+    each = differ.withColumn("key", F.explode("keys")).drop("keys")
+    held = each.groupBy(F.col("key").alias("shared")).agg(F.count("*").alias("held")).where("held > 1")
+    last = Window.partitionBy("id", "row").orderBy(F.desc("held"), F.desc("key"))
+    # Rows that are equal get equal places.
+    ranked = each.join(held, F.col("key") == F.col("shared")).withColumn("nth", F.col("apart") - F.dense_rank().over(last))
+    return ranked.where("nth < greatest(for_far, for_near)").drop("shared", "held")
 
 
 def _apart_pairs(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """``a, b``: pairs of ids that can link, of ``buckets`` (key, members, id, c) with members in several components c.
 
     All pairs of a bucket of few ``members``; those of a larger one are compared with one of them, the center, and
-    meet again only by what they differ in.
+    meet again only by what they differ in, the rarest first.
     The member of the most buckets is the center, so that few centers do.
     """
     few, many = (buckets.where(rule).select("key", "id") for rule in (f"members <= {FEW}", f"members > {FEW}"))
@@ -317,39 +331,42 @@ def _apart_pairs(buckets: DataFrame, sets: DataFrame, num: int, den: int) -> Dat
     center = F.max_by("id", F.struct("held", F.xxhash64("id"))).alias("a")
     centers = many.join(held, F.col("id") == F.col("of")).groupBy("key").agg(center)
     spokes = many.join(centers, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    kind = "array<struct<key: bigint, nth: int>>"
-    schema = f"center long, id long, n long, apart long, seeks {kind}, found {kind}"
-    rows = pa.list_(pa.struct([("key", pa.int64()), ("nth", pa.int32())]))
+    schema = "id long, row long, n long, near boolean, apart long, for_far long, for_near long, keys array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for met in _beside(batches):
-            out = []
+            out, keys = [], [np.zeros(0, np.int64)]
             for a, b, hashes, others in met:
                 for other in others:
-                    near, apart, tokens, for_far, for_near = prefixes(other, hashes, num, den)
-                    # Far sets meet far ones under one key, near ones under another; an id may stand for several sets.
+                    near, tokens, for_far, for_near = prefixes(other, hashes, num, den)
+                    # An id may stand for several sets: a key belongs to a center's set, a row to that and a member's set.
                     about = mix(np.bitwise_xor.reduce(mix(other), keepdims=True) + _U(a & (2**64 - 1)))
-                    ends = (0, for_far) if near else (for_far, for_near)
-                    keys = [mix(tokens[:n] ^ mix(about + _U(i))).view(np.int64).tolist() for i, n in enumerate(ends)]
-                    parts = [[{"key": k, "nth": i} for i, k in enumerate(x)] for x in keys]
-                    out.append((a, b, len(hashes), apart, parts[1] if near else parts[0], [] if near else parts[0] + parts[1]))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), rows, rows]
-            names = ["center", "id", "n", "apart", "seeks", "found"]
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], names=names)
+                    row = mix(np.bitwise_xor.reduce(mix(hashes), keepdims=True) + about).view(np.int64)[0]
+                    out.append((b, row, len(hashes), near, len(tokens), for_far, for_near))
+                    keys.append(mix(tokens ^ mix(about)).view(np.int64))
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
+            ends = pa.array(np.cumsum([len(x) for x in keys]), pa.int32())
+            arrays = [pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)]
+            arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(keys))))
+            names = ["id", "row", "n", "near", "apart", "for_far", "for_near", "keys"]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     own = buckets.select("id", "c").distinct()
     differ = _met(spokes, sets).mapInArrow(run, schema).join(own.withColumnRenamed("id", "of"), F.col("id") == F.col("of")).drop("of")
     differ = materialize(differ, "differ")
-    left = differ.select("id", "n", "apart", "c", F.explode("seeks").alias("t")).select("id", "n", "apart", "c", "t.key", "t.nth")
-    right = differ.select("id", "n", "apart", "c", F.explode("found").alias("t")).select(
+    placed = materialize(_rare_first(differ), "placed")
+    # Any set seeks far ones: a near one in their longer prefixes, of two far ones the smaller id in the shorter ones.
+    left = placed.where("nth < for_far").select("id", "n", "near", "apart", "c", "key", "nth")
+    right = placed.where("not near").select(
         F.col("id").alias("id2"), F.col("n").alias("n2"), F.col("apart").alias("apart2"), F.col("c").alias("c2"),
-        F.col("t.key").alias("key2"), F.col("t.nth").alias("nth2"),
+        F.col("key").alias("key2"), F.col("nth").alias("nth2"), F.col("for_far").alias("for_far2"),
     )
+    turn = F.col("near") | (F.col("id") < F.col("id2")) & (F.col("nth2") < F.col("for_far2"))
     # What two sets share is at most what follows their first common place.
     least = F.col("apart") + F.col("apart2") - F.lit(den - num) / F.lit(den + num) * (F.col("n") + F.col("n2"))
     most = F.least(F.col("apart") - F.col("nth"), F.col("apart2") - F.col("nth2"))
     sized = F.least("n", "n2") * den >= F.greatest("n", "n2") * num
-    met = left.join(right, (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & sized & (2 * most >= least - 1e-6))
+    met = left.join(right, (F.col("key") == F.col("key2")) & (F.col("c") != F.col("c2")) & turn & sized & (2 * most >= least - 1e-6))
     sides = met.select(F.col("id").alias("x"), F.col("id2").alias("y")).union(spokes).union(plain)
     sides = sides.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     sides = sides.join(own.toDF("oa", "ca"), F.col("a") == F.col("oa")).join(own.toDF("ob", "cb"), F.col("b") == F.col("ob"))
