@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from compare import difference, duck
 
@@ -141,6 +142,68 @@ def test_several_blocks_of_anchors_agree(spark, monkeypatch):
     assert whole == mined([(i, [int(np.floor(256 * x)) for x in v], label) for i, v, label in rows], 10)
 
 
+@pytest.mark.parametrize("size", [40, 1e6, 1e8, 3e9])
+def test_scores_of_any_size_equal_brute_force(size):
+    """Floats of 32 and 64 bits, integers of 64, longer ones; in batches, with ties, all close and far apart."""
+    rng = np.random.default_rng(int(size))
+    n, dim = 1300, 4
+    v = (np.abs(rng.normal(size=(n, dim))) * size).astype(np.int64)
+    v[200:500] = v[7]
+    v[500:600] *= -1
+    ids, labels = rng.permutation(n).astype(np.int64), rng.integers(0, 3, n)
+    refs = np.eye(dim)[:2]
+    lengths = np.sqrt((v.astype(float) ** 2).sum(1))
+    angles = np.arccos(np.clip(v.astype(float) @ refs.T / np.maximum(lengths, 1e-300)[:, None], -1, 1))
+    cut = lambda s: max(-(1 << 63), min((1 << 63) - 1, s))
+
+    def found(chosen, highs=None):
+        columns = {"id": ids[chosen], "label": labels[chosen], "v": v[chosen].tolist(), "length": lengths[chosen], "angles": angles[chosen].tolist()}
+        held = hard_negatives.Anchors(pa.table(columns | ({"high": pa.array(highs, pa.list_(pa.int64()))} if highs else {})), dim, 5)
+        for at in range(0, n, 500):
+            part = slice(at, at + 500)
+            held.meet(ids[part], labels[part], v[part], lengths[part], angles[part])
+        out = {}
+        for r in sorted(held.found().to_pylist(), key=lambda r: (-r["score"], r["vec_id"])):
+            out.setdefault((r["anchor_id"], r["slot"]), []).append((r["score"], r["vec_id"]))
+        return out
+
+    chosen = np.flatnonzero(ids % 25 == 0)
+    scored = {a: [(cut(sum(int(x) * int(y) for x, y in zip(v[a], w, strict=True))), int(j), o) for j, w, o in zip(ids, v, labels, strict=True) if j != ids[a]] for a in chosen}
+    best = lambda rows: sorted(rows, key=lambda r: (-r[0], r[1]))[:5]
+    positives = {a: best([(s, j) for s, j, o in scored[a] if o == labels[a]]) for a in chosen}
+    assert found(chosen) == {(int(ids[a]), 0): p for a, p in positives.items()}
+    highs = [[s for s, _ in positives[a]][: 5 - a % 2] for a in chosen]
+    windows = {
+        (int(ids[a]), i): fits
+        for a, own in zip(chosen, highs, strict=True)
+        for i, high in enumerate(own)
+        if (fits := best([(s, j) for s, j, o in scored[a] if o != labels[a] and 80 * high <= 100 * s <= 100 * high]))
+    }
+    assert found(chosen, highs) == windows and len(windows) > 50
+
+
+def test_no_bounds_for_single_vectors_where_floats_are_exact(monkeypatch):
+    """Only cells are bounded, once for a batch, and a merge reads the slots it changes alone."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(-200, 200, size=(1000, 8))
+    lengths = np.sqrt((x.astype(float) ** 2).sum(1))
+    angles = np.arccos(np.clip(x @ np.eye(8)[:3].T / lengths[:, None], -1, 1))
+    columns = {"id": np.arange(1000), "label": np.zeros(1000, np.int64), "v": x.tolist(), "length": lengths, "angles": angles.tolist()}
+    held, bounded, bounds = hard_negatives.Anchors(pa.table(columns), 8, 5), [], hard_negatives.score_bounds
+    monkeypatch.setattr(hard_negatives, "score_bounds", lambda a, b, c, d: bounded.append(len(a) * len(c[0])) or bounds(a, b, c, d))
+    held.meet(columns["id"], columns["label"], x, lengths, angles)
+    assert sum(bounded) == 1000 * -(-1000 // hard_negatives.CELL)
+    score = x @ x.T
+    for i in range(0, 1000, 97):
+        order = sorted((-s, j) for j, s in enumerate(score[i]) if j != i)[:5]
+        assert [(r["score"], r["vec_id"]) for r in held.found().to_pylist() if r["anchor_id"] == i] == [(-s, j) for s, j in order]
+    merged = []
+    real = np.lexsort
+    monkeypatch.setattr(hard_negatives.np, "lexsort", lambda keys: merged.append(len(keys[0])) or real(keys))
+    held.best.add(np.array([3]), np.array([1 << 40]), np.array([-1]))
+    assert merged == [6] and held.best.score[3, 0] == 1 << 40
+
+
 def test_bounds_hold():
     rng = np.random.default_rng(3)
     refs = np.linalg.qr(rng.normal(size=(6, 6)))[0][:3]

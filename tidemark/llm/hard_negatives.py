@@ -6,7 +6,9 @@ gives an interval for their cosine and, times the lengths, for their score. The
 rounding. Only where it overlaps a window that is still open are scores computed, and those are exact integers.
 
 Vectors are sorted by their nearest reference and the angle to it, so that neighbours form cells with narrow
-ranges of angles: most cells are passed over by one test of their ranges. The anchors are dealt to blocks of
+ranges of angles: cells are passed over by one test of their ranges. What is left of a cell is scored by one matrix
+product, in the smallest floats that hold every sum exactly; a bound for a single vector costs more than such
+a score, so these are taken only where floats are not exact. The anchors are dealt to blocks of
 at most ``BLOCK_BYTES``; each block is sent to the tasks in turn and meets the vectors where they are. A first
 pass finds the positives of an anchor, a second the negatives in the windows that the positives open.
 
@@ -33,8 +35,10 @@ from tidemark.session import discard, materialize
 POSITIVES, NEGATIVES, LEAST = 5, 5, (80, 100)
 #: Reference directions, numbers of the bounded sample that they are taken from, and rounds that center them.
 REFERENCES, SAMPLE_NUMBERS, ROUNDS = 12, 1_000_000, 5
-#: Bytes of anchors that one pass takes; vectors of a cell; anchors that are bounded at once.
-BLOCK_BYTES, CELL, STEP = 16 << 20, 250, 256
+#: Bytes of anchors that one pass takes; vectors of a cell; anchors that are scored at once.
+BLOCK_BYTES, CELL, STEP = 16 << 20, 250, 1024
+#: Share of a matrix of scores above which those that windows need are first narrowed to the best of each row.
+CROWDED = 0.1
 #: Stored angles are off by less; scores are off by a billionth of the product of the lengths, and by 1.
 ANGLE_SLACK, SCORE_SLACK = 1e-6, 1e-9
 _FLOOR, _LIMIT = -(1 << 63), (1 << 63) - 1
@@ -125,39 +129,67 @@ def score_bounds(
     return least, most
 
 
+def exact_floats(most: float) -> type | None:
+    """The smallest floats in which sums of whole numbers are exact, if none and no part of one is beyond ``most``."""
+    return np.float32 if most < 2**24 * (1 - 1e-6) else np.float64 if most < 2**53 * (1 - 1e-6) else None
+
+
 def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact inner products: by floats where these are exact, else by integers."""
+    """Inner products of integers, cut to 64 bits."""
     most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
-    if most < 2**53:
-        return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
     if most < 2**63:
         return q @ x.T
     return np.clip(q.astype(object) @ x.T.astype(object), _FLOOR, _LIMIT).astype(np.int64)
 
 
+def lowered(x: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """The numbers in floats of a ``kind``, rounded down; other kinds are compared as they are."""
+    if kind != np.float32:
+        return x
+    out = x.astype(kind)
+    return np.where(out > x, np.nextafter(out, kind.type(-np.inf)), out)
+
+
 class Best:
     """The ``k`` best (score, smaller id first) of each slot of each anchor."""
 
     def __init__(self, shape: tuple[int, int], k: int) -> None:
-        self.shape, self.k = shape, k
-        self.slot, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+        n = shape[0] * shape[1]
+        self.shape, self.k, self.count = shape, k, np.zeros(n, np.int64)
+        self.score, self.id = np.zeros((n, k), np.int64), np.zeros((n, k), np.int64)
         #: A float just below the score of the k-th best: what is below it is not needed.
-        self.beat = np.full(shape[0] * shape[1], -np.inf)
+        self.beat = np.full(n, -np.inf)
 
     def add(self, slot: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
-        slot, score, ids = np.r_[self.slot, slot], np.r_[self.score, score], np.r_[self.id, ids]
+        """Merge new ones into their slots; the others are not touched."""
+        last = self.score[slot, -1]
+        better = (self.count[slot] < self.k) | (score > last) | ((score == last) & (ids < self.id[slot, -1]))
+        slot, score, ids = slot[better], score[better], ids[better]
+        if not len(slot):
+            return
+        mine = np.unique(slot)
+        held = np.arange(self.k) < self.count[mine, None]
+        slot = np.r_[slot, np.repeat(mine, self.count[mine])]
+        score, ids = np.r_[score, self.score[mine][held]], np.r_[ids, self.id[mine][held]]
         # ~score falls as the score rises and cannot overflow.
         order = np.lexsort((ids, ~score, slot))
         slot, score, ids = slot[order], score[order], ids[order]
         nth = np.arange(len(slot)) - np.searchsorted(slot, slot, side="left")
         kept = nth < self.k
-        self.slot, self.score, self.id = slot[kept], score[kept], ids[kept]
+        slot, score, ids, nth = slot[kept], score[kept], ids[kept], nth[kept]
+        self.score[slot, nth], self.id[slot, nth] = score, ids
+        np.maximum.at(self.count, slot, nth + 1)
         full = nth == self.k - 1
         self.beat[slot[full]] = np.nextafter(score[full].astype(np.float64), -np.inf)
 
     def needed(self, rows: slice | np.ndarray) -> np.ndarray:
         return self.beat.reshape(self.shape)[rows]
 
+    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(slot, score, id) of all that are held."""
+        held = np.arange(self.k) < self.count[:, None]
+        return np.nonzero(held)[0], self.score[held], self.id[held]
+
 
 class Anchors:
     """One block of anchors with their windows (score between ``low`` and ``high``), and what they have found."""
@@ -175,6 +207,12 @@ class Anchors:
         self.best = Best(self.high.shape, k)
         share = LEAST[0] / LEAST[1]
         self.low = np.full(self.high.shape, -np.inf) if self.same else np.where(self.open, self.high * share - 1 - SCORE_SLACK * abs(self.high.astype(float)), np.inf)
+        self._floats: dict[type, np.ndarray] = {}
+
+    def floats(self, kind: type) -> np.ndarray:
+        if kind not in self._floats:
+            self._floats[kind] = self.v.astype(kind)
+        return self._floats[kind]
 
     def overlap(self, rows: slice | np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
         """Whether a score interval meets a window of its anchor that is still open there."""
@@ -190,32 +228,59 @@ class Anchors:
         cuts = np.arange(0, len(ids), CELL)
         cell_lengths = np.minimum.reduceat(lengths, cuts), np.maximum.reduceat(lengths, cuts)
         cell_angles = np.minimum.reduceat(angles, cuts), np.maximum.reduceat(angles, cuts)
-        for at in range(0, len(self.id), STEP):
-            part = np.arange(at, min(at + STEP, len(self.id)))
-            near = self.overlap(part, *score_bounds(self.lengths[part], self.angles[part], cell_lengths, cell_angles))
-            for c in np.flatnonzero(near.any(0)):
-                cell, rows = np.arange(cuts[c], min(cuts[c] + CELL, len(ids))), part[near[:, c]]
-                bounds = score_bounds(self.lengths[rows], self.angles[rows], (lengths[cell], lengths[cell]), (angles[cell], angles[cell]))
-                can = self.overlap(rows, *bounds) & (self.id[rows, None] != ids[cell])
-                can &= (self.label[rows, None] == labels[cell]) == self.same
-                some, cols = np.flatnonzero(can.any(1)), np.flatnonzero(can.any(0))
+        # No part of a sum is beyond the product of the lengths (Cauchy-Schwarz).
+        kind = exact_floats(float(self.lengths.max(initial=0)) * float(lengths.max(initial=0)))
+        x = v if kind is None else v.astype(kind)
+        near = self.overlap(slice(None), *score_bounds(self.lengths, self.angles, cell_lengths, cell_angles))
+        for c in np.flatnonzero(near.any(0)):
+            cell, rows = np.arange(cuts[c], min(cuts[c] + CELL, len(ids))), np.flatnonzero(near[:, c])
+            for part in (rows[at : at + STEP] for at in range(0, len(rows), STEP)):
+                if kind is not None:
+                    self.take(part, ids[cell], labels[cell], self.floats(kind)[part] @ x[cell].T)
+                    continue
+                can = self.overlap(part, *score_bounds(self.lengths[part], self.angles[part], (lengths[cell], lengths[cell]), (angles[cell], angles[cell])))
+                can &= self.fitting(part, ids[cell], labels[cell])
+                some, cols = np.flatnonzero(can.any(1)), cell[can.any(0)]
                 if len(some):
-                    self.take(rows[some], ids[cell[cols]], products(self.v[rows[some]], v[cell[cols]]), can[np.ix_(some, cols)])
+                    self.take(part[some], ids[cols], labels[cols], products(self.v[part[some]], v[cols]))
+
+    def fitting(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        """Whether a vector is another one than the anchor, of its label or, for negatives, of another."""
+        return ((self.label[rows, None] == labels) == self.same) & (self.id[rows, None] != ids)
 
-    def take(self, rows: np.ndarray, ids: np.ndarray, score: np.ndarray, can: np.ndarray) -> None:
+    def narrowed(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, score: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """What the windows of ``rows`` need, at least the k-th best of these scores that are in a window or below it."""
+        fitting, need = self.fitting(rows, ids, labels), need.copy()
+        for i in range(need.shape[1]):
+            held = np.where(fitting & (score <= self.high[rows, i, None].astype(np.float64)), score, -np.inf)
+            need[:, i] = np.maximum(need[:, i], np.partition(held, -self.best.k, axis=1)[:, -self.best.k])
+        return need
+
+    def take(self, rows: np.ndarray, ids: np.ndarray, labels: np.ndarray, score: np.ndarray) -> None:
         width = self.high.shape[1]
+        need = np.maximum(self.low[rows], self.best.needed(rows))
+        hits = np.flatnonzero(score >= lowered(need.min(1), score.dtype)[:, None])
+        if len(hits) > CROWDED * score.size and score.dtype.kind == "f" and len(ids) > self.best.k:
+            need = self.narrowed(rows, ids, labels, score, need)
+            hits = np.flatnonzero(score >= lowered(need.min(1), score.dtype)[:, None])
+        if not len(hits):
+            return
+        r, c = np.divmod(hits, len(ids))
+        got, row = score.ravel()[hits].astype(np.int64), rows[r]
+        fits = ((self.label[row] == labels[c]) == self.same) & (self.id[row] != ids[c])
+        r, c, row, got = r[fits], c[fits], row[fits], got[fits]
         for i in range(width):
-            high, beat = self.high[rows, i, None], self.best.needed(rows)[:, i, None]
-            fits = can & self.open[rows, i, None] & (score >= beat)
+            high = self.high[row, i]
+            fits = self.open[row, i] & (got >= need[r, i])
             if not self.same:
-                fits &= (score <= high) & in_window(high, score)
-            r, c = np.nonzero(fits)
-            if len(r):
-                self.best.add(rows[r] * width + i, score[r, c], ids[c])
+                fits &= (got <= high) & in_window(high, got)
+            if fits.any():
+                self.best.add(row[fits] * width + i, got[fits], ids[c[fits]])
 
     def found(self) -> pa.RecordBatch:
-        rows, slots = np.divmod(self.best.slot, self.high.shape[1])
-        columns = [pa.array(self.id[rows]), pa.array(slots.astype(np.int32)), pa.array(self.best.id), pa.array(self.best.score)]
+        slot, score, ids = self.best.all()
+        rows, slots = np.divmod(slot, self.high.shape[1])
+        columns = [pa.array(self.id[rows]), pa.array(slots.astype(np.int32)), pa.array(ids), pa.array(score)]
         return pa.RecordBatch.from_arrays(columns, names=["anchor_id", "slot", "vec_id", "score"])
 
 
