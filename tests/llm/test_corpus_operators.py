@@ -651,6 +651,76 @@ def test_audit_sees_each_vector(spark):
     assert not small_world._enough(nodes, counts(0, 0, 2, 2, 2), 2, 0.9)
 
 
+def test_first_search_finds_pairs_among_many_others():
+    """Pairs in a shard of unrelated vectors: the layers alone miss some of them with the first beam."""
+    rng = np.random.default_rng(12)
+    x = small_world.unit(rng.normal(size=(14_000, 64)))
+    x[::7] = small_world.unit(x[1::7] + rng.normal(scale=0.02, size=(2000, 64)))
+    graph = small_world.Graph.build(x)
+    nearest = {int(i): set(nodes.tolist()) for at in (0, 7000) for i, nodes in ((at + i, n) for i, n in graph.near(x[at : at + 7000], small_world.BEAM, 0.9, True))}
+    close = x @ x.T >= 0.9
+    true = {i: set(np.flatnonzero(close[i]).tolist()) for i in range(len(x))}
+    assert all(nearest[i] <= true[i] for i in nearest)
+    paired = [i for i, of in true.items() if len(of) > 1]
+    assert len(paired) > 3900 and np.mean([nearest.get(i, set()) == true[i] for i in paired]) > 0.998
+    assert not graph.seen.any()
+
+
+def test_large_groups_are_found_whole():
+    rng = np.random.default_rng(13)
+    x = small_world.unit(np.concatenate([rng.normal(size=(1, 32)) + rng.normal(scale=0.2, size=(700, 32)), rng.normal(size=(1300, 32))]))
+    graph, close = small_world.Graph.build(x), x @ x.T >= 0.9
+    for short in (True, False):
+        found = {i: len(nodes) for i, nodes in graph.near(x, small_world.BEAM, 0.9, short)}
+        assert len(found) == len(x) and close.sum() > 100_000 and sum(found.values()) >= 0.99 * close.sum()
+
+
+def test_orders_of_one_node_and_equal_sides():
+    one = small_world.Graph.build(np.ones((1, 1), np.float32))
+    assert [(i, n.tolist()) for i, n in one.near(np.ones((2, 1), np.float32), 16, 0.9, True)] == [(0, [0]), (1, [0])]
+    assert list(one.near(-np.ones((1, 1), np.float32), 16, 0.9, True)) == []
+
+
+def test_each_part_of_a_shard_has_a_task(spark):
+    """Shards met in a task before, as their numbers were hashed."""
+    from pyspark.sql import functions as F
+
+    for n in (1, 8, 40):
+        frame = spark.range(n).select(F.col("id").cast("int").alias("place"))
+        dealt = frame.withColumn("task", small_world._own_tasks(spark, n)).repartition(n, "task")
+        assert dealt.select(F.spark_partition_id().alias("p")).distinct().count() == n
+
+
+def test_a_graph_is_sent_once_for_many_queries(spark, monkeypatch):
+    seen = []
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(30_000, 2))
+    nodes = small_world._as_bytes(spark.createDataFrame([(i, 1, v.tolist()) for i, v in enumerate(x)], "id bigint, size bigint, v array<double>"), 2)
+    real = small_world._own_tasks
+    monkeypatch.setattr(small_world, "_own_tasks", lambda spark, n: seen.append(n) or real(spark, n))
+    graphs = small_world.build_graphs(nodes.where("id < 40"), 2, 2)
+    found = small_world.search_graphs(graphs, nodes.select("id", "v"), 2, 2, 16, 0.9, True)
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    links = (unit @ unit[:40].T >= 0.9).sum() - 40
+    assert seen == [2] and found.where("kind = 0").groupBy().sum("b").first()[0] == links
+
+
+def test_vectors_in_the_shorter_floats_that_hold_them(spark):
+    rows = [(0, [0.5, -3.0]), (1, [0.1, 2.0]), (2, [1e300, 1.0]), (3, [float(np.float32(0.1)), 0.0])]
+    held = small_world._as_bytes(spark.createDataFrame(rows, "id bigint, v array<double>").selectExpr("id", "1L as size", "v"), 2).toArrow()
+    assert dict(zip(held["id"].to_pylist(), map(len, held["v"].to_pylist()), strict=True)) == {0: 8, 1: 16, 2: 16, 3: 8}
+    assert dict(zip(held["id"].to_pylist(), small_world._rows(held["v"], 2).tolist(), strict=True)) == dict(rows)
+
+
+def test_a_failed_audit_widens_the_search(spark, monkeypatch):
+    searches, real = [], small_world.search_graphs
+    monkeypatch.setattr(small_world, "search_graphs", lambda g, q, dim, shards, beam, least, short: searches.append((beam, short)) or real(g, q, dim, shards, beam, least, short))
+    monkeypatch.setattr(small_world, "_enough", lambda *a: len(searches) > 2)
+    frame = spark.createDataFrame([(i, [1.0, i / 100]) for i in range(20)], "vec_id bigint, embedding array<double>")
+    assert all(r["n_links"] == 19 and r["component_id"] == 0 for r in small_world.near_duplicates(frame).collect())
+    assert searches == [(16, True), (16, False), (32, False)]
+
+
 # BPE
 
 

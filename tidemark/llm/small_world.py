@@ -1,7 +1,11 @@
 """Embedding near-dedup by hierarchical navigable small-world graphs, one per shard.
 
 Vectors are dealt to shards by a hash; each shard builds a graph, and every vector searches every shard's.
-A beam that is full of vectors above the threshold is widened for that query until its end is below it. The
+A search starts beside the vector's place in several orders of the shard's nodes, by the sides of random planes they
+lie on, and goes along the links of the base layer: small groups in a large shard are hard to reach from the top alone. At
+first it goes on only if one of these nodes is within twice the angle of a link, as no other is linked to what is linked
+to the vector. If an audit fails, every search goes on, and starts from the top layer as well.
+A beam that is half full of vectors above the threshold is widened for that query until its second half is below it. The
 width that all queries start with is audited: for a sample of all vectors, and one of vectors for which few links were
 found, brute force over all rows says how many links there are, and the width doubles until enough of each vector's
 are found, on the average over the linked ones of either sample. So a large group cannot hide what small ones miss. What
@@ -21,7 +25,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bound_batches, map_arrow
@@ -32,30 +36,35 @@ from tidemark.session import discard, materialize
 DEGREE, BUILD_BEAM = 10, 40
 #: First beam of a search, share of its links that an audit must find of a vector, vectors of a sample, and links that are few.
 BEAM, RECALL, AUDITED, FEW_LINKS = 16, 0.995, 400, 3
-#: Shards at least, vectors of a shard at most, queries that one task runs, about.
-SHARDS, SHARD_SIZE, TASK_QUERIES = 8, 200_000, 20_000
-#: Queries searched side by side, and beam entries expanded at once.
-SIDE_BY_SIDE, EXPANDED = 256, 3
+#: Shards at least, vectors of a shard at most, queries that one task runs, about (each task of a shard gets a copy of its graph).
+SHARDS, SHARD_SIZE, TASK_QUERIES = 8, 200_000, 200_000
+#: Queries searched side by side, beam entries expanded at once, queries that a task gathers, and edges it holds before a forest leaves.
+SIDE_BY_SIDE, EXPANDED, GATHERED, HELD_EDGES = 256, 3, 4096, 20_000
+#: Orders for each place of the beam, planes of an order, and nodes taken before and after a query's place.
+ORDERS, PLANES, BESIDE = 2, 24, 2
 
 
 def beam_search(
-    vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, beam: int
+    vectors: np.ndarray, links: np.ndarray, queries: np.ndarray, entry: np.ndarray, beam: int, seen: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """(nodes, cosines) of each query's ``beam`` best, best first; missing ones are -1.
 
-    ``links``: neighbours of each node, -1 where there is none. ``entry``: start nodes of each query. All
-    queries step together; one whose beam holds no unexpanded node is finished.
+    ``links``: neighbours of each node, -1 where there is none. ``entry``: different start nodes of each query, -1 where there
+    is none. ``seen``: a row of False for each query, a column for each node and one more; they are False again at
+    the end. All queries step together; one whose beam holds no unexpanded node is finished.
     """
-    n_queries, n = len(queries), len(vectors)
+    n_queries = len(queries)
     nodes = np.full((n_queries, beam), -1, np.int64)
     cosines = np.full((n_queries, beam), -np.inf, np.float32)
     done = np.ones((n_queries, beam), bool)
-    seen = np.zeros((n_queries, n + 1), bool)  # column n takes the missing ones
-    entry = entry[:, :beam]
     rows = np.arange(n_queries)
+    first = np.where(entry >= 0, np.einsum("qed,qd->qe", vectors[entry], queries), -np.inf)
+    best = np.argsort(-first, axis=1, kind="stable")[:, :beam]
+    entry, first = np.take_along_axis(entry, best, 1), np.take_along_axis(first, best, 1)
+    marked = [(rows[:, None], entry)]  # the last column takes the missing ones
     w = entry.shape[1]
     nodes[:, :w] = entry
-    cosines[:, :w] = np.where(entry >= 0, np.einsum("qed,qd->qe", vectors[entry], queries), -np.inf)
+    cosines[:, :w] = first
     done[:, :w] = entry < 0
     seen[rows[:, None], entry] = True
     live = rows
@@ -71,10 +80,19 @@ def beam_search(
         new = np.where(picked[..., None], links[nodes[live[:, None], pick]], -1).reshape(len(live), -1)
         new = np.sort(new, axis=1)
         new[:, 1:][new[:, 1:] == new[:, :-1]] = -1
-        new = np.where(seen[live[:, None], new], -1, new)
-        seen[live[:, None], new] = True
-        sims = np.einsum("qed,qd->qe", vectors[new], queries[live])
-        sims[new < 0] = -np.inf
+        r, c = np.nonzero((new >= 0) & ~seen[live[:, None], new])
+        at = new[r, c]
+        seen[live[r], at] = True
+        marked.append((live[r], at))
+        found = np.einsum("id,id->i", vectors[at], queries[live[r]])
+        # What is not among the best of its beam cannot enter it.
+        better = found > cosines[live[r], -1]
+        r, at, found = r[better], at[better], found[better]
+        # The columns hold what is left of each row, one after the other.
+        c = np.arange(len(r)) - np.searchsorted(r, r, side="left")
+        new = np.full((len(live), int(c.max(initial=-1)) + 1), -1, np.int64)
+        sims = np.full(new.shape, -np.inf, np.float32)
+        new[r, c], sims[r, c] = at, found
         all_nodes = np.concatenate([nodes[live], new], 1)
         all_cosines = np.concatenate([cosines[live], sims], 1)
         all_done = np.concatenate([done[live], new < 0], 1)
@@ -83,6 +101,8 @@ def beam_search(
         cosines[live] = np.take_along_axis(all_cosines, best, 1)
         done[live] = np.take_along_axis(all_done, best, 1)
         nodes[live] = np.where(np.isfinite(cosines[live]), nodes[live], -1)
+    for row, node in marked:
+        seen[row, node] = False
     return nodes, cosines
 
 
@@ -100,11 +120,40 @@ def _spread(vectors: np.ndarray, nodes: np.ndarray, cosines: np.ndarray, count:
     return np.take_along_axis(nodes, order, 1)
 
 
+class Orders:
+    """Nodes sorted ``count`` times by the sides of random planes that they lie on, so that close ones often stand together."""
+
+    def __init__(self, vectors: np.ndarray, count: int, seed: int = 2) -> None:
+        self.count = count
+        self.planes = np.random.default_rng(seed).normal(size=(vectors.shape[1], count * PLANES)).astype(np.float32)
+        # Planes go through the middle of the nodes, which need not be near the origin.
+        self.middle = vectors.mean(0, dtype=np.float64).astype(np.float32) @ self.planes
+        codes = self.codes(vectors)
+        self.nodes = np.stack([np.argsort(c, kind="stable") for c in codes]).astype(np.int32)
+        self.sorted = np.take_along_axis(codes, self.nodes, 1)
+
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        out = np.empty((self.count, len(x)), np.int32)
+        for at in range(0, len(x), GATHERED):
+            sides = (x[at : at + GATHERED] @ self.planes > self.middle).reshape(-1, self.count, PLANES)
+            octets = np.packbits(sides, axis=2).astype(np.int32)
+            out[:, at : at + GATHERED] = sum(octets[..., i] << 8 * (PLANES // 8 - 1 - i) for i in range(PLANES // 8)).T
+        return out
+
+    def beside(self, queries: np.ndarray) -> np.ndarray:
+        """The nodes next to each query's place in every order; some come several times."""
+        places = np.stack([np.searchsorted(held, code) for held, code in zip(self.sorted, self.codes(queries), strict=True)], 1)
+        at = np.clip(places[..., None] + np.arange(-BESIDE, BESIDE), 0, self.nodes.shape[1] - 1)
+        return self.nodes[np.arange(self.count)[:, None], at].reshape(len(queries), -1)
+
+
 class Graph:
     """Layered graph over unit vectors. Layer l holds the nodes of level l and above."""
 
     def __init__(self, vectors: np.ndarray, links: list[np.ndarray] | None = None, entry: int = 0) -> None:
         self.vectors, self.links, self.entry = vectors, links or [], entry
+        self.seen = np.zeros((SIDE_BY_SIDE, len(vectors) + 1), bool)
+        self.orders: Orders | None = None
 
     @classmethod
     def build(cls, vectors: np.ndarray, seed: int = 1) -> Graph:
@@ -126,12 +175,12 @@ class Graph:
         """Start nodes for ``layer``: the best of each layer above."""
         entry = np.full((len(queries), 1), self.entry, np.int64)
         for above in range(len(self.links) - 1, layer, -1):
-            entry = beam_search(self.vectors, self.links[above], queries, entry, 2)[0]
+            entry = beam_search(self.vectors, self.links[above], queries, entry, 2, self.seen)[0]
         return entry
 
     def _insert(self, layer: int, batch: np.ndarray) -> None:
         links, own = self.links[layer], self.vectors[batch]
-        nodes, cosines = beam_search(self.vectors, links, own, self._descend(own, layer), BUILD_BEAM)
+        nodes, cosines = beam_search(self.vectors, links, own, self._descend(own, layer), BUILD_BEAM, self.seen)
         itself = nodes == batch[:, None]
         nodes, cosines = np.where(itself, -1, nodes), np.where(itself, -np.inf, cosines)
         if len(batch) > 1:  # those that go in together see the ones before them
@@ -160,19 +209,43 @@ class Graph:
                 if self.vectors[node] @ self.vectors[other] > sims[worst]:
                     back[worst] = node
 
-    def near(self, queries: np.ndarray, beam: int, least: float) -> list[np.ndarray]:
-        """Nodes with a cosine of about ``least`` or more, per query; full beams are widened."""
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(queries)
-        todo = np.arange(len(queries))
-        while len(todo):
-            wide = min(beam, len(self.vectors))
-            nodes, cosines = beam_search(self.vectors, self.links[0], queries[todo], self._descend(queries[todo], 0), wide)
-            hits = (cosines >= least) & (nodes >= 0)
-            full = hits[:, -1] & (wide < len(self.vectors))
-            for i in np.flatnonzero(~full & hits.any(1)):
-                out[todo[i]] = nodes[i, hits[i]]
-            todo, beam = todo[full], beam * 2
-        return out
+    def _beside(self, queries: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """(nodes, cosines) beside the queries in ``count`` orders, the best first; repeated ones are -1."""
+        if self.orders is None or self.orders.count != count:
+            self.orders = Orders(self.vectors, count)
+        nodes = np.sort(self.orders.beside(queries), axis=1).astype(np.int64)
+        cosines = np.empty(nodes.shape, np.float32)
+        for at in range(0, len(queries), 64):  # so that what is gathered stays in the cache
+            part = slice(at, at + 64)
+            cosines[part] = np.matmul(self.vectors[nodes[part]], queries[part, :, None])[..., 0]
+        cosines[:, 1:][nodes[:, 1:] == nodes[:, :-1]] = -np.inf
+        return nodes, cosines
+
+    def near(self, queries: np.ndarray, beam: int, least: float, short: bool) -> Iterator[tuple[int, np.ndarray]]:
+        """(query, nodes with a cosine of about ``least`` or more) of each query that has any; beams half full of them are widened.
+
+        ``short``: start from the orders only, and leave out queries that have no node there that may be linked to a hit.
+        """
+        reach = 2 * least * least - 1 if short and least > 0 else -np.inf
+        nodes, cosines = self._beside(queries, ORDERS * beam)
+        live = np.flatnonzero((cosines >= reach).any(1))
+        best = np.argsort(-cosines[live], axis=1, kind="stable")
+        entry = np.where(np.isfinite(np.take_along_axis(cosines[live], best, 1)), np.take_along_axis(nodes[live], best, 1), -1)
+        for at in range(0, len(live), SIDE_BY_SIDE):
+            part = slice(at, at + SIDE_BY_SIDE)
+            todo, start, wide = live[part], entry[part], beam
+            if not short:
+                top = self._descend(queries[todo], 0)
+                start = np.concatenate([np.where((top[:, :1] == start).any(1, keepdims=True), -1, top[:, :1]), start], 1)
+            # Half of a beam is left to nodes that lead on to further hits.
+            while len(todo):
+                wide = min(wide, len(self.vectors))
+                nodes, cosines = beam_search(self.vectors, self.links[0], queries[todo], start, wide, self.seen)
+                hits = (cosines >= least) & (nodes >= 0)
+                full = hits[:, (wide - 1) // 2] & (wide < len(self.vectors))
+                for i in np.flatnonzero(~full & hits.any(1)):
+                    yield int(todo[i]), nodes[i, hits[i]]
+                todo, start, wide = todo[full], start[full], wide * 2
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -180,11 +253,16 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def _rows(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dim)
+    """Vectors from their bytes: floats of 64 bits, or of 32 where these are exact."""
+    raw = column.to_pylist()
+    for kind, size in ((np.float32, 4 * dim), (np.float64, 8 * dim)):
+        if all(len(v) == size for v in raw):
+            return np.frombuffer(b"".join(raw), kind).reshape(-1, dim).astype(np.float64)
+    return np.stack([np.frombuffer(v, np.float32 if len(v) == 4 * dim else np.float64) for v in raw]).astype(np.float64)
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``id, v`` (bytes of doubles), ``size`` of the distinct vectors that can link; the id is the smallest."""
+    """``id, v`` of the rows that can link."""
     v = F.col("v")
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & v.isNotNull() & (F.size(v) > 0))
@@ -192,9 +270,15 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     return rows.where(F.exists(v, lambda x: x != 0))
 
 
-def _as_bytes(rows: DataFrame) -> DataFrame:
+def _as_bytes(rows: DataFrame, dim: int) -> DataFrame:
+    """``id, size, v`` with the bytes that ``_rows`` reads."""
+
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
-        raw = [np.asarray(v, np.float64).tobytes() for v in batch["v"].to_pylist()]
+        x = batch["v"].flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+        with np.errstate(over="ignore"):
+            small = x.astype(np.float32)
+        short = (small == x).all(1)
+        raw = [(a if s else b).tobytes() for a, b, s in zip(small, x, short, strict=True)]
         yield {"id": batch["id"], "size": batch["size"], "v": pa.array(raw, pa.binary())}
 
     return map_arrow(rows, run, "id long, size long, v binary")
@@ -221,31 +305,27 @@ def build_graphs(nodes: DataFrame, dim: int, shards: int) -> DataFrame:
 
 
 class _Shard:
-    """A shard's graph from its rows."""
+    """A shard's graph from its rows, sorted by node."""
 
-    def __init__(self, rows: list[tuple], dim: int) -> None:
-        rows.sort()
-        self.ids = np.array([r[1] for r in rows], np.int64)
-        self.sizes = np.array([r[2] for r in rows], np.int64)
-        self.x = np.frombuffer(b"".join(r[3] for r in rows), np.float64).reshape(-1, dim)
+    def __init__(self, rows: list[pa.RecordBatch], dim: int) -> None:
+        held = pa.Table.from_batches(rows)
+        self.ids, self.sizes, self.x = held["id"].to_numpy(), held["size"].to_numpy(), _rows(held["v"], dim)
         self.norms = np.sqrt((self.x * self.x).sum(1))
-        layers = np.frombuffer(b"".join(r[4] for r in rows), "<i4").reshape(len(rows), -1, 2 * DEGREE).astype(np.int64)
-        links = [np.ascontiguousarray(layers[:, i]) for i in range(layers.shape[1])]
+        layers = np.frombuffer(b"".join(held["links"].to_pylist()), "<i4").reshape(len(self.ids), -1, 2 * DEGREE)
+        links = [layers[:, i].astype(np.int64) for i in range(layers.shape[1])]
         # The entry is a node of the top layer; any with a link there will do, or the only one.
         top = np.flatnonzero((links[-1] >= 0).any(1))
         self.graph = Graph(unit(self.x), links, int(top[0]) if len(top) else _entry(links))
 
-    def found(self, ids: np.ndarray, x: np.ndarray, beam: int, least: float) -> Iterator[tuple[int, np.ndarray]]:
+    def found(self, ids: np.ndarray, x: np.ndarray, beam: int, least: float, short: bool) -> Iterator[tuple[int, np.ndarray]]:
         """(row of the query, nodes) with verified cosines, the query's own node left out."""
         norms = np.sqrt((x * x).sum(1))
-        for at in range(0, len(x), SIDE_BY_SIDE):
-            part = slice(at, at + SIDE_BY_SIDE)
-            for i, nodes in enumerate(self.graph.near(unit(x[part]), beam, least - 1e-4), at):
-                nodes = nodes[self.ids[nodes] != ids[i]]
-                exact = (self.x[nodes] @ x[i]) / (self.norms[nodes] * norms[i])
-                nodes = nodes[exact >= least]
-                if len(nodes):
-                    yield i, nodes
+        for i, nodes in self.graph.near(unit(x), beam, least - 1e-4, short):
+            nodes = nodes[self.ids[nodes] != ids[i]]
+            exact = (self.x[nodes] @ x[i]) / (self.norms[nodes] * norms[i])
+            nodes = nodes[exact >= least]
+            if len(nodes):
+                yield i, nodes
 
 
 def _entry(links: list[np.ndarray]) -> int:
@@ -256,7 +336,15 @@ def _entry(links: list[np.ndarray]) -> int:
     return 0
 
 
-def search_graphs(graphs: DataFrame, queries: DataFrame, dim: int, shards: int, beam: int, least: float) -> DataFrame:
+def _own_tasks(spark: SparkSession, n: int) -> Column:
+    """A key for each ``place`` from 0 to n - 1 that ``repartition(n, key)`` deals to a partition of its own."""
+    hashed = spark.range(64 * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p")).groupBy("p").agg(F.min("id").alias("id"))
+    keys = sorted(r["id"] for r in hashed.collect())
+    keys += range(64 * n, 65 * n - len(keys))
+    return F.element_at(F.array(*map(F.lit, keys)), F.col("place") + 1).cast("long")
+
+
+def search_graphs(graphs: DataFrame, queries: DataFrame, dim: int, shards: int, beam: int, least: float, short: bool = False) -> DataFrame:
     """``kind, a, b``: for kind 0 the number b of vectors linked to query a in a shard, for kind 1 an edge.
 
     A task gets a shard's graph and then its queries, batch by batch; of the edges it found it gives a
@@ -266,17 +354,21 @@ def search_graphs(graphs: DataFrame, queries: DataFrame, dim: int, shards: int,
     n = queries.count()
     parts = max(1, -(-n // TASK_QUERIES))
     none = F.lit(None)
-    nodes = graphs.select("shard", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "node", "id", "size", "v", "links")
-    asked = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int").alias("part"),
+    nodes = graphs.select(
+        F.explode(F.sequence(F.col("shard") * parts, F.col("shard") * parts + parts - 1)).alias("place"), "node", "id", "size", "v", "links"
+    )
+    asked = queries.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int")).select(
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("place"), "part",
         none.cast("long").alias("node"), "id", none.cast("long").alias("size"), "v", none.cast("binary").alias("links"),
-    )
-    dealt = nodes.union(asked).repartition(shards * parts, "shard", "part")
-    streams = dealt.sortWithinPartitions("shard", "part", F.col("node").asc_nulls_last())
+    ).withColumn("place", F.col("place") * parts + F.col("part")).drop("part")
+    dealt = nodes.union(asked).withColumn("task", _own_tasks(graphs.sparkSession, shards * parts)).repartition(shards * parts, "task")
+    streams = dealt.sortWithinPartitions("place", F.col("node").asc_nulls_last()).drop("task")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, rows, shard = None, [], None
+        now, shard = None, None
+        rows: list[pa.RecordBatch] = []
+        ids: list[np.ndarray] = []
+        xs: list[np.ndarray] = []
         parent: dict[int, int] = {}
 
         def root(a: int) -> int:
@@ -289,41 +381,43 @@ def search_graphs(graphs: DataFrame, queries: DataFrame, dim: int, shards: int,
             parent.clear()
             return _out([(1, r, a) for r, a in pairs if r != a])
 
-        for batch in batches:
-            counts: list[tuple[int, int, int]] = []
-            columns = [batch[c].to_pylist() for c in ("shard", "part", "node", "id", "size", "v", "links")]
-            ids, xs = [], []
-
-            def ask() -> None:
-                if not ids or shard is None:
-                    return
-                x, own = np.frombuffer(b"".join(xs), np.float64).reshape(-1, dim), np.array(ids, np.int64)
-                for i, found in shard.found(own, x, beam, least):
-                    counts.append((0, ids[i], int(shard.sizes[found].sum())))
-                    a = root(ids[i])
+        def ask() -> Iterator[pa.RecordBatch]:
+            if ids and shard is not None:
+                own, counts = np.concatenate(ids), []
+                for i, found in shard.found(own, np.concatenate(xs), beam, least, short):
+                    counts.append((0, int(own[i]), int(shard.sizes[found].sum())))
+                    a = root(int(own[i]))
                     for b in shard.ids[found].tolist():
                         b = root(b)
                         if a != b:
                             a, b = min(a, b), max(a, b)
                             parent[b] = a
-                ids.clear()
-                xs.clear()
-
-            for s, p, node, vec, size, v, links in zip(*columns, strict=True):
-                if (s, p) != place:
-                    ask()
-                    place, rows, shard = (s, p), [], None
-                if node is not None:
-                    rows.append((node, vec, size, v, links))
-                    continue
-                if shard is None and rows:
-                    shard, rows = _Shard(rows, dim), []
-                ids.append(vec)
-                xs.append(v)
-            ask()
-            yield _out(counts)
-            if len(parent) > TASK_QUERIES:
+                yield _out(counts)
+            ids.clear()
+            xs.clear()
+            if len(parent) > HELD_EDGES:
                 yield forest()
+
+        for batch in batches:
+            place, is_node = batch["place"].to_numpy(), batch["node"].is_valid().to_numpy(zero_copy_only=False)
+            ends = [*(np.flatnonzero((np.diff(place) != 0) | (np.diff(is_node.astype(np.int8)) != 0)) + 1).tolist(), batch.num_rows]
+            start = 0
+            for end in ends if batch.num_rows else ():
+                piece = batch.slice(start, end - start)
+                if place[start] != now:
+                    yield from ask()
+                    now, rows, shard = place[start], [], None
+                if is_node[start]:
+                    rows.append(piece)
+                else:
+                    if shard is None and rows:
+                        shard, rows = _Shard(rows, dim), []
+                    ids.append(piece["id"].to_numpy())
+                    xs.append(_rows(piece["v"], dim))
+                    if sum(map(len, ids)) >= GATHERED:
+                        yield from ask()
+                start = end
+        yield from ask()
         yield forest()
 
     return streams.mapInArrow(run, "kind int, a long, b long")
@@ -337,7 +431,7 @@ def _out(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
 def _brute_links(nodes: DataFrame, sample: list[tuple[int, bytes]], dim: int, least: float) -> dict[int, int]:
     """Number of vectors linked to each sampled one, by comparing these with all rows."""
     ids = np.array([r[0] for r in sample], np.int64)
-    q = np.frombuffer(b"".join(r[1] for r in sample), np.float64).reshape(-1, dim)
+    q = _rows(pa.array([r[1] for r in sample], pa.binary()), dim)
     q_norms = np.sqrt((q * q).sum(1))
 
     def run(batch: pa.RecordBatch) -> Iterator[dict]:
@@ -367,15 +461,15 @@ def _enough(nodes: DataFrame, counted: DataFrame, dim: int, least: float) -> boo
 def linked_vectors(nodes: DataFrame, dim: int, least: float) -> DataFrame:
     """What ``search_graphs`` finds for all ``nodes`` (v, id, size), distinct vectors of ``dim`` components, written."""
     shards = max(SHARDS, -(-nodes.count() // SHARD_SIZE))
-    graphs, beam = materialize(build_graphs(nodes, dim, shards), "graphs"), BEAM
+    graphs, beam, short = materialize(build_graphs(nodes, dim, shards), "graphs"), BEAM, True
     while True:
-        found = materialize(search_graphs(graphs, nodes.select("id", "v"), dim, shards, beam, least), "found")
+        found = materialize(search_graphs(graphs, nodes.select("id", "v"), dim, shards, beam, least, short), "found")
         counted = found.where("kind = 0").groupBy(F.col("a").alias("l_id")).agg(F.sum("b").alias("linked"))
         if beam >= SHARD_SIZE or _enough(nodes, counted, dim, least):
             discard(graphs)
             return found
         discard(found)
-        beam *= 2
+        beam, short = beam if short else beam * 2, False
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -389,7 +483,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, vec_id: str = "vec_i
     parts = []
     for dim in (r["dim"] for r in dims):
         own = rows.where(F.size("v") == dim).groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("size"))
-        nodes = materialize(_as_bytes(own), "vectors")
+        nodes = materialize(_as_bytes(own, dim), "vectors")
         parts.append(linked_vectors(nodes, dim, least))
         discard(nodes)
     found = reduce(DataFrame.union, parts)
